@@ -11,6 +11,8 @@ the one inside the slice plus what the slices before it add up to.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,18 +22,24 @@ SLICE_KEYS = ["session_id", "_slice", "_block"]
 
 HOUR_US = 3_600_000_000
 SECOND_US = 1_000_000
-BLOCK_BITS = 20
 AFTER_ALL = (1 << 63) - 1
 
-# An hour of one session with more rows than this is cut into seconds. There
-# are at most (all rows / MAX_SLICE_ROWS) such hours, which bounds the frame
-# that is broadcast to mark them: 25,000 rows for 10^11 events.
-MAX_SLICE_ROWS = 1 << 22
+
+@dataclass(frozen=True)
+class Slicing:
+    """Sizes of slices.
+
+    An hour of one session with more than ``crowded_rows`` is cut into seconds.
+    There are at most (all rows / crowded_rows) such hours, which bounds the
+    frame that is broadcast to mark them: 25,000 rows for 10^11 events.
+    Blocks hold 2^block_bits consecutive event ids.
+    """
+
+    crowded_rows: int = 1 << 22
+    block_bits: int = 20
 
 
-def with_slices(
-    events: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS, block_bits: int = BLOCK_BITS
-) -> DataFrame:
+def with_slices(events: DataFrame, slicing: Slicing) -> DataFrame:
     """Add ``_slice`` and ``_block``; slices sort by them within a session."""
     micros = micros_of(events)
     hour = micros - F.pmod(micros, F.lit(HOUR_US))
@@ -39,7 +47,7 @@ def with_slices(
         events.where(F.col("session_id").isNotNull())
         .groupBy(F.col("session_id").alias("_crowded_session"), hour.alias("_crowded_hour"))
         .agg(F.count("*").alias("_rows"))
-        .where((F.col("_rows") > max_slice_rows) & F.col("_crowded_hour").isNotNull())
+        .where((F.col("_rows") > slicing.crowded_rows) & F.col("_crowded_hour").isNotNull())
         .drop("_rows")
     )
     marked = events.withColumn("_us", micros).join(
@@ -50,7 +58,7 @@ def with_slices(
     )
     width = F.when(F.col("_crowded_hour").isNull(), F.lit(HOUR_US)).otherwise(F.lit(SECOND_US))
     past_start = F.pmod(F.col("_us"), width)
-    block = F.shiftright(F.col("event_id").cast("bigint"), block_bits)
+    block = F.shiftright(F.col("event_id").cast("bigint"), slicing.block_bits)
     return (
         marked.withColumn("_slice", F.coalesce(F.col("_us") - past_start, F.lit(AFTER_ALL)))
         .withColumn(

@@ -6,13 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import timestamp_of
-from .slices import (
-    MAX_SLICE_ROWS,
-    SLICE_KEYS,
-    earlier_slices,
-    inside_slice,
-    with_slices,
-)
+from .slices import SLICE_KEYS, Slicing, earlier_slices, inside_slice, with_slices
 
 
 def _zero() -> Column:
@@ -28,14 +22,14 @@ def _with_turn_index(numbered: DataFrame, index: Column, columns: list[str]) ->
     return numbered.select(*kept, *([] if "turn_index" in columns else [index.alias("turn_index")]))
 
 
-def assign_turn_index(events: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+def assign_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFrame:
     """Number the turns of each session by counting its ``turn_start`` events.
 
     Overwrites ``turn_index``. Events before the first turn and events without
     a session get null.
     """
     start = _one_where(F.col("event_type") == "turn_start")
-    sliced = with_slices(events, max_slice_rows)
+    sliced = with_slices(events, slicing)
     before = (
         sliced.where(F.col("session_id").isNotNull())
         .groupBy(*SLICE_KEYS)
@@ -50,7 +44,7 @@ def assign_turn_index(events: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -
     return _with_turn_index(numbered, index, events.columns)
 
 
-def carry_turn_index(events: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFrame:
     """Number turns where some events carry an explicit ``turn_index``.
 
     An explicit index holds and is counted on from: a later ``turn_start``
@@ -63,7 +57,7 @@ def carry_turn_index(events: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) ->
     events = events.where(F.col("session_id").isNotNull())
     explicit = F.col("turn_index").cast("bigint")
     start = _one_where(explicit.isNull() & (F.col("event_type") == "turn_start"))
-    sliced = with_slices(events, max_slice_rows)
+    sliced = with_slices(events, slicing)
 
     def scanned(rows: DataFrame) -> DataFrame:
         inside = inside_slice(rows)
