@@ -3,7 +3,8 @@
 ``percentile`` keeps every distinct value of its group in one task. Here the
 values are counted per distinct value (a shuffled, pre-aggregated histogram)
 and each wanted rank is then narrowed down to an ever smaller value range, so
-that no task ever holds more than the cells of one narrowing step.
+that no task ever holds more than the cells of one narrowing step. The first
+step divides a logarithmic scale, which copes with outliers of any size.
 """
 
 from __future__ import annotations
@@ -11,8 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 4096
-ROUNDS = 3
+CELLS = 8192
+TARGET = ["metric", "q", "rank", "total"]
+
+
+def _log_scale(value: Column) -> Column:
+    return F.signum(value) * F.log1p(F.abs(value))
+
+
+def _same_scale(value: Column) -> Column:
+    return value
 
 
 def _cell(value: Column, low: Column, high: Column) -> Column:
@@ -27,10 +36,10 @@ def _cell(value: Column, low: Column, high: Column) -> Column:
 
 def _holding_rank(parts: DataFrame, order: str) -> DataFrame:
     """Of the counted parts of each target keep the one that holds its rank."""
-    target = Window.partitionBy("metric", "q", "rank")
-    earlier = target.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*TARGET).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint"))
     return (
-        parts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint")))
+        parts.withColumn("before", before)
         .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("n")))
         .withColumn("rest", F.col("rest") - F.col("before"))
     )
@@ -42,55 +51,42 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
     ``wanted`` maps numeric columns to fractions between 0 and 1. The frames
     broadcast here have at most two rows per wanted quantile.
     """
-    values = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v"))
-                    for c in wanted
-                ]
-            )
-        ).alias("x")
-    ).select("x.metric", "x.v")
+    columns = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in wanted]
+    values = df.select(F.explode(F.array(*columns)).alias("x")).select("x.metric", "x.v")
     histogram = values.where("v IS NOT NULL").groupBy("metric", "v").agg(F.count("*").alias("n"))
 
     fractions = F.create_map(
         *[x for c, qs in wanted.items() for x in (F.lit(c), F.array(*[F.lit(float(q)) for q in qs]))]
     )
     spot = (F.col("total") - F.lit(1)) * F.col("q")
+    # A target is a rank to find: the values of `rest` ranks from `low` on are in question.
     targets = (
         histogram.groupBy("metric")
         .agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("total"))
         .withColumn("q", F.explode(fractions[F.col("metric")]))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(spot), F.ceil(spot)))))
-        .select("metric", "q", "rank", "total", "low", "high", F.col("rank").alias("rest"))
+        .select(*TARGET, "low", "high", F.col("rank").alias("rest"))
     )
-    totals = targets
 
-    def in_range(state: DataFrame) -> DataFrame:
-        # The state's own columns are renamed so that the join stays unambiguous.
-        state = state.select(
-            F.col("metric").alias("m"), "q", "rank", "low", "high", "rest"
-        )
+    def in_range(targets: DataFrame) -> DataFrame:
+        own = targets.withColumnRenamed("metric", "m")
         return histogram.join(
-            F.broadcast(state),
+            F.broadcast(own),
             (F.col("metric") == F.col("m")) & F.col("v").between(F.col("low"), F.col("high")),
         ).drop("m")
 
-    for _ in range(ROUNDS):
+    for scale in (_log_scale, _same_scale):
+        cell = _cell(*[scale(F.col(c)) for c in ("v", "low", "high")])
         cells = (
             in_range(targets)
-            .withColumn("cell", _cell(F.col("v"), F.col("low"), F.col("high")))
-            .groupBy("metric", "q", "rank", "rest", "cell")
+            .groupBy(*TARGET, "rest", cell.alias("cell"))
             .agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         )
-        targets = _holding_rank(cells, "cell").select("metric", "q", "rank", "low", "high", "rest")
+        targets = _holding_rank(cells, "cell").select(*TARGET, "low", "high", "rest")
 
-    found = _holding_rank(in_range(targets), "v").select("metric", "q", "rank", "v")
-    size = totals.select("metric", "q", "rank", "total")
     share = (F.col("total") - F.lit(1)) * F.col("q") - F.min("rank")
     return (
-        found.join(F.broadcast(size), ["metric", "q", "rank"])
+        _holding_rank(in_range(targets), "v")
         .groupBy("metric", "q", "total")
         .agg((F.min("v") + (F.max("v") - F.min("v")) * share).alias("value"))
         .select("metric", "q", "value")

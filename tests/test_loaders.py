@@ -1,0 +1,191 @@
+"""Loading of nested JSON trees and flat JSON lines."""
+
+import json
+
+import pytest
+
+from agentlake.schemas import CONVERSATIONS_SCHEMA, EVENT_SCHEMA, GENERATION_STATUS_SCHEMA
+from agentlake.sources import load_conversations, load_events, load_flat_events, load_generation_status
+
+
+def write(path, content):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(content if isinstance(content, str) else json.dumps(content, ensure_ascii=False))
+
+
+def dicts(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def dtypes(schema):
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def event(event_id=1, **content):
+    return {"event_id": event_id, "session_id": "conv-1", "content": content, "ext": {}}
+
+
+def load_one(spark, root, *events):
+    write(root / "app-x" / "conv-1" / "events.json", list(events))
+    return sorted(dicts(load_events(spark, str(root))), key=lambda e: e["event_id"])
+
+
+def test_two_events(spark, tmp_path):
+    first = event(1, timestamp="2024-03-01T09:00:00.000000", source="user", action="message")
+    usage = {"prompt_tokens": 40, "completion_tokens": 8, "cache_read_tokens": 3}
+    second = event(
+        2, timestamp="2024-03-01T09:00:01.500000", source="agent", action="run",
+        llm_metrics={"accumulated_cost": 0.25, "accumulated_token_usage": usage},
+    )
+    one, two = load_one(spark, tmp_path, first, second)
+    assert list(one) == [f.name for f in EVENT_SCHEMA] and len(one) == 24
+    assert (one["event_type"], one["tool_name"], one["input_tokens"]) == ("message", None, None)
+    assert (two["event_type"], two["tool_name"], two["dt"]) == ("tool_call", "run", "2024-03-01")
+    assert (two["input_tokens"], two["output_tokens"], two["cache_tokens"]) == (40, 8, 3)
+    assert (two["accumulated_cost"], two["ts"]) == (0.25, "2024-03-01T09:00:01.500000")
+    assert (two["app_id"], two["session_id"], two["model"]) == ("app-x", "conv-1", None)
+    assert json.loads(two["payload"]) == second
+    for unset in ("turn_index", "request_id", "provider", "ttft_ms", "exit_code", "error_type"):
+        assert two[unset] is None
+
+
+@pytest.mark.parametrize(
+    "content, expected",
+    [
+        ({"action": "edit", "observation": "think"}, "tool_call"),
+        ({"action": "strange", "observation": "mcp"}, "tool_call"),
+        ({"action": "strange", "observation": "odd"}, "odd"),
+        ({"action": "strange"}, "strange"),
+        ({"action": "strange", "observation": ""}, "strange"),
+        ({"action": "", "observation": "finish"}, "finish"),
+        ({"action": "", "observation": ""}, "unknown"),
+        ({}, "unknown"),
+    ],
+)
+def test_event_types(spark, tmp_path, content, expected):
+    (row,) = load_one(spark, tmp_path, event(**content))
+    assert row["event_type"] == expected
+
+
+def test_missing_parts_and_fallbacks(spark, tmp_path):
+    rows = load_one(
+        spark, tmp_path,
+        {"event_id": "7", "content": None, "ext": None},
+        {"session_id": "", "content": {"source": "", "timestamp": ""}, "ext": {"source": "x", "miaoda_app_id": ""}},
+        {"event_id": 9.0, "session_id": "other", "ext": {"miaoda_app_id": "own", "agent_name": "helper"}},
+    )
+    assert [r["event_id"] for r in rows] == [0, 7, 9]
+    assert [r["dt"] for r in rows] == ["1970-01-01"] * 3
+    assert [(r["app_id"], r["session_id"]) for r in rows] == [("app-x", "conv-1"), ("app-x", "conv-1"), ("own", "other")]
+    assert [r["source"] for r in rows] == ["x", None, None]
+    assert [r["agent_id"] for r in rows] == [None, None, "helper"]
+
+
+def test_only_the_expected_files_are_read(spark, tmp_path):
+    good = ["app-a b/conv-1", "app-c+d/conv-%41", "app-é/conv-"]
+    for folder in good:
+        write(tmp_path / folder / "events.json", [event(), event(2)])
+    for folder in ("other/conv-1", "app-a b/other", "app-a b", "deep/app-a/conv-1", "app-a b/conv-1/more"):
+        write(tmp_path / folder / "events.json", [event()])
+    write(tmp_path / "app-empty/conv-1/events.json", [])
+    (tmp_path / "app-none/conv-1").mkdir(parents=True)
+    found = [(r["app_id"], r["session_id"]) for r in dicts(load_events(spark, str(tmp_path)))]
+    assert sorted(set(found)) == sorted((f.split("/")[0], "conv-1") for f in good)
+    assert len(found) == 6
+
+
+def test_nothing_to_read_gives_an_empty_table(spark, tmp_path):
+    loads = {
+        load_events: EVENT_SCHEMA,
+        load_generation_status: GENERATION_STATUS_SCHEMA,
+        load_conversations: CONVERSATIONS_SCHEMA,
+    }
+    for load, schema in loads.items():
+        df = load(spark, str(tmp_path))
+        assert df.dtypes == dtypes(schema) and df.count() == 0
+    # Spark does not read files of length zero; there is no event in them to lose.
+    write(tmp_path / "app-x/conv-1/events.json", "")
+    assert load_events(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("text", ['[{"event_id": 1}', '{"event_id": 1}', " ", "null"])
+def test_damaged_files_stop_the_job(spark, tmp_path, text):
+    write(tmp_path / "app-x/conv-1/events.json", text)
+    write(tmp_path / "app-x/generation_status.json", text)
+    write(tmp_path / "app-x/conversations.json", text)
+    for load in (load_events, load_generation_status, load_conversations):
+        with pytest.raises(Exception):
+            load(spark, str(tmp_path)).collect()
+
+
+def test_models_of_conversations(spark, tmp_path):
+    for app in ("app-a", "app-b"):
+        for conv in ("conv-1", "conv-2", "conv-3"):
+            write(tmp_path / app / conv / "events.json", [event()])
+    write(
+        tmp_path / "app-a/conversations.json",
+        [
+            {"conversation_id": "conv-1", "llm_model": "old"},
+            {"conversation_id": "", "id": "conv-2", "llm_model": "by id"},
+            {"conversation_id": "conv-1", "id": "conv-3", "llm_model": "new"},
+        ],
+    )
+    write(tmp_path / "app-b/conversations.json", [{"id": "conv-1", "llm_model": "b"}])
+
+    def models(**options):
+        rows = dicts(load_events(spark, str(tmp_path), **options))
+        # The events' own session id is conv-1 throughout; the directory decides.
+        return sorted((r["app_id"], r["model"] or "") for r in rows)
+
+    assert models() == [
+        ("app-a", ""), ("app-a", "by id"), ("app-a", "new"), ("app-b", ""), ("app-b", ""), ("app-b", "b"),
+    ]
+    assert {m for _, m in models(model_override="forced")} == {"forced"}
+    assert models(model_override="") == models()
+
+
+def test_generation_status(spark, tmp_path):
+    write(
+        tmp_path / "app-x/generation_status.json",
+        [
+            {"app_id": "own", "app_status": "done", "app_type": "web", "first_query": "hi", "react_detail_list": [
+                {"duration": 1.5, "react_rounds": 2}, {"duration": None, "react_rounds": 1}, None, {"duration": 2}]},
+            {"app_id": "", "react_detail_list": None},
+            {"app_status": "bare"},
+        ],
+    )
+    rows = sorted(dicts(load_generation_status(spark, str(tmp_path))), key=lambda r: -r["duration_s"])
+    assert rows[0] == {
+        "app_id": "own", "app_status": "done", "app_type": "web", "duration_s": 3.5, "react_rounds": 3,
+        "first_query": "hi",
+    }
+    assert [(r["app_id"], r["duration_s"], r["react_rounds"]) for r in rows[1:]] == [("app-x", 0.0, 0)] * 2
+
+
+def test_conversations(spark, tmp_path):
+    write(
+        tmp_path / "app-x/conversations.json",
+        [
+            {"conversation_id": "c1", "llm_model": "m", "total_tokens": 12, "prompt_tokens": 9,
+             "completion_tokens": 3, "accumulated_cost": 0.5, "created_at": "2024", "ext": {"miaoda_app_id": "own"}},
+            {"id": "c2", "ext": None},
+        ],
+    )
+    one, two = sorted(dicts(load_conversations(spark, str(tmp_path))), key=lambda r: r["session_id"])
+    assert list(one.values()) == ["own", "c1", "m", 12, 9, 3, 0.5, "2024"]
+    assert list(two.values()) == ["app-x", "c2", None, None, None, None, None, None]
+
+
+def test_flat_events(spark, tmp_path):
+    lines = [
+        {"timestamp": "2024-05-01T08:00:00Z", "conversation_id": "s", "event_type": "turn_start"},
+        {"timestamp": "2024-05-01T08:00:01Z", "conversation_id": "s", "event_type": "tool_result",
+         "request_id": "t", "tool_name": "shell", "tool_latency_ms": 12, "exit_code": 1},
+    ]
+    path = tmp_path / "run.jsonl"
+    path.write_text("\n".join(json.dumps(x) for x in lines))
+    df = load_flat_events(spark, str(path))
+    assert df.dtypes == dtypes(EVENT_SCHEMA)
+    one, two = sorted(dicts(df), key=lambda r: r["ts"])
+    assert (one["dt"], one["session_id"], one["event_type"]) == ("2024-05-01", "s", "turn_start")
+    assert (two["tool_latency_ms"], two["exit_code"], two["request_id"]) == (12.0, 1, "t")
