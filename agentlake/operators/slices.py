@@ -1,12 +1,13 @@
-"""Cut sessions into ordered slices of bounded size.
+"""Cut crowded sessions into ordered slices of bounded size.
 
 A running value over a session needs its events in order, but one session may
-hold a large share of all rows, too many for one window partition. A slice is
-an hour of a session. Hours measured to be crowded are cut into seconds. Rows
-that carry no time order inside their slice (no timestamp, or all exactly at
-the slice's start, as date-only timestamps are) are cut into blocks of event
-ids. Slices follow each other in (ts, event_id) order, so a running value is
-the one inside the slice plus what the slices before it add up to.
+hold a large share of all rows, too many for one window partition. Sessions of
+ordinary size are one slice each. Crowded ones are cut into hours, and hours
+that are still crowded into seconds. Rows that carry no time order inside such
+a slice (no timestamp, or all exactly at the slice's start, as date-only
+timestamps are) are cut into blocks of event ids. Slices follow each other in
+(ts, event_id) order, so a running value is the one inside the slice plus what
+the slices before it add up to.
 """
 
 from __future__ import annotations
@@ -29,43 +30,62 @@ AFTER_ALL = (1 << 63) - 1
 class Slicing:
     """Sizes of slices.
 
-    An hour of one session with more than ``crowded_rows`` is cut into seconds.
-    There are at most (all rows / crowded_rows) such hours, which bounds the
-    frame that is broadcast to mark them: 25,000 rows for 10^11 events.
+    A session, or an hour of one, with more than ``crowded_rows`` is cut. There
+    are at most (all rows / crowded_rows) of either, which bounds the frames
+    that are broadcast to mark them: 100,000 rows for 10^11 events.
     Blocks hold 2^block_bits consecutive event ids.
     """
 
-    crowded_rows: int = 1 << 22
+    crowded_rows: int = 1 << 20
     block_bits: int = 20
 
 
 def with_slices(events: DataFrame, slicing: Slicing) -> DataFrame:
-    """Add ``_slice`` and ``_block``; slices sort by them within a session."""
-    micros = micros_of(events)
+    """Add ``_slice`` and ``_block``, by which the slices of a session sort, and
+    ``_cut``: whether the session has more than one slice. All events must have
+    a session."""
+    session, micros = F.col("session_id"), F.col("_us")
     hour = micros - F.pmod(micros, F.lit(HOUR_US))
-    crowded = (
-        events.where(F.col("session_id").isNotNull())
-        .groupBy(F.col("session_id").alias("_crowded_session"), hour.alias("_crowded_hour"))
+    crowded = F.col("_rows") > slicing.crowded_rows
+
+    sessions = (
+        events.groupBy(session.alias("_cut_session"))
         .agg(F.count("*").alias("_rows"))
-        .where((F.col("_rows") > slicing.crowded_rows) & F.col("_crowded_hour").isNotNull())
+        .where(crowded)
         .drop("_rows")
     )
-    marked = events.withColumn("_us", micros).join(
-        F.broadcast(crowded),
-        (F.col("session_id") == F.col("_crowded_session"))
-        & (F.col("_us") - F.pmod(F.col("_us"), F.lit(HOUR_US)) == F.col("_crowded_hour")),
+    timed = events.withColumn("_us", micros_of(events)).join(
+        F.broadcast(sessions), session == F.col("_cut_session"), "left"
+    )
+    hours = (
+        timed.where(F.col("_cut_session").isNotNull() & micros.isNotNull())
+        .groupBy(F.col("_cut_session").alias("_full_session"), hour.alias("_full_hour"))
+        .agg(F.count("*").alias("_rows"))
+        .where(crowded)
+        .drop("_rows")
+    )
+    marked = timed.join(
+        F.broadcast(hours),
+        (F.col("_cut_session") == F.col("_full_session")) & (hour == F.col("_full_hour")),
         "left",
     )
-    width = F.when(F.col("_crowded_hour").isNull(), F.lit(HOUR_US)).otherwise(F.lit(SECOND_US))
-    past_start = F.pmod(F.col("_us"), width)
+    whole = F.col("_cut_session").isNull()
+    width = F.when(F.col("_full_hour").isNull(), F.lit(HOUR_US)).otherwise(F.lit(SECOND_US))
+    past_start = F.pmod(micros, width)
     block = F.shiftright(F.col("event_id").cast("bigint"), slicing.block_bits)
     return (
-        marked.withColumn("_slice", F.coalesce(F.col("_us") - past_start, F.lit(AFTER_ALL)))
+        marked.withColumn("_cut", ~whole)
+        .withColumn(
+            "_slice",
+            F.when(whole, F.lit(0)).otherwise(F.coalesce(micros - past_start, F.lit(AFTER_ALL))),
+        )
         .withColumn(
             "_block",
-            F.when(past_start > 0, F.lit(AFTER_ALL)).otherwise(F.coalesce(block, F.lit(AFTER_ALL - 1))),
+            F.when(whole | (past_start > 0), F.lit(AFTER_ALL)).otherwise(
+                F.coalesce(block, F.lit(AFTER_ALL - 1))
+            ),
         )
-        .drop("_us", "_crowded_session", "_crowded_hour")
+        .drop("_us", "_cut_session", "_full_session", "_full_hour")
     )
 
 

@@ -29,19 +29,24 @@ def assign_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFr
     a session get null.
     """
     start = _one_where(F.col("event_type") == "turn_start")
-    sliced = with_slices(events, slicing)
+    named = events.where(F.col("session_id").isNotNull())
+    sliced = with_slices(named, slicing)
     before = (
-        sliced.where(F.col("session_id").isNotNull())
+        sliced.where("_cut")
         .groupBy(*SLICE_KEYS)
         .agg(F.sum(start).alias("_n"))
-        .select(*SLICE_KEYS, F.coalesce(F.sum("_n").over(earlier_slices()), _zero()).alias("_before"))
+        .select(*SLICE_KEYS, F.sum("_n").over(earlier_slices()).alias("_before"))
     )
     numbered = sliced.withColumn("_inside", F.sum(start).over(inside_slice(sliced))).join(
         before, SLICE_KEYS, "left"
     )
-    # Events without a session find no partner in `before`, which leaves null.
-    index = F.nullif(F.col("_before") + F.col("_inside"), _zero())
-    return _with_turn_index(numbered, index, events.columns)
+    count = F.coalesce(F.col("_before"), _zero()) + F.col("_inside")
+    index = F.nullif(count, _zero())
+    # Events without a session are not numbered and need no shuffle.
+    unnamed = events.where(F.col("session_id").isNull())
+    return _with_turn_index(numbered, index, events.columns).unionByName(
+        _with_turn_index(unnamed, F.lit(None).cast("bigint"), events.columns)
+    )
 
 
 def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFrame:
@@ -66,9 +71,10 @@ def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFra
             "_anchor", F.last(offset, ignorenulls=True).over(inside)
         )
 
-    # Only explicit and starting rows move the state of a slice; the others
-    # need not be sorted to find where each slice ends up.
-    moving = sliced.where(explicit.isNotNull() | (F.col("event_type") == "turn_start")).select(
+    # Of cut sessions, find where each slice ends up. Only explicit and starting
+    # rows move its state; the others need not be sorted for that.
+    cut = sliced.where("_cut")
+    moving = cut.where(explicit.isNotNull() | (F.col("event_type") == "turn_start")).select(
         *SLICE_KEYS, "ts", "event_id", "event_type", "turn_index"
     )
     ends = (
@@ -79,7 +85,7 @@ def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFra
     )
     earlier = earlier_slices()
     before = (
-        sliced.groupBy(*SLICE_KEYS)
+        cut.groupBy(*SLICE_KEYS)
         .agg(F.sum(start).alias("_n"))
         .join(ends, SLICE_KEYS, "left")
         .withColumn("_starts_before", F.coalesce(F.sum("_n").over(earlier), _zero()))
@@ -89,9 +95,10 @@ def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFra
         )
         .select(*SLICE_KEYS, "_starts_before", "_anchor_before")
     )
-    numbered = scanned(sliced).join(before, SLICE_KEYS)
-    starts = F.col("_starts_before") + F.col("_starts")
-    anchor = F.coalesce(F.col("_anchor") - F.col("_starts_before"), F.col("_anchor_before"))
+    numbered = scanned(sliced).join(before, SLICE_KEYS, "left")
+    starts_before = F.coalesce(F.col("_starts_before"), _zero())
+    starts = starts_before + F.col("_starts")
+    anchor = F.coalesce(F.col("_anchor") - starts_before, F.col("_anchor_before"))
     index = F.when(anchor.isNotNull() | (starts > 0), F.coalesce(anchor, _zero()) + starts)
     return _with_turn_index(numbered, index, events.columns)
 

@@ -10,7 +10,7 @@ from agentlake.operators import assign_turn_index, carry_turn_index
 from agentlake.operators.slices import Slicing, with_slices
 
 SCHEMA = "row INT, session_id STRING, ts TIMESTAMP, event_id BIGINT, event_type STRING, turn_index BIGINT"
-SLICINGS = [Slicing(), Slicing(crowded_rows=3, block_bits=1), Slicing(crowded_rows=0, block_bits=0)]
+SLICINGS = [Slicing(), Slicing(crowded_rows=10, block_bits=1), Slicing(crowded_rows=0, block_bits=0)]
 
 
 def _random_events(seed):
@@ -97,11 +97,15 @@ def test_slices_stay_small_and_in_order(spark):
     rows = [(i, "hot", noon + timedelta(milliseconds=20 * i), i, "error", None) for i in range(1, 600)]
     rows += [(i, "hot", noon + timedelta(hours=1), i, "error", None) for i in range(600, 900)]
     rows += [(i, "hot", None, i, "error", None) for i in range(900, 1200)]
+    rows += [(i, "small", noon + timedelta(hours=i), i, "error", None) for i in range(1200, 1264)]
     df = with_slices(spark.createDataFrame(rows, SCHEMA), Slicing(crowded_rows=100, block_bits=6))
-    sizes = df.groupBy("_slice", "_block").count().agg(F.max("count")).first()[0]
+    sizes = df.groupBy("session_id", "_slice", "_block").count().agg(F.max("count")).first()[0]
     assert sizes <= 64
-    placed = [(r["_slice"], r["_block"]) for r in df.orderBy("row").collect()]
-    assert placed == sorted(placed)
+    hot = df.where("session_id = 'hot'").orderBy("row").collect()
+    placed = [(r["_slice"], r["_block"]) for r in hot]
+    assert placed == sorted(placed) and {r["_cut"] for r in hot} == {True}
+    small = df.where("session_id = 'small'").select("_slice", "_block", "_cut").distinct().collect()
+    assert len(small) == 1 and not small[0]["_cut"]
 
 
 def test_explicit_then_start_then_zero(spark):
