@@ -39,7 +39,10 @@ from .plans import evaluation, perf, run_report, tokens, treatments
 from .sources import Catalog, Lake, ReadFilters, TableSpec, load_flat_events, write_reports
 from .sources.json_tree import (
     APP_ID_FIELD,
+    CONVERSATION_FIELDS,
+    STATUS_FIELDS,
     array_elements,
+    array_records,
     attach_model,
     conversation_models,
     flatten_conversations,
@@ -257,23 +260,29 @@ def _event_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _conversation_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _conversation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two metadata records per session of ``_event_elements``; some miss its id."""
-    user, part = F.col("user_id").cast("string"), F.col("part")
+    user, part = F.col("user_id").cast("string"), F.col("part").cast("string")
     prefix = F.when(F.col("user_id") % 7 == 0, "moved-").otherwise("conv-")
-    conv_dir = F.concat(prefix, user, F.lit("-"), part.cast("string"))
-    record = F.struct(
-        F.when(part != 1, conv_dir).otherwise(F.lit("")).alias("conversation_id"),
-        F.when(part == 1, conv_dir).alias("id"),
-        F.concat(F.lit("model-"), part.cast("string"), F.lit("-"), F.col("position").cast("string"))
-        .alias("llm_model"),
-    )
+    conv_dir = F.concat(prefix, user, F.lit("-"), part)
+
+    def record(position: int) -> Column:
+        fields = F.struct(
+            F.when(part != "1", conv_dir).otherwise(F.lit("")).alias("conversation_id"),
+            F.when(part == "1", conv_dir).alias("id"),
+            F.concat(F.lit("model-"), part, F.lit(f"-{position}")).alias("llm_model"),
+        )
+        return F.to_json(fields)
+
     return (
         fx.table(spark, sf_dir, "events")
         .select("user_id", (F.col("event_id") % 3).alias("part"))
         .distinct()
-        .withColumn("position", F.explode(F.array(F.lit(0), F.lit(1))))
-        .select(F.concat(F.lit("app-"), user).alias("app_dir"), "position", F.to_json(record).alias("element"))
+        .select(
+            F.concat(F.lit("app-"), user).alias("app_dir"),
+            F.lit("").alias("conv_dir"),
+            F.concat(F.lit("["), record(0), F.lit(", "), record(1), F.lit("]")).alias("text"),
+        )
     )
 
 
@@ -300,7 +309,7 @@ def flatten_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def attach_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = conversation_models(_conversation_elements(spark, sf_dir))
+    models = conversation_models(array_records(_conversation_files(spark, sf_dir), CONVERSATION_FIELDS))
     events = attach_model(flatten_events(_event_elements(spark, sf_dir)), models)
     return events.select("app_dir", "conv_dir", "event_id", "event_type", "model")
 
@@ -336,7 +345,7 @@ def nested_rounds_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("conv_dir"),
         F.concat(F.lit("["), F.to_json(entry), F.lit("]")).alias("text"),
     )
-    return flatten_generation_status(array_elements(files))
+    return flatten_generation_status(array_records(files, STATUS_FIELDS))
 
 
 @query
@@ -362,7 +371,7 @@ def conversation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("conv_dir"),
         F.concat(F.lit("["), F.to_json(record), F.lit("]")).alias("text"),
     )
-    return flatten_conversations(array_elements(files))
+    return flatten_conversations(array_records(files, CONVERSATION_FIELDS))
 
 
 @query

@@ -34,13 +34,13 @@ EVENT_FIELDS = f"""
                 prompt_tokens: STRING, completion_tokens: STRING, cache_read_tokens: STRING>>>
 """
 STATUS_FIELDS = """
-    app_id STRING, app_status STRING, app_type STRING, first_query STRING,
-    react_detail_list ARRAY<STRUCT<duration: STRING, react_rounds: STRING>>
+    app_id: STRING, app_status: STRING, app_type: STRING, first_query: STRING,
+    react_detail_list: ARRAY<STRUCT<duration: STRING, react_rounds: STRING>>
 """
 CONVERSATION_FIELDS = f"""
-    conversation_id STRING, id STRING, llm_model STRING, total_tokens STRING, prompt_tokens STRING,
-    completion_tokens STRING, accumulated_cost STRING, created_at STRING,
-    ext STRUCT<{APP_ID_FIELD}: STRING>
+    conversation_id: STRING, id: STRING, llm_model: STRING, total_tokens: STRING, prompt_tokens: STRING,
+    completion_tokens: STRING, accumulated_cost: STRING, created_at: STRING,
+    ext: STRUCT<{APP_ID_FIELD}: STRING>
 """
 
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
@@ -73,14 +73,26 @@ def read_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     )
 
 
-def array_elements(files: DataFrame) -> DataFrame:
-    """One row per element of each file: app_dir, conv_dir, position, element (JSON text)."""
-    elements = F.from_json("text", "array<string>", FAIL_FAST)
+def _parsed_array(element_type: str) -> Column:
+    """The text of a file as an array; anything but a sound JSON array fails."""
     failure = F.raise_error(
         F.concat(F.lit("not a JSON array: file in "), F.col("app_dir"), F.lit("/"), F.col("conv_dir"))
     )
-    checked = F.coalesce(elements, failure.cast("array<string>"))
-    return files.select("app_dir", "conv_dir", F.posexplode(checked).alias("position", "element"))
+    kind = f"array<{element_type}>"
+    return F.when(F.col("text").rlike(r"^\s*\["), F.from_json("text", kind, FAIL_FAST)).otherwise(
+        failure.cast(kind)
+    )
+
+
+def array_elements(files: DataFrame) -> DataFrame:
+    """One row per element of each file: app_dir, conv_dir, element (JSON text)."""
+    return files.select("app_dir", "conv_dir", F.explode(_parsed_array("string")).alias("element"))
+
+
+def array_records(files: DataFrame, fields: str) -> DataFrame:
+    """One row per element of each file: app_dir, position and record (``fields``)."""
+    records = _parsed_array(f"struct<{fields}>")
+    return files.select("app_dir", F.posexplode(records).alias("position", "record"))
 
 
 def _number(name: str | Column, type_name: str) -> Column:
@@ -118,15 +130,14 @@ def flatten_events(elements: DataFrame) -> DataFrame:
     return rows.select("app_dir", "conv_dir", *columns)
 
 
-def conversation_models(elements: DataFrame) -> DataFrame:
+def conversation_models(records: DataFrame) -> DataFrame:
     """Model per conversation directory: app_dir, conv_dir, llm_model.
 
     Of records with the same id in one app the last one counts.
     """
-    c = elements.withColumn("c", F.from_json("element", CONVERSATION_FIELDS, FAIL_FAST))
-    conv_dir = F.coalesce(blank_to_null(F.col("c.conversation_id")), F.col("c.id"), F.lit(""))
+    conv_dir = F.coalesce(blank_to_null(F.col("record.conversation_id")), F.col("record.id"), F.lit(""))
     return (
-        c.select("app_dir", conv_dir.alias("conv_dir"), "position", "c.llm_model")
+        records.select("app_dir", conv_dir.alias("conv_dir"), "position", "record.llm_model")
         .groupBy("app_dir", "conv_dir")
         .agg(F.max_by("llm_model", "position").alias("llm_model"))
     )
@@ -145,13 +156,13 @@ def load_events(spark: SparkSession, root: str, model_override: str | None = Non
     events = flatten_events(array_elements(read_files(spark, root, EVENT_FILES)))
     models = None
     if not model_override:
-        models = conversation_models(array_elements(read_files(spark, root, CONVERSATION_FILES)))
+        files = read_files(spark, root, CONVERSATION_FILES)
+        models = conversation_models(array_records(files, CONVERSATION_FIELDS))
     return conform(attach_model(events, models, model_override), EVENT_SCHEMA)
 
 
-def flatten_generation_status(elements: DataFrame) -> DataFrame:
-    s = elements.withColumn("s", F.from_json("element", STATUS_FIELDS, FAIL_FAST))
-    rounds = F.coalesce(F.col("s.react_detail_list"), F.array())
+def flatten_generation_status(records: DataFrame) -> DataFrame:
+    rounds = F.coalesce(F.col("record.react_detail_list"), F.array())
 
     def total(field: str) -> Column:
         return F.aggregate(
@@ -160,38 +171,38 @@ def flatten_generation_status(elements: DataFrame) -> DataFrame:
             lambda sum_, item: sum_ + F.coalesce(item[field].cast("double"), F.lit(0.0)),
         )
 
-    rows = s.select(
-        F.coalesce(blank_to_null(F.col("s.app_id")), F.col("app_dir")).alias("app_id"),
-        "s.app_status",
-        "s.app_type",
+    rows = records.select(
+        F.coalesce(blank_to_null(F.col("record.app_id")), F.col("app_dir")).alias("app_id"),
+        "record.app_status",
+        "record.app_type",
         total("duration").alias("duration_s"),
         total("react_rounds").alias("react_rounds"),
-        "s.first_query",
+        "record.first_query",
     )
     return conform(rows, GENERATION_STATUS_SCHEMA)
 
 
 def load_generation_status(spark: SparkSession, root: str) -> DataFrame:
     """One row per entry of all ``app-*/generation_status.json`` files under ``root``."""
-    return flatten_generation_status(array_elements(read_files(spark, root, STATUS_FILES)))
-
-
-def flatten_conversations(elements: DataFrame) -> DataFrame:
-    c = elements.withColumn("c", F.from_json("element", CONVERSATION_FIELDS, FAIL_FAST))
-    rows = c.select(
-        F.coalesce(blank_to_null(F.col(f"c.ext.{APP_ID_FIELD}")), F.col("app_dir")).alias("app_id"),
-        F.coalesce(blank_to_null(F.col("c.conversation_id")), F.col("c.id")).alias("session_id"),
-        "c.llm_model",
-        *[
-            _number(f"c.{n}", "bigint").alias(n)
-            for n in ("total_tokens", "prompt_tokens", "completion_tokens")
-        ],
-        _number("c.accumulated_cost", "double").alias("accumulated_cost"),
-        "c.created_at",
+    return flatten_generation_status(array_records(read_files(spark, root, STATUS_FILES), STATUS_FIELDS))
+
+
+def flatten_conversations(records: DataFrame) -> DataFrame:
+    own_app = blank_to_null(F.col(f"record.ext.{APP_ID_FIELD}"))
+    counts = ("total_tokens", "prompt_tokens", "completion_tokens")
+    rows = records.select(
+        F.coalesce(own_app, F.col("app_dir")).alias("app_id"),
+        F.coalesce(blank_to_null(F.col("record.conversation_id")), F.col("record.id")).alias("session_id"),
+        "record.llm_model",
+        *[_number(f"record.{n}", "bigint").alias(n) for n in counts],
+        _number("record.accumulated_cost", "double").alias("accumulated_cost"),
+        "record.created_at",
     )
     return conform(rows, CONVERSATIONS_SCHEMA)
 
 
 def load_conversations(spark: SparkSession, root: str) -> DataFrame:
     """One row per entry of all ``app-*/conversations.json`` files under ``root``."""
-    return flatten_conversations(array_elements(read_files(spark, root, CONVERSATION_FILES)))
+    return flatten_conversations(
+        array_records(read_files(spark, root, CONVERSATION_FILES), CONVERSATION_FIELDS)
+    )
