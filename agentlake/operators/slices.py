@@ -2,12 +2,13 @@
 
 A running value over a session needs its events in order, but one session may
 hold a large share of all rows, too many for one window partition. Sessions of
-ordinary size are one slice each. Crowded ones are cut into hours, and hours
-that are still crowded into seconds. Rows that carry no time order inside such
-a slice (no timestamp, or all exactly at the slice's start, as date-only
-timestamps are) are cut into blocks of event ids. Slices follow each other in
-(ts, event_id) order, so a running value is the one inside the slice plus what
-the slices before it add up to.
+ordinary size are one slice each. Crowded ones are cut into stretches of time,
+as long as fits their number of events, and stretches that are crowded all the
+same into single timestamps. Rows that carry no time order inside such a slice
+(no timestamp, or all exactly at its start, as repeated timestamps are) are cut
+into blocks of event ids. Slices follow each other in (ts, event_id) order, so a
+running value is the one inside the slice plus what the slices before it add up
+to.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from ..functions.exprs import micros_of, timestamp_of
 
 SLICE_KEYS = ["session_id", "_slice", "_block"]
 
-HOUR_US = 3_600_000_000
-SECOND_US = 1_000_000
 AFTER_ALL = (1 << 63) - 1
 
 
@@ -30,13 +29,15 @@ AFTER_ALL = (1 << 63) - 1
 class Slicing:
     """Sizes of slices.
 
-    A session, or an hour of one, with more than ``crowded_rows`` is cut. There
+    A session, or a stretch of one, with more than ``crowded_rows`` is cut. There
     are at most (all rows / crowded_rows) of either, which bounds the frames
-    that are broadcast to mark them: 100,000 rows for 10^11 events.
-    Blocks hold 2^block_bits consecutive event ids.
+    that are broadcast to mark them: 100,000 rows for 10^11 events. Stretches
+    are meant to hold a sixteenth of that, but are no shorter than ``least_us``
+    microseconds. Blocks hold 2^block_bits consecutive event ids.
     """
 
     crowded_rows: int = 1 << 20
+    least_us: int = 1_000_000
     block_bits: int = 20
 
 
@@ -44,48 +45,46 @@ def with_slices(events: DataFrame, slicing: Slicing) -> DataFrame:
     """Add ``_slice`` and ``_block``, by which the slices of a session sort, and
     ``_cut``: whether the session has more than one slice. All events must have
     a session."""
-    session, micros = F.col("session_id"), F.col("_us")
-    hour = micros - F.pmod(micros, F.lit(HOUR_US))
-    crowded = F.col("_rows") > slicing.crowded_rows
+    session, micros, width = F.col("session_id"), F.col("_us"), F.col("_width")
+    start = micros - F.pmod(micros, width)
+    timed = events.withColumn("_us", micros_of(events))
 
+    # Usually no session is crowded, and adaptive execution then drops all that
+    # depends on these two frames.
+    fitting = (F.max(micros) - F.min(micros)) / F.count("*") * F.lit(slicing.crowded_rows / 16)
     sessions = (
-        events.groupBy(session.alias("_cut_session"))
-        .agg(F.count("*").alias("_rows"))
-        .where(crowded)
-        .drop("_rows")
-    )
-    timed = events.withColumn("_us", micros_of(events)).join(
-        F.broadcast(sessions), session == F.col("_cut_session"), "left"
+        timed.groupBy(session.alias("_session"))
+        .agg(
+            F.count("*").alias("_rows"),
+            F.greatest(F.floor(fitting), F.lit(slicing.least_us)).alias("_width"),
+        )
+        .where(F.col("_rows") > slicing.crowded_rows)
+        .select("_session", "_width")
     )
-    hours = (
-        timed.where(F.col("_cut_session").isNotNull() & micros.isNotNull())
-        .groupBy(F.col("_cut_session").alias("_full_session"), hour.alias("_full_hour"))
+    timed = timed.join(F.broadcast(sessions), session == F.col("_session"), "left").drop("_session")
+    stretches = (
+        timed.where(width.isNotNull() & micros.isNotNull())
+        .groupBy(session.alias("_session"), start.alias("_start"))
         .agg(F.count("*").alias("_rows"))
-        .where(crowded)
-        .drop("_rows")
+        .where(F.col("_rows") > slicing.crowded_rows)
+        .select("_session", "_start")
     )
     marked = timed.join(
-        F.broadcast(hours),
-        (F.col("_cut_session") == F.col("_full_session")) & (hour == F.col("_full_hour")),
-        "left",
-    )
-    whole = F.col("_cut_session").isNull()
-    width = F.when(F.col("_full_hour").isNull(), F.lit(HOUR_US)).otherwise(F.lit(SECOND_US))
-    past_start = F.pmod(micros, width)
+        F.broadcast(stretches), (session == F.col("_session")) & (start == F.col("_start")), "left"
+    ).withColumn("_width", F.when(F.col("_start").isNull(), width).otherwise(F.lit(1)))
+
+    whole = width.isNull()
     block = F.shiftright(F.col("event_id").cast("bigint"), slicing.block_bits)
     return (
         marked.withColumn("_cut", ~whole)
-        .withColumn(
-            "_slice",
-            F.when(whole, F.lit(0)).otherwise(F.coalesce(micros - past_start, F.lit(AFTER_ALL))),
-        )
+        .withColumn("_slice", F.when(whole, F.lit(0)).otherwise(F.coalesce(start, F.lit(AFTER_ALL))))
         .withColumn(
             "_block",
-            F.when(whole | (past_start > 0), F.lit(AFTER_ALL)).otherwise(
+            F.when(whole | (micros > start), F.lit(AFTER_ALL)).otherwise(
                 F.coalesce(block, F.lit(AFTER_ALL - 1))
             ),
         )
-        .drop("_us", "_cut_session", "_full_session", "_full_hour")
+        .drop("_us", "_width", "_session", "_start")
     )
 
 

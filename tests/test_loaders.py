@@ -5,6 +5,7 @@ import json
 import pytest
 
 from agentlake.schemas import CONVERSATIONS_SCHEMA, EVENT_SCHEMA, GENERATION_STATUS_SCHEMA
+from agentlake.sources.json_tree import APP_ID_FIELD
 from agentlake.sources import load_conversations, load_events, load_flat_events, load_generation_status
 
 
@@ -71,8 +72,8 @@ def test_missing_parts_and_fallbacks(spark, tmp_path):
     rows = load_one(
         spark, tmp_path,
         {"event_id": "7", "content": None, "ext": None},
-        {"session_id": "", "content": {"source": "", "timestamp": ""}, "ext": {"source": "x", "miaoda_app_id": ""}},
-        {"event_id": 9.0, "session_id": "other", "ext": {"miaoda_app_id": "own", "agent_name": "helper"}},
+        {"session_id": "", "content": {"source": "", "timestamp": ""}, "ext": {"source": "x", APP_ID_FIELD: ""}},
+        {"event_id": 9.0, "session_id": "other", "ext": {APP_ID_FIELD: "own", "agent_name": "helper"}},
     )
     assert [r["event_id"] for r in rows] == [0, 7, 9]
     assert [r["dt"] for r in rows] == ["1970-01-01"] * 3
@@ -167,7 +168,7 @@ def test_conversations(spark, tmp_path):
         tmp_path / "app-x/conversations.json",
         [
             {"conversation_id": "c1", "llm_model": "m", "total_tokens": 12, "prompt_tokens": 9,
-             "completion_tokens": 3, "accumulated_cost": 0.5, "created_at": "2024", "ext": {"miaoda_app_id": "own"}},
+             "completion_tokens": 3, "accumulated_cost": 0.5, "created_at": "2024", "ext": {APP_ID_FIELD: "own"}},
             {"id": "c2", "ext": None},
         ],
     )

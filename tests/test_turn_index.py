@@ -10,7 +10,12 @@ from agentlake.operators import assign_turn_index, carry_turn_index
 from agentlake.operators.slices import Slicing, with_slices
 
 SCHEMA = "row INT, session_id STRING, ts TIMESTAMP, event_id BIGINT, event_type STRING, turn_index BIGINT"
-SLICINGS = [Slicing(), Slicing(crowded_rows=10, block_bits=1), Slicing(crowded_rows=0, block_bits=0)]
+SLICINGS = [
+    Slicing(),
+    Slicing(crowded_rows=10, block_bits=1),
+    Slicing(crowded_rows=60, least_us=1, block_bits=2),
+    Slicing(crowded_rows=0, least_us=1, block_bits=0),
+]
 
 
 def _random_events(seed):
@@ -92,16 +97,18 @@ def test_carrying_matches_a_loop(spark, slicing, seed):
 
 
 def test_slices_stay_small_and_in_order(spark):
-    """Neither a crowded hour nor equal or missing timestamps make a large slice."""
+    """Neither a burst of events nor equal or missing timestamps make a large slice."""
     noon = datetime(2024, 1, 1, 12)
     rows = [(i, "hot", noon + timedelta(milliseconds=20 * i), i, "error", None) for i in range(1, 600)]
     rows += [(i, "hot", noon + timedelta(hours=1), i, "error", None) for i in range(600, 900)]
     rows += [(i, "hot", None, i, "error", None) for i in range(900, 1200)]
+    odd = noon + timedelta(hours=2, microseconds=123)
+    rows[900:900] = [(10_000 + i, "hot", odd, i, "error", None) for i in range(300)]
     rows += [(i, "small", noon + timedelta(hours=i), i, "error", None) for i in range(1200, 1264)]
     df = with_slices(spark.createDataFrame(rows, SCHEMA), Slicing(crowded_rows=100, block_bits=6))
     sizes = df.groupBy("session_id", "_slice", "_block").count().agg(F.max("count")).first()[0]
     assert sizes <= 64
-    hot = df.where("session_id = 'hot'").orderBy("row").collect()
+    hot = df.where("session_id = 'hot'").orderBy(F.asc_nulls_last("ts"), "event_id").collect()
     placed = [(r["_slice"], r["_block"]) for r in hot]
     assert placed == sorted(placed) and {r["_cut"] for r in hot} == {True}
     small = df.where("session_id = 'small'").select("_slice", "_block", "_cut").distinct().collect()
