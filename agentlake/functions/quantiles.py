@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 8192
+CELLS = 1024
 TARGET = ["metric", "q", "rank", "total"]
 
 
