@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from agentlake.llm import mixing
+
+ORACLES = {"op9_mix_sources": mixing.ORACLE}

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agentlake.llm.decontaminate import find_benchmark
+from agentlake.llm.jaccard_join import near_duplicates
+from agentlake.llm.mixing import mix_sizes
 from agentlake.llm.storage import new_folder
+from agentlake.llm.substring_dedup import remove_repeats
 from agentlake.llm.token_files import read_token_files, write_token_files
 
 #: Parameters of the token files.
@@ -41,4 +44,22 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {"op2_token_files": op2_token_files, "op3_decontaminate": op3_decontaminate}
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sizes(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {
+    "op2_token_files": op2_token_files,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op9_mix_sources": op9_mix_sources,
+}

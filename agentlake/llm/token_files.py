@@ -16,9 +16,11 @@ zstandard program can decompress a whole file.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,14 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 256 << 10
-#: Distinct words whose ids a task keeps.
-CACHED_WORDS = 400_000
+#: Distinct words whose ids a worker process keeps (about 200 bytes each).
+CACHED_WORDS = 800_000
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str, end_id: int) -> WordEncoder:
+    """The encoder of a worker process; later tasks find the words that earlier ones learned."""
+    return WordEncoder(path, end_id)
 
 
 class WordEncoder:
@@ -47,10 +55,14 @@ class WordEncoder:
     pieces and special tokens hold no white space)."""
 
     def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        # a special token between words keeps them apart, and its id tells where one ends
+        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        self.border, self.border_id = special[-1] if special else (None, -1)
         self._clear()
 
     def _clear(self) -> None:
@@ -58,13 +70,23 @@ class WordEncoder:
         self.lengths = np.array([1], dtype=np.int64)  # entry 0 is the end of a document
         self.ids = np.array([self.end_id], dtype=np.uint32)
 
+    def _ids(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word; words go through the tokenizer a few dozen at a time."""
+        if self.border is None or any(self.border in w for w in words):
+            return [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        runs = [self.border.join([*words[i : i + 64], ""]) for i in range(0, len(words), 64)]
+        coded = [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        flat = np.concatenate(coded)
+        ends = np.flatnonzero(flat == self.border_id)
+        return [part[:-1] for part in np.split(flat, ends[:-1] + 1)]
+
     def _learn(self, words: list[bytes]) -> None:
-        first = len(self.lengths)
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        lists = [c.ids for c in coded]
-        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, lists), np.int64, len(lists))])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.uint32)])
-        self.numbers.update(zip(words, range(first, first + len(words))))
+        for low in range(0, len(words), 8192):
+            some = words[low : low + 8192]
+            lists = self._ids([w.decode() for w in some])
+            self.numbers.update(zip(some, range(len(self.lengths), len(self.lengths) + len(some))))
+            self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, lists), np.int64, len(lists))])
+            self.ids = np.concatenate([self.ids, *lists])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
@@ -196,7 +218,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _file_system(folder)
-        encoder = WordEncoder(tokenizer, end_id)
+        encoder = word_encoder(tokenizer, end_id)
         name, sink, writer = f"tokens-{uuid.uuid4().hex}.zst", None, None
         for batch in batches:
             for part in slices(batch):
