@@ -56,21 +56,24 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     A null or empty text has size 0 and gives nothing; a null source is a source of its own. Equal rows are documents
     of their own. A null doc_id has a key like any other. Empty tables give empty results. Targets are doubles.
     """
-    docs = without(docs, RESULTS)
+    return _mixed(without(docs, RESULTS), docs.columns, weights, share, most, seed)
+
+
+def mix_sizes(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
+    """As ``mix_sources``, but returns only doc_id, source and the four results; texts are read once and left behind."""
+    return _mixed(docs, ["doc_id", "source"], weights, share, most, seed)
+
+
+def _mixed(docs: DataFrame, kept: list[str], weights: Sequence[float], share: float, most: float, seed: int) -> DataFrame:
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(str(seed))))
     # columns of the input travel under one name, so that theirs can't clash with the working ones
     sized = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("source").isNull().alias("no_source"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c in kept)).alias("row"), F.col("source").isNull().alias("no_source"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source_key"),
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), key.alias("key"))
     return _taken(materialize(sized, "sized"), weights, share, most).select("row.*", *RESULTS)
 
 
-def mix_sizes(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
-    """As ``mix_sources``, but returns only doc_id, source and the four results; texts are read once and left behind."""
-    return mix_sources(docs.select("doc_id", "source", "text"), weights, share, most, seed).drop("text")
-
-
 def _taken(sized: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     ranges = max(1, math.isqrt(sized.count()))
     place = (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / F.lit(1 << 32)).cast("long")

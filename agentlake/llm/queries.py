@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from agentlake.llm.decontaminate import find_benchmark
 from agentlake.llm.jaccard_join import near_duplicates
+from agentlake.llm.labelled import fold_of
 from agentlake.llm.mixing import mix_sizes
+from agentlake.llm.quality_model import score_quality, train_quality
 from agentlake.llm.storage import new_folder
 from agentlake.llm.substring_dedup import remove_repeats
 from agentlake.llm.token_files import read_token_files, write_token_files
+from agentlake.llm.toxicity import score_toxicity, train_toxicity
 
 #: Parameters of the token files.
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +36,12 @@ def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(docs, _table(spark, sf_dir, "labels"), lambda d: fold_of(d, 3) == 1)
+    return score_toxicity(docs, model, keep=["doc_id"]).select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, _table(spark, sf_dir, "documents"))
 
@@ -48,6 +57,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_quality(docs, _table(spark, sf_dir, "labels"), lambda d: fold_of(d, 5) == 0)
+    return score_quality(docs, model, keep=["doc_id"]).select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -57,9 +72,11 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
     "op3_decontaminate": op3_decontaminate,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality_model": op5_quality_model,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_mix_sources": op9_mix_sources,
 }

@@ -16,6 +16,7 @@ zstandard program can decompress a whole file.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -49,10 +50,24 @@ def word_encoder(path: str, end_id: int) -> WordEncoder:
     return WordEncoder(path, end_id)
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 1  # 0 is the end of a document
+        self.new.append(word)
+        return number
+
+
 class WordEncoder:
     """Encodes texts word by word with a tokenizer that never joins across ASCII white space and drops it, keeping the
     ids of words seen before. Equal to encoding whole texts for such a tokenizer (word-level pre-tokenizers whose
-    pieces and special tokens hold no white space)."""
+    pieces and special tokens hold no white space). A-Z is folded first if the tokenizer does so,
+    which leaves fewer different words."""
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
@@ -60,54 +75,64 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        added = list(self.tokenizer.get_added_tokens_decoder().items())
+        self.added = [t.content.encode() for _, t in added]
         # a special token between words keeps them apart, and its id tells where one ends
-        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        special = [(t.content, i) for i, t in added if t.special and not (t.lstrip or t.rstrip or t.single_word)]
         self.border, self.border_id = special[-1] if special else (None, -1)
+        with open(path, "rb") as file:
+            settings = json.load(file)
+        self.fold = any(x["type"] == "Lowercase" for x in (settings["normalizer"] or {}).get("normalizers", []))
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = _Numbers()
         self.lengths = np.array([1], dtype=np.int64)  # entry 0 is the end of a document
         self.ids = np.array([self.end_id], dtype=np.uint32)
 
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; words go through the tokenizer a few dozen at a time."""
+    def _words(self, text: str | None) -> list[bytes]:
+        raw = (text or "").encode()
+        folded = raw.lower() if self.fold else raw  # bytes: A-Z only
+        return (raw if any(x in folded for x in self.added) else folded).split()
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids; words go through the tokenizer a few dozen at a time."""
         if self.border is None or any(self.border in w for w in words):
-            return [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            coded = [c.ids for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            return np.array([len(c) for c in coded], np.int64), np.array([i for c in coded for i in c], np.uint32)
         runs = [self.border.join([*words[i : i + 64], ""]) for i in range(0, len(words), 64)]
-        coded = [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-        flat = np.concatenate(coded)
-        ends = np.flatnonzero(flat == self.border_id)
-        return [part[:-1] for part in np.split(flat, ends[:-1] + 1)]
+        flat = np.concatenate([np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
+        border = flat == self.border_id
+        return np.diff(np.flatnonzero(border), prepend=-1) - 1, flat[~border]
 
     def _learn(self, words: list[bytes]) -> None:
         for low in range(0, len(words), 8192):
-            some = words[low : low + 8192]
-            lists = self._ids([w.decode() for w in some])
-            self.numbers.update(zip(some, range(len(self.lengths), len(self.lengths) + len(some))))
-            self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, lists), np.int64, len(lists))])
-            self.ids = np.concatenate([self.ids, *lists])
+            lengths, ids = self._ids([w.decode() for w in words[low : low + 8192]])
+            self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
-        split = [(t or "").encode().split() for t in texts]
         if len(self.numbers) > CACHED_WORDS:
             self._clear()
-        new = set().union(*split).difference(self.numbers)
-        if new:
-            self._learn(list(new))
-        number = self.numbers.__getitem__
-        order = np.concatenate([np.append(np.fromiter(map(number, w), np.int64, len(w)), 0) for w in split])
+        number, orders = self.numbers.__getitem__, []
+        for text in texts:
+            parts = self._words(text)
+            parts.append(b"")
+            orders.append(np.fromiter(map(number, parts), np.int64, len(parts)))
+            orders[-1][-1] = 0
+        self._learn(self.numbers.new)
+        self.numbers.new = []
+        order = np.concatenate(orders)
         lengths = self.lengths[order]
         starts = (np.cumsum(self.lengths) - self.lengths)[order]
         ends = np.cumsum(lengths)
         ids = self.ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])]
-        last = np.cumsum([len(w) + 1 for w in split]) - 1
+        last = np.cumsum([len(o) for o in orders]) - 1
         return ids, np.diff(ends[last], prepend=0)
 
 
 class TokenFileWriter:
-    def __init__(self, sink, frame_bytes: int = FRAME_BYTES, level: int = 3):
+    def __init__(self, sink, frame_bytes: int = FRAME_BYTES, level: int = 1):
         self.sink, self.frame_bytes = sink, frame_bytes
         self.compressor = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
         self.table: list[tuple[int, int, int]] = []

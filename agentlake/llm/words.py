@@ -74,13 +74,14 @@ def _power_table(base: int, size: int) -> np.ndarray:
 @dataclass
 class Words:
     """Words of some texts, in order. ``start``/``end`` are byte offsets into ``buffer``; ``first[i]`` is the number of
-    words before text i (one more entry at the end); ``doc`` is the text of each word."""
+    words before text i and ``offsets[i]`` its first byte (one more entry each at the end); ``doc`` is the text of each word."""
 
     buffer: np.ndarray
     start: np.ndarray
     end: np.ndarray
     doc: np.ndarray
     first: np.ndarray
+    offsets: np.ndarray
     _fold: bool
 
     @property
@@ -129,7 +130,7 @@ def find_words(texts: pa.Array, word_bytes: np.ndarray = NOT_SPACE, fold: bool =
     data = joined.buffers()[2]
     if data is None or len(joined) == 0:
         none = np.empty(0, np.int64)
-        return Words(np.empty(0, np.uint8), none, none, none, np.zeros(len(joined) + 1, np.int64), fold)
+        return Words(np.empty(0, np.uint8), none, none, none, np.zeros(len(joined) + 1, np.int64), np.zeros(len(joined) + 1, np.int64), fold)
     buffer = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     inside = word_bytes[buffer]
@@ -137,7 +138,7 @@ def find_words(texts: pa.Array, word_bytes: np.ndarray = NOT_SPACE, fold: bool =
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     first = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(len(joined)), np.diff(first))
-    return Words(buffer, start, end, doc, first, fold)
+    return Words(buffer, start, end, doc, first, offsets, fold)
 
 
 def slices(table: pa.Table | pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
