@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from agentlake.llm import mixing
+from agentlake.llm import line_rules, mixing
 
-ORACLES = {"op9_mix_sources": mixing.ORACLE}
+ORACLES = {"op6_line_rules": line_rules.ORACLE, "op9_mix_sources": mixing.ORACLE}

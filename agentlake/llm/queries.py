@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agentlake.llm.decontaminate import find_benchmark
+from agentlake.llm.html_extract import extract_pages
 from agentlake.llm.jaccard_join import near_duplicates
 from agentlake.llm.labelled import fold_of
+from agentlake.llm.line_rules import judge_lines
 from agentlake.llm.mixing import mix_sizes
 from agentlake.llm.quality_model import score_quality, train_quality
 from agentlake.llm.storage import new_folder
 from agentlake.llm.substring_dedup import remove_repeats
+from agentlake.llm.token_counts import count_tokens
 from agentlake.llm.token_files import read_token_files, write_token_files
 from agentlake.llm.toxicity import score_toxicity, train_toxicity
 
 #: Parameters of the token files.
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+#: Pieces and scores of the token counts.
+VOCABULARY = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,20 +68,36 @@ def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model, keep=["doc_id"]).select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_lines(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(VOCABULARY), keep=["doc_id"]).select("doc_id", "n_tokens", "best_score")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
     "op3_decontaminate": op3_decontaminate,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_model": op5_quality_model,
+    "op6_line_rules": op6_line_rules,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_html_extract": op8_html_extract,
     "op9_mix_sources": op9_mix_sources,
+    "op10_token_counts": op10_token_counts,
 }
