@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 GROUP_BYTES = 8 << 20
 #: Bytes of text whose windows one bucket compares.
 BUCKET_BYTES = 12 << 20
-#: Pieces of the doc_id distribution that groups follow.
-PIECES = 64
+#: Most pieces of the doc_id distribution that groups follow.
+PIECES = 256
 
 MESSAGE = "bucket long, grp long, payload binary"
 ANSWER = "grp long, payload binary"
@@ -31,36 +31,50 @@ ANSWER = "grp long, payload binary"
 
 @dataclass(frozen=True)
 class Layout:
-    """How many groups and buckets, and which ids a group holds."""
+    """How many groups and buckets, and which ids a group holds: ``parts[i]`` groups between two neighbouring bounds."""
 
     bounds: tuple[float, ...]
-    groups: int
+    parts: tuple[int, ...]
     buckets: int
     bits: int  # of a hash that serves as a filter; false hits cost work, not results
 
+    @property
+    def groups(self) -> int:
+        return sum(self.parts) + 1  # the last is for null ids
+
     @property
     def partitions(self) -> int:
-        return min(self.groups + 1, 2000 + self.groups // 16)
+        return min(self.groups, 2000 + self.groups // 16)
 
     def group(self, doc_id: Column) -> Column:
-        """Ascending with doc_id, about equally many documents each; null ids last."""
-        if len(self.bounds) < 2:
-            return F.when(doc_id.isNull(), F.lit(1)).otherwise(0).cast("long")
-        bounds = F.array(*(F.lit(b) for b in self.bounds))
-        value = doc_id.cast("double")
-        piece = F.least(F.greatest(F.size(F.filter(bounds, lambda b: b <= value)), F.lit(1)), F.lit(len(self.bounds) - 1))
-        low, high = F.element_at(bounds, piece), F.element_at(bounds, piece + 1)
-        part = F.least(F.greatest((value - low) / (high - low), F.lit(0.0)), F.lit(1.0))
-        place = (piece - 1 + part) / F.lit(len(self.bounds) - 1) * F.lit(self.groups)
-        return F.when(doc_id.isNull(), F.lit(self.groups)).otherwise(F.least(F.floor(place), F.lit(self.groups - 1))).cast("long")
+        """Ascending with doc_id, of about equal size; null ids last."""
+        value, piece = doc_id.cast("double"), piece_of(doc_id, self.bounds)
+        low, high = (F.element_at(F.array(*(F.lit(b) for b in self.bounds)), piece + k) for k in (0, 1))
+        starts = [sum(self.parts[:k]) for k in range(len(self.parts))]
+        start, parts = (F.element_at(F.array(*(F.lit(v) for v in values)), piece) for values in (starts, self.parts))
+        inside = F.floor(F.greatest((value - low) / F.greatest(high - low, F.lit(1e-9)), F.lit(0.0)) * parts)
+        return F.when(doc_id.isNull(), F.lit(self.groups - 1)).otherwise(start + F.least(inside, parts - 1)).cast("long")
+
+
+def piece_of(doc_id: Column, bounds: tuple[float, ...]) -> Column:
+    """Number, from 1, of the piece between two bounds that an id lies in."""
+    inner = F.array(*(F.lit(b) for b in bounds[1:-1])) if len(bounds) > 2 else F.array().cast("array<double>")
+    return F.size(F.filter(inner, lambda b: b <= doc_id.cast("double"))) + 1
 
 
 def plan_layout(docs: DataFrame, group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES) -> Layout:
-    """One pass over the sizes of all texts and one over the ids (a few quantiles, however many there are)."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    quantiles = docs.approxQuantile("doc_id", [k / PIECES for k in range(PIECES + 1)], 1 / (4 * PIECES)) if size else []
+    """Bounds are quantiles of the ids, at most ``PIECES``; each piece is divided by the bytes of its texts."""
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
+    rows = docs.select("doc_id", "text")
+    whole = rows.agg(size).first()[0]
+    pieces = min(PIECES, max(1, whole // group_bytes))
+    quantiles = docs.where("doc_id IS NOT NULL").approxQuantile("doc_id", [k / pieces for k in range(pieces + 1)], 1 / (4 * pieces)) if whole else []
     bounds = tuple(sorted(set(quantiles)))
-    return Layout(bounds, max(1, math.ceil(size / group_bytes)), max(1, math.ceil(size / bucket_bytes)), min(64, max(1, size // 4).bit_length() + 12))
+    if len(bounds) < 2:
+        bounds = (bounds or (0.0,)) * 2
+    sizes = dict(rows.where("doc_id IS NOT NULL").groupBy(piece_of(F.col("doc_id"), bounds).alias("piece")).agg(size).collect())
+    parts = tuple(max(1, math.ceil(sizes.get(k + 1, 0) / group_bytes)) for k in range(len(bounds) - 1))
+    return Layout(bounds, parts, max(1, math.ceil(whole / bucket_bytes)), min(64, max(1, whole // 4).bit_length() + 12))
 
 
 def in_groups(docs: DataFrame, layout: Layout) -> DataFrame:
