@@ -8,16 +8,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made for local sessions without a setting.
+_own: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only a local master may go without: then a temporary folder is made and set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """``spark.checkpoint.dir`` of the session, as a whole URI. Only a local master may go without: then a temporary folder is made."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not folder:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="agentlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+        _own[spark.sparkContext.applicationId] = folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1).replace("file://///", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

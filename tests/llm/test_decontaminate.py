@@ -1,0 +1,48 @@
+import random
+
+from agentlake.llm.decontaminate import WuManber, find_benchmark
+from tests.llm.plain import EDGE_TEXTS, docs_of, plain_found, random_texts
+import numpy as np
+
+
+def bench(spark, items):
+    return spark.createDataFrame(items, "item_id long, text string")
+
+
+def rows(df):
+    return [(r.n_words, r.n_hit, r.found_items) for r in df.orderBy("doc_id").collect()]
+
+
+def test_equals_plain_search(spark):
+    texts = random_texts(150, seed=3) + EDGE_TEXTS + EDGE_TEXTS[:3]
+    r = random.Random(1)
+    items = [(k, " ".join(t.split()[a : a + 14])) for k, t in enumerate(texts[:60]) if t for a in [r.randint(0, 20)]]
+    items += [(100, "w7"), (101, "W8, w9"), (102, None), (103, ""), (None, "one two three"), (104, "w7"), (104, "one")]
+    docs = docs_of(spark, texts)
+    expected = plain_found(texts, items)
+    assert rows(find_benchmark(docs, bench(spark, items))) == expected
+    assert sum(e[1] > 0 for e in expected) > 20
+    # blocks of a few patterns each, marked pass after pass
+    assert rows(find_benchmark(docs, bench(spark, items), block_bytes=8000)) == expected
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    docs = docs_of(spark, ["one two", None]).selectExpr("*", "'x' AS N_words", "1 AS hit_bits", "2 AS `a b`")
+    none = find_benchmark(docs, bench(spark, []))
+    assert rows(none) == [(2, 0, []), (0, 0, [])] and none.columns == ["doc_id", "text", "lang", "source", "n_chars", "a b", "n_words", "n_hit", "found_items"]
+    assert find_benchmark(docs.limit(0), bench(spark, [(1, "one")])).collect() == []
+
+
+def test_no_match_across_documents(spark):
+    assert [r[1] for r in rows(find_benchmark(docs_of(spark, ["a b", "c d", "b c"]), bench(spark, [(1, "b c")])))] == [0, 0, 2]
+
+
+def test_search_finds_every_place():
+    r = random.Random(4)
+    for _ in range(200):
+        text = bytes(r.choice(b"ab ") for _ in range(r.randint(0, 80)))
+        patterns = list({bytes(r.choice(b"ab ") for _ in range(r.randint(1, 12))) for _ in range(r.randint(1, 8))})
+        places, numbers = WuManber(patterns).find(np.frombuffer(text, np.uint8))
+        expected = sorted((k, n) for n, p in enumerate(patterns) for k in range(len(text) - len(p) + 1) if text.startswith(p, k))
+        least = min(map(len, patterns))
+        assert sorted(zip(places, numbers)) == [e for e in expected if e[0] <= len(text) - least]

@@ -1,0 +1,81 @@
+"""Line rules and mixing: DataFrame functions, held against SQL."""
+
+import duckdb
+import pytest
+
+from agentlake.llm import line_rules, mixing
+from tests.compare import bag
+from tests.llm.plain import EDGE_TEXTS, docs_of, random_texts
+
+LINES = [
+    "A line that says something, and ends.\nHome | News | Sport | Contact | About\nMenu\n\nMenu\nAll rights reserved.\n" + "Enough " + " ".join(f"words{k}" for k in range(60)) + ".",
+    "### bad*** line&&& of$$$ signs%%%\n" * 20 + "short one.",
+    "SHOUT!! MORE!! AND!! MORE!!\r\nSHOUT!! MORE!! AND!! MORE!!\r\n" + " ".join(f"plain{k}" for k in range(60)) + ".",
+    "x y z " * 40, "a b a b a b", "one two three four\n \n\x0b\none two three four", "« a » b · c | d",
+]
+
+
+def duck_over(docs):
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    return con
+
+
+def columns_of(df, names):
+    return bag(names, df.select(*names).collect())
+
+
+def test_line_rules_equal_sql(spark):
+    docs = docs_of(spark, LINES + EDGE_TEXTS[:-1] + random_texts(60, seed=1) + LINES[:2])
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    expected = duck_over(docs).execute(line_rules.ORACLE)
+    assert [d[0] for d in expected.description] == names
+    assert columns_of(line_rules.judge_lines(docs), names) == bag(names, expected.fetchall())
+
+
+def test_lines_are_removed_and_documents_rejected(spark):
+    rows = line_rules.judge_lines(docs_of(spark, LINES)).orderBy("doc_id").collect()
+    assert [r.kept for r in rows] == [True, False, True, False, False, False, False]
+    lines = rows[0].clean_text.split("\n")
+    assert lines[:2] == ["A line that says something, and ends.", ""] and len(lines) == 3 and lines[2].startswith("Enough")
+    assert rows[0].n_dup_lines == 1 and rows[4].n_repeat_words == 6 and rows[5].n_dup_lines == 1
+
+
+def test_line_rules_on_clashing_columns_and_no_rows(spark):
+    docs = docs_of(spark, ["a", None]).selectExpr("*", "1 AS Kept", "2 AS row", "3 AS words")
+    got = line_rules.judge_lines(docs)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "row", "words", *line_rules.RESULTS]
+    assert [(r.n_words, r.base_failed, r.kept) for r in got.orderBy("doc_id").collect()] == [(1, True, False), (0, True, False)]
+    assert line_rules.judge_lines(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("texts", [random_texts(200, seed=3) + EDGE_TEXTS, ["a b c"] * 9, ["", None]])
+def test_mixing_equals_sql(spark, texts):
+    docs = docs_of(spark, texts)
+    names = ["doc_id", "size", "source_size", "target", "taken"]
+    expected = duck_over(docs).execute(mixing.ORACLE)
+    assert [d[0] for d in expected.description] == names
+    expected = expected.fetchall()
+    got = mixing.mix_sizes(docs)
+    assert columns_of(got, names) == bag(names, expected)
+    assert columns_of(mixing.mix_sizes(docs.repartition(7)), names) == columns_of(got, names)
+
+
+def test_mix_meets_its_targets(spark):
+    docs = docs_of(spark, random_texts(300, seed=9))
+    rows = mixing.mix_sources(docs).collect()
+    size = sum(r.size for r in rows)
+    targets = {r.source: (r.target, r.source_size) for r in rows}
+    assert abs(sum(t for t, _ in targets.values()) - 1.5 * size) < 1e-6 * size
+    for source, (target, whole) in targets.items():
+        assert target <= 2 * whole and abs(sum(r.taken for r in rows if r.source == source) - target) <= 0.5
+    assert all(0 <= r.taken <= 2 * r.size for r in rows) and len(rows) == 300
+    level = {t / w for (t, whole), w in ((targets[s], w) for s, w in zip(["src0", "src1", "src2", None], [5, 2, 1, 5])) if t < 2 * whole}
+    assert max(level) - min(level) < 1e-6 * max(level)
+
+
+def test_mixing_repeated_rows_nulls_and_clashes(spark):
+    docs = docs_of(spark, ["a b", "a b", None, "c"], [1, 1, 2, None]).selectExpr("*", "'x' AS Target", "9 AS key", "8 AS rest")
+    got = mixing.mix_sources(docs)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "rest", *mixing.RESULTS]
+    assert got.count() == 4 and mixing.mix_sources(docs.limit(0)).collect() == []
