@@ -91,7 +91,7 @@ def with_slices(events: DataFrame, slicing: Slicing) -> DataFrame:
 def event_order(events: DataFrame) -> list[Column]:
     """Order of events in a session; the last two only settle full ties, so that
     every evaluation, also one repeated after a lost executor, agrees on them."""
-    ties = [F.col(c).asc_nulls_last() for c in ("turn_index", "event_type") if c in events.columns]
+    ties = [F.col(c).asc_nulls_last() for c in ("position", "turn_index", "event_type") if c in events.columns]
     return [timestamp_of(events).asc_nulls_last(), F.col("event_id").asc_nulls_last(), *ties]
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import (
+    Catalog,
     Lake,
     TableSpec,
     default_catalog,
@@ -23,20 +26,51 @@ def evaluate_logs(
 ) -> dict[str, dict[str, DataFrame]]:
     """Load the logs under ``data_dir``, run the log reports and write them.
 
-    The JSON is parsed once, into Parquet tables under ``out_dir/lake``; the
-    reports read only the columns they need from there. Their results go to
-    ``out_dir/reports/<report>/<table>`` and are returned as DataFrames.
+    The JSON is parsed once, into Parquet tables in a new folder beside ``out_dir/lake``. Only when all of them are
+    complete do they take its place, so a load that fails leaves earlier tables and reports as they were. The reports
+    read only the columns they need from there; their results go to ``out_dir/reports/<report>/<table>`` and are
+    returned as DataFrames. Logs without events give empty tables.
     """
     root = str(out_dir).rstrip("/")
-    catalog = default_catalog(f"{root}/lake")
-    for name in ("generation_status", "conversations"):
-        catalog.register(name, TableSpec(name, f"{root}/lake/raw/{name}"))
-    lake = Lake(spark, catalog)
-    lake.write(load_events(spark, data_dir, model_override), "raw_events", partition_by=["dt"], mode="overwrite")
-    lake.write(load_generation_status(spark, data_dir), "generation_status", mode="overwrite")
-    lake.write(load_conversations(spark, data_dir), "conversations", mode="overwrite")
-
-    tables = {name: lake.read(name) for name in ("raw_events", "generation_status", "conversations")}
-    reports = {name: run_report(name, tables) for name in LOG_REPORTS}
+    staging = f"{root}/lake-{uuid.uuid4().hex}"
+    tables = {
+        "raw_events": load_events(spark, data_dir, model_override),
+        "generation_status": load_generation_status(spark, data_dir),
+        "conversations": load_conversations(spark, data_dir),
+    }
+    new = Lake(spark, _catalog(staging, tables))
+    try:
+        for name, df in tables.items():
+            new.write(df, name, partition_by=["dt"] if name == "raw_events" else None)
+    except BaseException:
+        _move(spark, staging, None)
+        raise
+    _move(spark, staging, f"{root}/lake")
+
+    lake = Lake(spark, _catalog(f"{root}/lake", tables))
+    stored = {name: lake.read(name) for name in tables}
+    reports = {name: run_report(name, stored) for name in LOG_REPORTS}
     write_reports(reports, f"{root}/reports")
     return reports
+
+
+def _catalog(root: str, tables: dict[str, DataFrame]) -> Catalog:
+    catalog = default_catalog(root)
+    for name, df in tables.items():
+        path = catalog.get(name).path if name in catalog.list() else f"{root}/raw/{name}"
+        catalog.register(name, TableSpec(name, path, schema=df.schema))
+    return catalog
+
+
+def _move(spark: SparkSession, source: str, target: str | None) -> None:
+    """Let ``source`` take the place of ``target``; without a target, delete it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    system = make(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if target is None:
+        system.delete(make(source), True)
+        return
+    aside = make(f"{source}-before")
+    if system.exists(make(target)):
+        system.rename(make(target), aside)
+    system.rename(make(source), make(target))
+    system.delete(aside, True)

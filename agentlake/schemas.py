@@ -38,13 +38,14 @@ CONVERSATIONS_SCHEMA = _schema(
 )
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``schema`` in its order and types; absent ones become nulls."""
+def conform(df: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
+    """Columns of ``schema`` in its order and types, then ``more`` ones; absent ones become nulls."""
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema
-        ]
+        ],
+        *more,
     )
 
 

@@ -17,7 +17,12 @@ FLAT_FIELDS = """
 
 
 def load_flat_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Event table of flat JSON-lines files; what a line lacks becomes null."""
+    """Event table of flat JSON-lines files; what a line lacks becomes null.
+
+    The format has no event ids: ``event_id`` is a number that ascends with the lines of a file, so that events of one
+    second keep their order.
+    """
     lines = spark.read.schema(FLAT_FIELDS).option("mode", "FAILFAST").json(path)
     rows = lines.withColumnsRenamed({"timestamp": "ts", "conversation_id": "session_id"})
+    rows = rows.withColumn("event_id", F.monotonically_increasing_id())
     return conform(rows.withColumn("dt", event_date(F.col("ts"))), EVENT_SCHEMA)

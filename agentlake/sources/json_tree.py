@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,31 +46,48 @@ CONVERSATION_FIELDS = f"""
 
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 FAIL_FAST = {"mode": "FAILFAST"}
+#: Metadata files of at most so many bytes in all are small enough to send their models to every task.
+SMALL_METADATA = 16 << 20
 
 
-def read_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """Whole files under ``root`` that match ``pattern``: app_dir, conv_dir, text."""
-    root = str(root)
-    if not re.match(SCHEME, root):
-        root = os.path.abspath(root)
+def resolve_roots(spark: SparkSession, roots: str | Sequence[str]) -> list[str]:
+    """Directories that the given paths or globs name, as the file system itself writes them.
+
+    Relative paths are completed by the file system in use. A path that names nothing raises FileNotFoundError.
+    """
+    conf, found = spark._jsc.hadoopConfiguration(), {}
+    for root in [roots] if isinstance(roots, (str, os.PathLike)) else roots:
+        path = spark._jvm.org.apache.hadoop.fs.Path(str(root))
+        statuses = path.getFileSystem(conf).globStatus(path)
+        if not statuses:
+            raise FileNotFoundError(f"no such log directory: {root}")
+        found.update((status.getPath().toString(), None) for status in statuses)
+    return list(found)
+
+
+def read_files(spark: SparkSession, roots: str | Sequence[str], pattern: str) -> DataFrame:
+    """Whole files below ``roots`` that match ``pattern``: app_dir, conv_dir, text.
+
+    ``pattern`` describes the last parts of a path, which must lie directly in one of the roots.
+    """
+    resolved = resolve_roots(spark, roots)
     file_name = pattern.rsplit("(", 1)[1].rstrip(")$").replace("\\", "")
-    base = re.sub(SCHEME, "", root).rstrip("/") + "/"
     files = (
         spark.read.option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_name)
-        .text(root)
+        .text([re.sub(r"([*?\[\]{}\\])", r"\\\1", root) for root in resolved])
     )
     # Paths are URL-encoded, where a plus sign still stands for itself.
     decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     path = F.regexp_replace(decoded, SCHEME, "")
-    below = F.when(F.startswith(path, F.lit(base)), F.substring(path, len(base) + 1, 1 << 20))
-    return files.select(below.alias("below"), F.col("value").alias("text")).where(
-        F.col("below").rlike(pattern)
-    ).select(
-        F.regexp_extract("below", pattern, 1).alias("app_dir"),
-        F.regexp_extract("below", pattern, 2).alias("conv_dir"),
-        "text",
+    parts = "^(.*)/" + pattern.removeprefix("^").replace("/()", "/").replace("()", "")
+    names = [F.regexp_extract("path", parts, k) for k in (2, 3)]
+    bases = [re.sub(SCHEME, "", root).rstrip("/") for root in resolved]
+    return (
+        files.select(path.alias("path"), F.col("value").alias("text"))
+        .where(F.col("path").rlike(parts) & F.regexp_extract("path", parts, 1).isin(*bases))
+        .select(names[0].alias("app_dir"), (names[1] if "conv-" in pattern else F.lit("")).alias("conv_dir"), "text")
     )
 
 
@@ -85,8 +103,9 @@ def _parsed_array(element_type: str) -> Column:
 
 
 def array_elements(files: DataFrame) -> DataFrame:
-    """One row per element of each file: app_dir, conv_dir, element (JSON text)."""
-    return files.select("app_dir", "conv_dir", F.explode(_parsed_array("string")).alias("element"))
+    """One row per element of each file: app_dir, conv_dir, position, element (JSON text)."""
+    elements = F.posexplode(_parsed_array("string")).alias("position", "element")
+    return files.select(*[c for c in files.columns if c != "text"], elements)
 
 
 def array_records(files: DataFrame, fields: str) -> DataFrame:
@@ -96,21 +115,26 @@ def array_records(files: DataFrame, fields: str) -> DataFrame:
 
 
 def _number(name: str | Column, type_name: str) -> Column:
-    return (F.col(name) if isinstance(name, str) else name).cast("double").cast(type_name)
+    """A number written as 7, 7.0 or "7"; whole numbers keep all their digits, fractions are cut off for BIGINT."""
+    value = F.col(name) if isinstance(name, str) else name
+    if type_name == "bigint":
+        return F.coalesce(value.try_cast("bigint"), value.cast("double").cast("bigint"))
+    return value.cast("double").cast(type_name)
 
 
 def _event_id(value: Column) -> Column:
-    return F.coalesce(value.try_cast("bigint"), _number(value, "bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(_number(value, "bigint"), F.lit(0).cast("bigint"))
 
 
 def flatten_events(elements: DataFrame) -> DataFrame:
-    """Event elements as event rows, ``model`` still null; keeps the directory names."""
+    """Event elements as event rows; keeps the directory names, the position and ``model`` if they are there."""
     action = F.col("e.content.action")
     tokens = "e.content.llm_metrics.accumulated_token_usage"
     parsed = elements.withColumn("e", F.from_json("element", EVENT_FIELDS, FAIL_FAST))
     rows = parsed.select(
         "app_dir",
         "conv_dir",
+        *[c for c in ("position", "model") if c in elements.columns],
         event_date(F.col("e.content.timestamp")).alias("dt"),
         F.coalesce(blank_to_null(F.col(f"e.ext.{APP_ID_FIELD}")), F.col("app_dir")).alias("app_id"),
         F.coalesce(blank_to_null(F.col("e.session_id")), F.col("conv_dir")).alias("session_id"),
@@ -127,7 +151,8 @@ def flatten_events(elements: DataFrame) -> DataFrame:
         F.col("element").alias("payload"),
     )
     columns = [column_or_null(rows, f.name, f.dataType.simpleString()) for f in EVENT_SCHEMA]
-    return rows.select("app_dir", "conv_dir", *columns)
+    position = [F.col("position").cast("bigint")] if "position" in elements.columns else []
+    return rows.select("app_dir", "conv_dir", *columns, *position)
 
 
 def conversation_models(records: DataFrame) -> DataFrame:
@@ -143,47 +168,58 @@ def conversation_models(records: DataFrame) -> DataFrame:
     )
 
 
-def attach_model(events: DataFrame, models: DataFrame | None, model_override: str | None = None) -> DataFrame:
-    """Set ``model`` of flattened events: the override, else the conversation's model."""
+def attach_model(rows: DataFrame, models: DataFrame | None, model_override: str | None = None) -> DataFrame:
+    """Set ``model`` of files, elements or flattened events: the override, else the conversation's model."""
     if model_override:
-        return events.withColumn("model", F.lit(model_override))
-    joined = events.drop("model").join(models, ["app_dir", "conv_dir"], "left")
+        return rows.withColumn("model", F.lit(model_override))
+    joined = rows.drop("model").join(models, ["app_dir", "conv_dir"], "left")
     return joined.withColumnRenamed("llm_model", "model")
 
 
-def load_events(spark: SparkSession, root: str, model_override: str | None = None) -> DataFrame:
-    """Event table of all ``app-*/conv-*/events.json`` files under ``root``."""
-    events = flatten_events(array_elements(read_files(spark, root, EVENT_FILES)))
-    models = None
-    if not model_override:
-        files = read_files(spark, root, CONVERSATION_FILES)
-        models = conversation_models(array_records(files, CONVERSATION_FIELDS))
-    return conform(attach_model(events, models, model_override), EVENT_SCHEMA)
+def _models(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
+    """Models of all conversations, marked for broadcast where the sizes of their files prove them small."""
+    models = conversation_models(array_records(read_files(spark, roots, CONVERSATION_FILES), CONVERSATION_FIELDS))
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "conversations.json")
+        .load([re.sub(r"([*?\[\]{}\\])", r"\\\1", root) for root in resolve_roots(spark, roots)])
+    )
+    size = listing.agg(F.sum("length")).first()[0] or 0
+    return F.broadcast(models) if size <= SMALL_METADATA else models
+
+
+def load_events(spark: SparkSession, root: str | Sequence[str], model_override: str | None = None) -> DataFrame:
+    """Event table of all ``app-*/conv-*/events.json`` files in ``root``: a directory, a glob or several.
+
+    After the event columns comes ``position``, the place in the file, by which events of equal time and id are ordered.
+    Models are looked up once for each file, before its events become rows; files are not moved for that unless the
+    metadata is large.
+    """
+    files = read_files(spark, root, EVENT_FILES)
+    files = attach_model(files, None if model_override else _models(spark, root), model_override)
+    events = flatten_events(array_elements(files))
+    return conform(events, EVENT_SCHEMA, "position")
 
 
 def flatten_generation_status(records: DataFrame) -> DataFrame:
     rounds = F.coalesce(F.col("record.react_detail_list"), F.array())
 
-    def total(field: str) -> Column:
-        return F.aggregate(
-            rounds,
-            F.lit(0.0),
-            lambda sum_, item: sum_ + F.coalesce(item[field].cast("double"), F.lit(0.0)),
-        )
+    def total(field: str, kind: str) -> Column:
+        zero = F.lit(0).cast(kind)
+        return F.aggregate(rounds, zero, lambda sum_, item: sum_ + F.coalesce(_number(item[field], kind), zero))
 
     rows = records.select(
         F.coalesce(blank_to_null(F.col("record.app_id")), F.col("app_dir")).alias("app_id"),
         "record.app_status",
         "record.app_type",
-        total("duration").alias("duration_s"),
-        total("react_rounds").alias("react_rounds"),
+        total("duration", "double").alias("duration_s"),
+        total("react_rounds", "bigint").alias("react_rounds"),
         "record.first_query",
     )
     return conform(rows, GENERATION_STATUS_SCHEMA)
 
 
-def load_generation_status(spark: SparkSession, root: str) -> DataFrame:
-    """One row per entry of all ``app-*/generation_status.json`` files under ``root``."""
+def load_generation_status(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    """One row per entry of all ``app-*/generation_status.json`` files in ``root``."""
     return flatten_generation_status(array_records(read_files(spark, root, STATUS_FILES), STATUS_FIELDS))
 
 
@@ -201,8 +237,8 @@ def flatten_conversations(records: DataFrame) -> DataFrame:
     return conform(rows, CONVERSATIONS_SCHEMA)
 
 
-def load_conversations(spark: SparkSession, root: str) -> DataFrame:
-    """One row per entry of all ``app-*/conversations.json`` files under ``root``."""
+def load_conversations(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    """One row per entry of all ``app-*/conversations.json`` files in ``root``."""
     return flatten_conversations(
         array_records(read_files(spark, root, CONVERSATION_FILES), CONVERSATION_FIELDS)
     )

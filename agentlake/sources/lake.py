@@ -11,6 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.apply import BatchOperator, Operator, apply
 
@@ -23,6 +24,8 @@ class TableSpec:
     schema_version: str = "v2"
     partition_keys: tuple[str, ...] = ()
     description: str = ""
+    #: With a schema, a table without files reads as an empty one.
+    schema: T.StructType | None = None
 
 
 class Catalog:
@@ -107,10 +110,20 @@ def _partition_values_as_text(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet with partition values kept as text (no ``007`` turned into 7)."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet with partition values kept as text (no ``007`` turned into 7).
+
+    With ``schema``, a path without files, or that does not exist yet, gives an empty table.
+    """
+    if schema is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     with _partition_values_as_text(spark):
-        return spark.read.parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -139,7 +152,7 @@ class Lake:
     def read(self, table: str, *, filters: ReadFilters | None = None,
              columns: Sequence[str] | None = None) -> DataFrame:
         spec = self.catalog.get(table)
-        df = read_parquet(self.spark, spec.path)
+        df = read_parquet(self.spark, spec.path, spec.schema)
         for condition in filters.conditions(spec) if filters else ():
             df = df.where(condition)
         return df.select(*columns) if columns else df

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from agentlake.plans import evaluate_logs
 
 
@@ -42,3 +44,23 @@ def test_logs_to_reports(spark, tmp_path):
     ]
     assert records(out / "reports/token_stats/token_distribution")[0]["median_prompt_tokens"] is None
     assert sorted(p.name for p in (out / "lake/raw/events").glob("dt=*")) == ["dt=2024-03-01", "dt=2024-03-02"]
+
+
+def test_failed_and_empty_loads(spark, tmp_path):
+    app = tmp_path / "logs" / "app-x"
+    (app / "conv-1").mkdir(parents=True)
+    (app / "conv-1" / "events.json").write_text(json.dumps([{"event_id": 1, "content": {"action": "run"}}]))
+    logs, out = str(tmp_path / "logs"), tmp_path / "out"
+    assert evaluate_logs(spark, logs, str(out))["perf_metrics"]["action_distribution"].count() == 1
+    (app / "conv-1" / "events.json").write_text("[{")
+    for bad in (logs, str(tmp_path / "missing")):
+        with pytest.raises(Exception):
+            evaluate_logs(spark, bad, str(out))
+        assert len(records(out / "reports/perf_metrics/action_distribution")) == 1
+        assert spark.read.parquet(str(out / "lake/raw/events")).count() == 1
+        assert [p.name for p in out.iterdir() if p.name.startswith("lake")] == ["lake"]
+    (tmp_path / "none").mkdir()
+    for _ in range(2):
+        reports = evaluate_logs(spark, str(tmp_path / "none"), str(out))
+        assert reports["perf_metrics"]["action_distribution"].count() == 0
+        assert reports["eval_metrics"]["react_analysis"].count() == 0

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from agentlake.operators import assign_turn_index
 from agentlake.schemas import CONVERSATIONS_SCHEMA, EVENT_SCHEMA, GENERATION_STATUS_SCHEMA
 from agentlake.sources.json_tree import APP_ID_FIELD
 from agentlake.sources import load_conversations, load_events, load_flat_events, load_generation_status
@@ -39,7 +40,8 @@ def test_two_events(spark, tmp_path):
         llm_metrics={"accumulated_cost": 0.25, "accumulated_token_usage": usage},
     )
     one, two = load_one(spark, tmp_path, first, second)
-    assert list(one) == [f.name for f in EVENT_SCHEMA] and len(one) == 24
+    assert list(one) == [*(f.name for f in EVENT_SCHEMA), "position"] and len(EVENT_SCHEMA) == 24
+    assert (one["position"], two["position"]) == (0, 1)
     assert (one["event_type"], one["tool_name"], one["input_tokens"]) == ("message", None, None)
     assert (two["event_type"], two["tool_name"], two["dt"]) == ("tool_call", "run", "2024-03-01")
     assert (two["input_tokens"], two["output_tokens"], two["cache_tokens"]) == (40, 8, 3)
@@ -103,7 +105,8 @@ def test_nothing_to_read_gives_an_empty_table(spark, tmp_path):
     }
     for load, schema in loads.items():
         df = load(spark, str(tmp_path))
-        assert df.dtypes == dtypes(schema) and df.count() == 0
+        position = [("position", "bigint")] if load is load_events else []
+        assert df.dtypes == dtypes(schema) + position and df.count() == 0
     # Spark does not read files of length zero; there is no event in them to lose.
     write(tmp_path / "app-x/conv-1/events.json", "")
     assert load_events(spark, str(tmp_path)).count() == 0
@@ -145,6 +148,50 @@ def test_models_of_conversations(spark, tmp_path):
     assert models(model_override="") == models()
 
 
+def test_any_way_of_naming_a_root(spark, tmp_path, monkeypatch):
+    for app in ("app-a", "app-b"):
+        write(tmp_path / "logs [1]" / app / "conv-1" / "events.json", [event(), event(2)])
+    root = tmp_path / "logs [1]"
+    monkeypatch.chdir(tmp_path)
+    escaped = str(root).replace("[", "\\[").replace("]", "\\]")
+    names = [
+        escaped, escaped + "/", escaped.replace("/logs", "//logs"), f"file:{escaped}", f"file://{escaped}", f"{tmp_path}/log*", f"{tmp_path}/*[1]*",
+        f"file:{escaped}/../{escaped.rsplit('/', 1)[1]}", [escaped, f"{tmp_path}/log*"], f"{tmp_path}/{{logs,other}} *",
+    ]
+    for name in names:
+        assert load_events(spark, name).count() == 4, name
+    for missing in (f"{tmp_path}/nothing", f"{tmp_path}/no*"):
+        for load in (load_events, load_generation_status, load_conversations):
+            with pytest.raises(FileNotFoundError):
+                load(spark, missing)
+
+
+def test_numbers_keep_their_digits(spark, tmp_path):
+    usage = {"prompt_tokens": 9007199254740993, "completion_tokens": 10.7, "cache_read_tokens": "12"}
+    (row,) = load_one(spark, tmp_path, event(llm_metrics={"accumulated_token_usage": usage}))
+    assert (row["input_tokens"], row["output_tokens"], row["cache_tokens"]) == (9007199254740993, 10, 12)
+    write(tmp_path / "app-x/generation_status.json", [{"react_detail_list": [{"react_rounds": 9007199254740992}, {"react_rounds": 1}]}])
+    assert load_generation_status(spark, str(tmp_path)).first()["react_rounds"] == 9007199254740993
+
+
+def test_events_of_one_second_keep_their_order(spark, tmp_path):
+    kinds = ("turn_start", "llm_request", "error")
+    write(tmp_path / "app-x/conv-1/events.json", [{"content": {"action": k, "timestamp": "2024-05-01T08:00:00"}} for k in kinds])
+    lines = [json.dumps({"timestamp": "2024-05-01T08:00:00Z", "conversation_id": "s", "event_type": k}) for k in kinds]
+    (tmp_path / "run.jsonl").write_text("\n".join(lines))
+    for events in (load_events(spark, str(tmp_path)), load_flat_events(spark, str(tmp_path / "run.jsonl"))):
+        assert {r["event_type"]: r["turn_index"] for r in assign_turn_index(events).collect()} == dict.fromkeys(kinds, 1)
+
+
+def test_models_do_not_move_the_text(spark, tmp_path):
+    write(tmp_path / "app-a/conv-1/events.json", [event()])
+    write(tmp_path / "app-a/conversations.json", [{"id": "conv-1", "llm_model": "m"}])
+    events = load_events(spark, str(tmp_path))
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and events.first()["model"] == "m"
+    assert not [line for line in plan.splitlines() if " Exchange " in line and ("text" in line or "element" in line)]
+
+
 def test_generation_status(spark, tmp_path):
     write(
         tmp_path / "app-x/generation_status.json",
