@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from agentlake.llm.labelled import logistic, score_rows, training_rows
+from agentlake.llm.labelled import fit_in_task, logistic, score_rows, training_rows
 from agentlake.llm.words import Words, find_words, grouped_sums
 
 
@@ -94,7 +94,7 @@ class QualityModel:
 def fit(texts: list[str], labels: np.ndarray, settings: Settings = Settings()) -> QualityModel:
     """Train on whole texts; without any, the model answers one half for every text."""
     s, random = settings, np.random.default_rng(settings.seed)
-    vectors = random.uniform(-1 / s.dimension, 1 / s.dimension, (s.rows, s.dimension)).astype(np.float32)
+    vectors = (random.random((s.rows, s.dimension), np.float32) - np.float32(0.5)) * np.float32(2 / s.dimension)
     layer, bias = np.zeros((2, s.dimension), np.float32), np.zeros(2, np.float32)
     if len(texts):
         bias[1] = np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))
@@ -122,9 +122,9 @@ def fit(texts: list[str], labels: np.ndarray, settings: Settings = Settings()) -
     return QualityModel(s, (vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, held, max_rows: int = 4000, settings: Settings = Settings()) -> QualityModel:
+def train_quality(docs: DataFrame, labels: DataFrame, held, max_rows: int = 3000, settings: Settings = Settings()) -> QualityModel:
     """Fit on at most ``max_rows`` labelled rows (``labels``: doc_id, quality) for which ``held(doc_id)`` is false."""
-    return fit(*training_rows(docs, labels, "quality", held, max_rows), settings)
+    return fit_in_task(training_rows(docs, labels, "quality", held, max_rows), lambda texts, y: fit(texts, y, settings))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:

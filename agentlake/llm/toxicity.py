@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from agentlake.llm.labelled import logistic, score_rows, training_rows
+from agentlake.llm.labelled import fit_in_task, logistic, score_rows, training_rows
 from agentlake.llm.words import ALPHANUMERIC, Words, find_words, mix
 
 #: Terms for groups of people that can stand for one another in a sentence.
@@ -177,8 +177,7 @@ def fit(texts: Sequence[str], labels: np.ndarray, lists: Mapping[str, Sequence[s
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, held, max_rows: int = 4000, lists: Mapping[str, Sequence[str]] = IDENTITY_TERMS, settings: Settings = Settings()) -> ToxicityModel:
     """Fit on at most ``max_rows`` labelled rows (``labels``: doc_id, toxic) for which ``held(doc_id)`` is false."""
-    texts, toxic = training_rows(docs, labels, "toxic", held, max_rows)
-    return fit(texts, toxic, lists, settings)
+    return fit_in_task(training_rows(docs, labels, "toxic", held, max_rows), lambda texts, y: fit(texts, y, lists, settings))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:

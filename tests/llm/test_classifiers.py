@@ -93,9 +93,11 @@ def test_quality_does_not_depend_on_neighbours():
 def test_training_rows_are_bounded_and_clean(spark):
     docs = docs_of(spark, ["a", "b", None, "d", "e"], [1, 2, 3, None, 5])
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (3, 1), (None, 1), (5, 0), (9, 1)], "doc_id long, quality int")
-    texts, y = training_rows(docs, labels, "quality", lambda d: d == 5, 10)
-    assert sorted(zip(texts, y.tolist())) == [("", 1), ("a", 0)]
-    assert len(training_rows(docs, labels, "quality", lambda d: F.lit(False), 2)[0]) <= 2
+    rows = training_rows(docs, labels, "quality", lambda d: d == 5, 10)
+    assert sorted(tuple(r) for r in rows.collect()) == [("", 1), ("a", 0)]
+    assert training_rows(docs, labels, "quality", lambda d: F.lit(False), 2).count() <= 2
+    model = quality_model.train_quality(docs.limit(0), labels, lambda d: F.lit(False))
+    assert np.allclose(model.scores(pa.array(["a"], pa.large_string())), 0.5)
     import zlib
 
     folds = docs.select("doc_id", fold_of(F.col("doc_id"), 3).alias("f")).collect()
