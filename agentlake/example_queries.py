@@ -36,7 +36,7 @@ from .operators import (
     session_metadata,
 )
 from .plans import evaluation, perf, run_report, tokens, treatments
-from .sources import Catalog, Lake, ReadFilters, TableSpec, load_flat_events, write_reports
+from .sources import Catalog, Lake, ReadFilters, TableSpec, load_events, load_flat_events, write_reports
 from .sources.json_tree import (
     APP_ID_FIELD,
     CONVERSATION_FIELDS,
@@ -225,8 +225,8 @@ def _source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _event_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested events as JSON text, with all kinds of missing parts."""
+def _event_elements(spark: SparkSession, sf_dir: str, dirs: tuple[Column, Column] | None = None) -> DataFrame:
+    """Nested events as JSON text, with all kinds of missing parts, and their directories."""
     k, event_id, user = F.col("k"), F.col("event_id"), F.col("user_id").cast("string")
     action, observation = _verbs(k, event_id)
     usage = F.struct(
@@ -253,10 +253,11 @@ def _event_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event_id % 7 != 0, ext).alias("ext"),
         F.when(event_id % 11 != 0, content).alias("content"),
     )
+    app_dir, conv_dir = dirs or (
+        F.concat(F.lit("app-"), user), F.concat(F.lit("conv-"), user, F.lit("-"), (event_id % 3).cast("string"))
+    )
     return _source_events(spark, sf_dir).select(
-        F.concat(F.lit("app-"), user).alias("app_dir"),
-        F.concat(F.lit("conv-"), user, F.lit("-"), (event_id % 3).cast("string")).alias("conv_dir"),
-        F.to_json(event).alias("element"),
+        app_dir.alias("app_dir"), conv_dir.alias("conv_dir"), F.to_json(event).alias("element"), event_id.alias("place")
     )
 
 
@@ -324,7 +325,36 @@ def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("[ "), element, F.lit(" ,\n"), element, F.lit("]\n")).alias("text"),
     )
     events = flatten_events(array_elements(files))
-    return _comparable(attach_model(events, None, model_override="model-x"))
+    return _comparable(attach_model(events, None, model_override="model-x")).drop("position")
+
+
+@query
+def log_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and metadata written as a tree of JSON files by the executors, and loaded from there.
+
+    Each file holds the events of one app out of 5000 ids, so files don't grow with the data.
+    """
+    root = fx.scratch_path(spark)
+    part = F.floor(F.col("event_id") / 5000).cast("string")
+    dirs = (F.concat(F.lit("app-"), (F.col("user_id") % 50).cast("string")), F.concat(F.lit("conv-"), part))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", "element"))), lambda x: x["element"])
+    events = _event_elements(spark, sf_dir, dirs).groupBy("app_dir", "conv_dir").agg(ordered.alias("elements"))
+    fx.write_files(events.select(
+        F.concat_ws("/", "app_dir", "conv_dir", F.lit("events.json")).alias("path"),
+        F.concat(F.lit("["), F.array_join("elements", ",\n"), F.lit("]")).alias("text"),
+    ), root)
+    name = F.when(F.substring_index("app_dir", "-", -1).cast("int") % 7 != 0, F.col("conv_dir")).otherwise("moved")
+    records = [
+        F.to_json(F.struct(name.alias("conversation_id"), F.concat(F.lit("model-"), F.substring_index("conv_dir", "-", -1), F.lit(f"-{k}")).alias("llm_model")))
+        for k in range(2)
+    ]
+    apps = events.groupBy("app_dir").agg(F.flatten(F.collect_list(F.array(*records))).alias("records"))
+    fx.write_files(apps.select(
+        F.concat_ws("/", "app_dir", F.lit("conversations.json")).alias("path"),
+        F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("text"),
+    ), root)
+    action = F.get_json_object("payload", "$.content.action").alias("payload_action")
+    return _comparable(load_events(spark, root).select("*", action))
 
 
 @query
@@ -394,9 +424,8 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lake ----------------------------------------------------------------------------------
 
 
-@functools.lru_cache
 def _written_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """A lake with the events partitioned by day, written once per session."""
+    """A new lake with the events partitioned by day."""
     spec = TableSpec("raw_events", fx.scratch_path(spark), partition_keys=("dt",))
     lake = Lake(spark, Catalog([spec]))
     lake.write(fx.raw_events(spark, sf_dir), "raw_events", partition_by=["dt"], mode="overwrite")
@@ -405,7 +434,11 @@ def _written_lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 @query
 def write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _written_lake(spark, sf_dir).read("raw_events")
+    """Half of the events replace all of them, then the other half is appended."""
+    lake, events = _written_lake(spark, sf_dir), fx.raw_events(spark, sf_dir)
+    for rest, mode in ((0, "overwrite"), (1, "append")):
+        lake.write(events.where(F.col("event_id") % 2 == rest), "raw_events", partition_by=["dt"], mode=mode)
+    return lake.read("raw_events")
 
 
 @query

@@ -9,7 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,3 +144,24 @@ def scratch_path(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         shared = tempfile.mkdtemp(prefix="agentlake-")
     return os.path.join(shared, f"agentlake-{uuid.uuid4().hex}")
+
+
+def write_files(files: DataFrame, root: str) -> None:
+    """Write each row (``path`` below ``root``, ``text``) as a file of its own, by the executors."""
+    spark = files.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    base = base.replace("file:/", "file:///", 1) if not base.startswith("file://") else base
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, folder = fs.FileSystem.from_uri(base)
+        for frame in frames:
+            for path, text in zip(frame["path"], frame["text"]):
+                system.create_dir(f"{folder}/{os.path.dirname(path)}", recursive=True)
+                with system.open_output_stream(f"{folder}/{path}", compression=None) as out:
+                    out.write(text.encode())
+            yield frame[["path"]]
+
+    files.select("path", "text").mapInPandas(write, "path STRING").agg(F.count("*")).collect()

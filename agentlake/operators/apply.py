@@ -33,12 +33,22 @@ def named_outputs(result: Any, outputs: tuple[str, ...], convert: Callable[[Any]
     return {name: convert(table) for name, table in result.items()}
 
 
+def checked_batch_size(size: int | None) -> int | None:
+    if size is not None and size < 1:
+        raise ValueError(f"batch_size must be at least 1, not {size}")
+    return size
+
+
 class Operator:
     """Subclass with ``outputs`` and ``transform(ctx, df)``, which returns one
     DataFrame or a dict with one DataFrame per declared output."""
 
     outputs: tuple[str, ...] = ("out",)
 
+    def __init__(self, batch_size: int | None = None):
+        """``batch_size`` has no effect: these operators see the whole frame."""
+        self.batch_size = checked_batch_size(batch_size)
+
     def transform(self, ctx: Any, df: DataFrame) -> DataFrame | dict[str, DataFrame]:
         raise NotImplementedError
 
@@ -53,7 +63,7 @@ class BatchOperator:
     schemas: dict[str, T.StructType | str] = {}
 
     def __init__(self, batch_size: int | None = None):
-        self.batch_size = batch_size
+        self.batch_size = checked_batch_size(batch_size)
 
     @property
     def outputs(self) -> tuple[str, ...]:
@@ -63,10 +73,18 @@ class BatchOperator:
         raise NotImplementedError
 
 
-def apply(op: Operator | BatchOperator, df: DataFrame, ctx: Any = None) -> dict[str, DataFrame]:
-    """Apply ``op`` to ``df``; lazy, returns one DataFrame per output."""
+def apply(op: Operator | BatchOperator, df: DataFrame, ctx: Any = None,
+          storage_level: StorageLevel | None = None) -> dict[str, DataFrame]:
+    """Apply ``op`` to ``df``; lazy, returns one DataFrame per output.
+
+    Several outputs come from the same work. It is done once for each output that is used, or once for all of them with
+    a ``storage_level`` to keep it at: a batch operator's results are kept then, and an operator finds the level as
+    ``self.storage_level`` to keep what its outputs share. ``op.shared`` is the kept frame, to unpersist.
+    """
     if isinstance(op, BatchOperator):
-        return _apply_batches(op, df)
+        return _apply_batches(op, df, storage_level)
+    if storage_level is not None:
+        op.storage_level = storage_level
     return named_outputs(op.transform(ctx, df), op.outputs, _dataframe)
 
 
@@ -109,7 +127,7 @@ def _struct_type(schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _apply_batches(op: BatchOperator, df: DataFrame) -> dict[str, DataFrame]:
+def _apply_batches(op: BatchOperator, df: DataFrame, storage_level: StorageLevel | None) -> dict[str, DataFrame]:
     schemas = {name: _struct_type(s) for name, s in op.schemas.items()}
     arrow = {name: to_arrow_schema(s) for name, s in schemas.items()}
 
@@ -135,6 +153,8 @@ def _apply_batches(op: BatchOperator, df: DataFrame) -> dict[str, DataFrame]:
             yield pa.RecordBatch.from_arrays(columns, names=list(schemas))
 
     mixed = df.mapInArrow(rows_of_all, mixed_schema)
+    if storage_level is not None:
+        mixed = op.shared = mixed.persist(storage_level)
     return {n: mixed.where(F.col(n).isNotNull()).select(f"`{n}`.*") for n in schemas}
 
 
@@ -157,7 +177,8 @@ class BuildTurnsAndErrors(Operator):
 
     outputs = ("turns", "errors")
 
-    def __init__(self, storage_level: StorageLevel | None = None):
+    def __init__(self, storage_level: StorageLevel | None = None, *, batch_size: int | None = None):
+        super().__init__(batch_size)
         self.storage_level = storage_level
         self.shared: DataFrame | None = None
 

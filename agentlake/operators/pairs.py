@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from ..schemas import typed_null
 
 
-def _pair(events: DataFrame, opening: str, closing: str, carried: list[str], answered: list[str],
-          null_safe_ids: bool) -> DataFrame:
+def _pair(events: DataFrame, opening: str, closing: str, carried: list[str], answered: list[str]) -> DataFrame:
     """Inner join of opening and closing events on ``request_id``.
 
     Every combination of equal ids is kept. Rows without an id never pair up
-    and do not reach the shuffle, unless ``null_safe_ids`` treats null as an id.
-    A much repeated id is split by Spark's adaptive skew join.
+    and do not reach the shuffle. A much repeated id is split by Spark's adaptive skew join.
     """
     left = events.where(F.col("event_type") == opening).select(
         "dt", "app_id", "session_id", "turn_index", "agent_id", "request_id",
@@ -23,16 +21,14 @@ def _pair(events: DataFrame, opening: str, closing: str, carried: list[str], ans
     right = events.where(F.col("event_type") == closing).select(
         F.col("request_id").alias("_closing_id"), F.col("ts").alias("end_ts"), *answered
     )
-    ids = F.col("request_id"), F.col("_closing_id")
-    return left.join(right, ids[0].eqNullSafe(ids[1]) if null_safe_ids else ids[0] == ids[1])
+    return left.join(right, F.col("request_id") == F.col("_closing_id"))
 
 
-def build_model_spans(events: DataFrame, null_safe_ids: bool = False) -> DataFrame:
+def build_model_spans(events: DataFrame) -> DataFrame:
     spans = _pair(
         events, "llm_request", "llm_response",
         ["model", "provider", "input_tokens", "cache_tokens"],
         ["ttft_ms", "latency_ms", "output_tokens"],
-        null_safe_ids,
     )
     # A null latency must stay null, so `greatest` is no option.
     latency = F.when(F.col("latency_ms") < 1, F.lit(1.0)).otherwise(F.col("latency_ms").cast("double"))
@@ -48,10 +44,10 @@ def build_model_spans(events: DataFrame, null_safe_ids: bool = False) -> DataFra
     )
 
 
-def build_tool_calls(events: DataFrame, null_safe_ids: bool = False) -> DataFrame:
+def build_tool_calls(events: DataFrame) -> DataFrame:
     calls = _pair(
         events, "tool_call", "tool_result",
-        ["tool_name"], ["tool_latency_ms", "exit_code", "error_type"], null_safe_ids,
+        ["tool_name"], ["tool_latency_ms", "exit_code", "error_type"],
     )
     clean = F.coalesce(F.col("exit_code"), F.lit(0)) == 0
     return calls.select(

@@ -26,21 +26,22 @@ def assign_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFr
     """Number the turns of each session by counting its ``turn_start`` events.
 
     Overwrites ``turn_index``. Events before the first turn and events without
-    a session get null.
+    a session get null. Runs a job that counts the events of each session.
     """
     start = _one_where(F.col("event_type") == "turn_start")
     named = events.where(F.col("session_id").isNotNull())
-    sliced = with_slices(named, slicing)
-    before = (
-        sliced.where("_cut")
-        .groupBy(*SLICE_KEYS)
-        .agg(F.sum(start).alias("_n"))
-        .select(*SLICE_KEYS, F.sum("_n").over(earlier_slices()).alias("_before"))
-    )
-    numbered = sliced.withColumn("_inside", F.sum(start).over(inside_slice(sliced))).join(
-        before, SLICE_KEYS, "left"
-    )
-    count = F.coalesce(F.col("_before"), _zero()) + F.col("_inside")
+    sliced, cut = with_slices(named, slicing)
+    numbered = sliced.withColumn("_inside", F.sum(start).over(inside_slice(sliced)))
+    count = F.col("_inside")
+    if cut:
+        before = (
+            sliced.where("_cut")
+            .groupBy(*SLICE_KEYS)
+            .agg(F.sum(start).alias("_n"))
+            .select(*SLICE_KEYS, F.sum("_n").over(earlier_slices()).alias("_before"))
+        )
+        numbered = numbered.join(before, SLICE_KEYS, "left")
+        count = F.coalesce(F.col("_before"), _zero()) + count
     index = F.nullif(count, _zero())
     # Events without a session are not numbered and need no shuffle.
     unnamed = events.where(F.col("session_id").isNull())
@@ -62,7 +63,7 @@ def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFra
     events = events.where(F.col("session_id").isNotNull())
     explicit = F.col("turn_index").cast("bigint")
     start = _one_where(explicit.isNull() & (F.col("event_type") == "turn_start"))
-    sliced = with_slices(events, slicing)
+    sliced, is_cut = with_slices(events, slicing)
 
     def scanned(rows: DataFrame) -> DataFrame:
         inside = inside_slice(rows)
@@ -71,11 +72,16 @@ def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFra
             "_anchor", F.last(offset, ignorenulls=True).over(inside)
         )
 
+    if not is_cut:
+        starts, anchor = F.col("_starts"), F.col("_anchor")
+        index = F.when(anchor.isNotNull() | (starts > 0), F.coalesce(anchor, _zero()) + starts)
+        return _with_turn_index(scanned(sliced), index, events.columns)
+
     # Of cut sessions, find where each slice ends up. Only explicit and starting
     # rows move its state; the others need not be sorted for that.
     cut = sliced.where("_cut")
     moving = cut.where(explicit.isNotNull() | (F.col("event_type") == "turn_start")).select(
-        *SLICE_KEYS, "ts", "event_id", "event_type", "turn_index"
+        *SLICE_KEYS, "ts", "event_id", "event_type", "turn_index", *(c for c in ("position",) if c in events.columns)
     )
     ends = (
         scanned(moving)
@@ -106,7 +112,8 @@ def carry_turn_index(events: DataFrame, slicing: Slicing = Slicing()) -> DataFra
 def _ascending_key(rows: DataFrame) -> Column:
     """Struct that compares like ``event_order``; the flags put nulls last."""
     fields = []
-    for part in (timestamp_of(rows), F.col("event_id"), F.col("turn_index"), F.col("event_type")):
+    names = [c for c in ("event_id", "position", "turn_index", "event_type") if c in rows.columns]
+    for part in (timestamp_of(rows), *map(F.col, names)):
         n = len(fields)
         fields += [part.isNull().alias(f"k{n}"), part.alias(f"k{n + 1}")]
     return F.struct(*fields)

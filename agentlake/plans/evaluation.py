@@ -9,11 +9,11 @@ from ..functions.exprs import round2
 
 
 def success_summary(generation_status: DataFrame) -> DataFrame:
-    total = generation_status.agg(F.count("*")).scalar()
+    # There are few statuses: the total is the sum of their counts.
+    counts = generation_status.groupBy("app_status").agg(F.count("*").alias("app_count"))
+    total = counts.agg(F.sum("app_count")).scalar()
     return (
-        generation_status.groupBy("app_status")
-        .agg(F.count("*").alias("app_count"))
-        .withColumn("pct", round2(F.col("app_count").cast("double") * 100.0 / total))
+        counts.withColumn("pct", round2(F.col("app_count").cast("double") * 100.0 / total))
         .orderBy(F.desc("app_count"), F.asc_nulls_last("app_status"))
     )
 

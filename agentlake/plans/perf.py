@@ -39,7 +39,7 @@ def throughput(events: DataFrame, generation_status: DataFrame) -> DataFrame:
         F.max("input_tokens").alias("prompt_tokens"),
     )
     apps = generation_status.select("app_id", "duration_s")
-    active = counted.select(F.col("app_id").alias("_active")).distinct()
+    active = sessions.select(F.col("_app").alias("_active")).distinct()
     matched = sessions.join(apps, F.col("_app") == F.col("app_id"))
     silent = apps.join(active, F.col("app_id") == F.col("_active"), "left_anti")
 

@@ -73,10 +73,9 @@ def read_files(spark: SparkSession, roots: str | Sequence[str], pattern: str) ->
     resolved = resolve_roots(spark, roots)
     file_name = pattern.rsplit("(", 1)[1].rstrip(")$").replace("\\", "")
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_name)
-        .text([re.sub(r"([*?\[\]{}\\])", r"\\\1", root) for root in resolved])
+        .text([re.sub(r"([*?\[\]{}\\])", r"\\\1", root) for root in resolved], wholetext=True)
     )
     # Paths are URL-encoded, where a plus sign still stands for itself.
     decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))

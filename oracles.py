@@ -239,6 +239,21 @@ _SUITE = {
     ("condense_rows", "condense_rows"): "(SELECT * FROM app_turns JOIN treated USING (session_id))",
 }
 
+def _in_other_folders(flattened: str) -> str:
+    """The nested events with an app for each 50 users and a conversation for each 5000 events."""
+    for old, new in (
+        ("'conv-' || user_id || '-' || (event_id % 3)", "'conv-' || (event_id // 5000)"),
+        ("'app-' || user_id", "'app-' || (user_id % 50)"),
+        ("user_id % 7", "(user_id % 50) % 7"),
+        ("'model-' || (event_id % 3) || '-1'", "'model-' || (event_id // 5000) || '-1'"),
+        ("AS payload_event_id", "AS payload_event_id, CASE WHEN has_content THEN action END AS payload_action,"
+         " row_number() OVER (PARTITION BY user_id % 50, event_id // 5000 ORDER BY event_id) - 1 AS position"),
+    ):
+        assert old in flattened
+        flattened = flattened.replace(old, new)
+    return flattened
+
+
 ORACLES: dict[str, str] = {
     "turn_index": _with(RAW_EVENTS, NUMBERED, select=_INDEXED + "numbered"),
     "turn_index_explicit": _with(RAW_EVENTS, CARRIED, select=_INDEXED + "carried"),
@@ -329,6 +344,8 @@ ORACLES: dict[str, str] = {
     "event_files": _with(VERBS, select=f"""
         {_FLAT}, 'model-x' AS model FROM flattened, range(2) AS copies(n)""".replace(
             "own_model)", "own_model, n)")),
+    "log_tree": _with(_in_other_folders(VERBS), select="""
+        SELECT * EXCLUDE (app_dir, conv_dir, own_model), own_model AS model FROM flattened"""),
     "nested_rounds_sum": """
         SELECT CASE WHEN o_orderkey % 3 <> 0 THEN 'order-' || o_orderkey ELSE 'app-' || o_custkey END AS app_id,
           o_orderstatus AS app_status, o_orderpriority AS app_type,

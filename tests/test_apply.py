@@ -151,6 +151,26 @@ def test_turns_errors_and_sessions(spark):
     op.shared.unpersist()
 
 
+def test_several_outputs_from_one_pass(spark):
+    ran = spark.sparkContext.accumulator(0)
+
+    class Both(BatchOperator):
+        schemas = {"low": "id BIGINT", "high": "id BIGINT"}
+
+        def transform(self, ctx, batch):
+            ran.add(batch.num_rows)
+            return {"low": batch.slice(0, 1), "high": batch.slice(1)}
+
+    op = Both()
+    found = apply(op, spark.range(100).coalesce(1), storage_level=StorageLevel.MEMORY_AND_DISK)
+    assert found["low"].count() + found["high"].count() == 100 and ran.value == 100
+    op.shared.unpersist()
+    for kind in (Both, BuildSessions):
+        with pytest.raises(ValueError, match="at least 1"):
+            kind(batch_size=0)
+    assert BuildSessions(batch_size=1024).batch_size == 1024
+
+
 def test_reports_by_name(spark):
     register_report("sizes", Report(("t",), lambda tables, params: {"n": tables["t"].where(f"id > {params['low']}")}))
     assert run_report("sizes", {"t": spark.range(5)}, {"low": 2})["n"].count() == 2

@@ -166,6 +166,13 @@ def test_any_way_of_naming_a_root(spark, tmp_path, monkeypatch):
                 load(spark, missing)
 
 
+def test_files_may_have_many_lines(spark, tmp_path):
+    write(tmp_path / "app-x/conv-1/events.json", json.dumps([event(k) for k in range(3)], indent=2))
+    write(tmp_path / "app-x/conversations.json", json.dumps([{"id": "conv-1", "llm_model": "m"}], indent=1))
+    assert [(r["event_id"], r["position"], r["model"]) for r in load_events(spark, str(tmp_path)).orderBy("event_id").collect()] == [
+        (k, k, "m") for k in range(3)]
+
+
 def test_numbers_keep_their_digits(spark, tmp_path):
     usage = {"prompt_tokens": 9007199254740993, "completion_tokens": 10.7, "cache_read_tokens": "12"}
     (row,) = load_one(spark, tmp_path, event(llm_metrics={"accumulated_token_usage": usage}))

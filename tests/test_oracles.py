@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from agentlake import example_queries
 from tests.compare import bag, duckdb_over, spark_types
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES = {name: query for name, query in entry_point.queries().items() if name in example_queries.QUERIES}
+ORACLES = {name: sql for name, sql in entry_point.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

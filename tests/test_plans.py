@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
 from agentlake.operators import (
     assign_turn_index,
     build_model_spans,
@@ -13,7 +12,7 @@ from agentlake.operators import (
     session_metadata,
 )
 from agentlake.plans import evaluation
-from tests.test_oracles import SF_DIR
+from tests.test_oracles import QUERIES, SF_DIR
 
 PYTHON_QUERIES = {"batch_arrow", "batch_arrow_multi", "batch_pandas"}
 COLUMNS = (
@@ -52,9 +51,9 @@ def events(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins_global_windows_or_python(spark, name):
-    text = plan(entry_point.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     # A window without partition columns would put all rows into one task.
     assert not re.search(r"windowspecdefinition\((specifiedwindowframe|[^,()]* (ASC|DESC) )", text)

@@ -54,13 +54,20 @@ def test_exact_quantiles(spark, values):
 
 
 def test_quantiles_with_few_cells(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "CELLS", 2)
+    monkeypatch.setattr(quantiles, "PARTS", 2)
     values = random.Random(3).choices(range(1000), k=777)
     df = spark.createDataFrame([(v,) for v in values], "x INT")
     (row,) = exact_quantiles(df, {"x": [0.3]}).collect()
     assert row.value == pytest.approx(np.quantile(values, 0.3))
 
 
+def test_quantiles_of_clustered_values(spark):
+    """Values close to each other, with outliers, are cut apart as well as others."""
+    values = spark.range(20_000).selectExpr("1.0e12D + id / 1000 AS x").union(spark.createDataFrame([(0.0,), (1.005e12,), (1e13,)], "x DOUBLE"))
+    (row,) = exact_quantiles(values, {"x": [0.5]}).collect()
+    assert row.value == pytest.approx(np.quantile([r.x for r in values.collect()], 0.5), rel=1e-15)
+
+
 def test_infinite_values_sort_last(spark):
     df = spark.createDataFrame([(v,) for v in [1.0, 2.0, 3.0, float("inf"), float("inf")]], "x DOUBLE")
     (row,) = exact_quantiles(df, {"x": [0.25]}).collect()

@@ -12,9 +12,9 @@ from agentlake.operators.slices import Slicing, with_slices
 SCHEMA = "row INT, session_id STRING, ts TIMESTAMP, event_id BIGINT, event_type STRING, turn_index BIGINT"
 SLICINGS = [
     Slicing(),
-    Slicing(crowded_rows=10, block_bits=1),
-    Slicing(crowded_rows=60, least_us=1, block_bits=2),
-    Slicing(crowded_rows=0, least_us=1, block_bits=0),
+    Slicing(crowded_rows=10),
+    Slicing(crowded_rows=60),
+    Slicing(crowded_rows=0),
 ]
 
 
@@ -96,23 +96,26 @@ def test_carrying_matches_a_loop(spark, slicing, seed):
     assert found == _carried(_ordered(rows))
 
 
-def test_slices_stay_small_and_in_order(spark):
-    """Neither a burst of events nor equal or missing timestamps make a large slice."""
-    noon = datetime(2024, 1, 1, 12)
-    rows = [(i, "hot", noon + timedelta(milliseconds=20 * i), i, "error", None) for i in range(1, 600)]
-    rows += [(i, "hot", noon + timedelta(hours=1), i, "error", None) for i in range(600, 900)]
-    rows += [(i, "hot", None, i, "error", None) for i in range(900, 1200)]
-    odd = noon + timedelta(hours=2, microseconds=123)
-    rows[900:900] = [(10_000 + i, "hot", odd, i, "error", None) for i in range(300)]
-    rows += [(i, "small", noon + timedelta(hours=i), i, "error", None) for i in range(1200, 1264)]
-    df = with_slices(spark.createDataFrame(rows, SCHEMA), Slicing(crowded_rows=100, block_bits=6))
-    sizes = df.groupBy("session_id", "_slice", "_block").count().agg(F.max("count")).first()[0]
-    assert sizes <= 64
-    hot = df.where("session_id = 'hot'").orderBy(F.asc_nulls_last("ts"), "event_id").collect()
-    placed = [(r["_slice"], r["_block"]) for r in hot]
-    assert placed == sorted(placed) and {r["_cut"] for r in hot} == {True}
-    small = df.where("session_id = 'small'").select("_slice", "_block", "_cut").distinct().collect()
-    assert len(small) == 1 and not small[0]["_cut"]
+NOON = datetime(2024, 1, 1, 12)
+CROWDS = {
+    "one outlier": [(NOON + timedelta(milliseconds=k), k) for k in range(2000)] + [(datetime(1970, 1, 1), 2000)],
+    "bursts": [(NOON + timedelta(hours=k % 3, microseconds=k % 2), k) for k in range(2000)],
+    "sparse ids": [(None, k << 40) for k in range(-1000, 1000)],
+    "ids at both ends": [(None, (1 << 63) - 1 - k) for k in range(1000)] + [(NOON, k - (1 << 63)) for k in range(1000)],
+    "no time, no id": [(None, 0)] * 2000,
+}
+
+
+@pytest.mark.parametrize("name", CROWDS)
+def test_slices_are_few_small_and_in_order(spark, name):
+    rows = [(k, "hot", ts, event_id, "error", None) for k, (ts, event_id) in enumerate(CROWDS[name])]
+    rows += [(10_000 + k, "small", NOON, k, "error", None) for k in range(90)]
+    df, cut = with_slices(spark.createDataFrame(rows, SCHEMA).withColumn("position", F.col("row")), Slicing(crowded_rows=100))
+    sizes = [r["count"] for r in df.where("session_id = 'hot'").groupBy("_slice").count().collect()]
+    assert cut and max(sizes) < 200 and len(sizes) <= len(CROWDS[name]) / 100 + 1
+    hot = df.where("session_id = 'hot'").orderBy(F.asc_nulls_last("ts"), "event_id", "position").collect()
+    assert [r["_slice"] for r in hot] == sorted(r["_slice"] for r in hot) and {r["_cut"] for r in hot} == {True}
+    assert [tuple(r) for r in df.where("session_id = 'small'").select("_slice", "_cut").distinct().collect()] == [(0, False)]
 
 
 def test_explicit_then_start_then_zero(spark):
