@@ -35,6 +35,7 @@ from .operators import (
     map_pandas,
     session_metadata,
 )
+from .operators.slices import Slicing
 from .plans import evaluation, perf, run_report, tokens, treatments
 from .sources import Catalog, Lake, ReadFilters, TableSpec, load_events, load_flat_events, write_reports
 from .sources.json_tree import (
@@ -78,6 +79,28 @@ def turn_index_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in three sessions, which are cut at a thousand events."""
+    return fx.raw_events(spark, sf_dir).withColumn("session_id", F.concat(F.lit("hot-"), (F.col("event_id") % 3).cast("string")))
+
+
+CUT = Slicing(crowded_rows=1000)
+
+
+@query
+def turn_index_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_turn_index(_crowded(spark, sf_dir), CUT).select(
+        "dt", "app_id", "session_id", "event_id", "ts", "event_type", "turn_index"
+    )
+
+
+@query
+def turn_index_explicit_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return carry_turn_index(_crowded(spark, sf_dir), CUT).select(
+        "dt", "app_id", "session_id", "event_id", "ts", "event_type", "turn_index"
+    )
+
+
 @query
 def model_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_model_spans(fx.raw_events(spark, sf_dir))
@@ -556,24 +579,50 @@ def batch_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Key columns and numbers of every table of every report.
+SUITE_COLUMNS: dict[str, dict[str, tuple[list[str], list[str]]]] = {
+    "token_stats": {
+        "token_summary": (["app_id", "session_id", "llm_model"], ["total_tokens", "prompt_tokens", "completion_tokens", "accumulated_cost"]),
+        "token_distribution": ([], ["min_total_tokens", "q1_total_tokens", "median_total_tokens", "q3_total_tokens", "max_total_tokens",
+                                    "median_prompt_tokens", "median_completion_tokens", "median_cost", "max_cost"]),
+        "model_breakdown": (["llm_model"], ["conversation_count", "total_tokens", "total_prompt_tokens", "total_completion_tokens", "total_cost"]),
+    },
+    "perf_metrics": {
+        "duration_summary": (["app_id", "app_status", "app_type"], ["duration_s", "react_rounds", "seconds_per_round"]),
+        "action_distribution": (["app_id", "event_type"], ["event_count"]),
+        "throughput": (["app_id"], ["duration_s", "completion_tokens", "prompt_tokens", "output_tokens_per_sec", "total_tokens_per_sec"]),
+    },
+    "eval_metrics": {
+        "success_summary": (["app_status"], ["app_count", "pct"]),
+        "react_analysis": (["app_id", "app_status"], ["react_rounds", "duration_s", "seconds_per_round", "min_rounds", "max_rounds"]),
+        "tool_usage": (["tool_name"], ["call_count", "sessions_used"]),
+        "cost_efficiency": (["app_id", "session_id"], ["accumulated_cost", "total_tokens", "react_rounds", "duration_s", "cost_per_round", "tokens_per_cost_unit"]),
+        "agent_delegation": (["app_id", "session_id", "delegated_agent"], ["delegation_count"]),
+    },
+    "condense_impact": {"condense_impact": (["variant"], ["avg_react_iters", "avg_turn_ms", "avg_in_tokens"])},
+    "condense_rows": {"condense_rows": (["session_id", "variant", "status"], ["turn_index", "react_iters", "duration_ms", "input_tokens"])},
+}
+
+
 @query
 def report_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of rows of every table of every report."""
-    events = fx.raw_events(spark, sf_dir)
+    """All rows of every table of every report: key columns as text, and the sum of the numbers in hundredths."""
     turns, treated = _one_app(spark, sf_dir)
     tables = {
-        "raw_events": events,
+        "raw_events": fx.raw_events(spark, sf_dir),
         "generation_status": fx.generation_status(spark, sf_dir),
         "conversations": fx.conversation_meta(spark, sf_dir),
         "turns": turns,
         "session_treatments": treated,
     }
     params = {"app_id": "app-all", "dt_from": DAYS[0], "dt_to": DAYS[1]}
-    counts = [
-        df.agg(F.count("*").alias("row_count")).select(
-            F.lit(report).alias("report"), F.lit(name).alias("table_name"), "row_count"
-        )
-        for report in ("token_stats", "perf_metrics", "eval_metrics", "condense_impact", "condense_rows")
-        for name, df in run_report(report, tables, params).items()
-    ]
-    return functools.reduce(DataFrame.unionByName, counts)
+    found = []
+    for report, columns in SUITE_COLUMNS.items():
+        for name, df in run_report(report, tables, params).items():
+            keys, numbers = columns[name]
+            hundredths = [F.coalesce(F.round(F.col(n).cast("double") * 100).cast("bigint"), F.lit(0)) for n in numbers]
+            found.append(df.select(
+                F.lit(report).alias("report"), F.lit(name).alias("table_name"),
+                F.concat_ws("|", F.lit(""), *keys).alias("row_key"), functools.reduce(Column.__add__, hundredths).alias("hundredths"),
+            ))
+    return functools.reduce(DataFrame.unionByName, found)

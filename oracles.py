@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from agentlake.example_queries import SUITE_COLUMNS
+
 RAW_EVENTS = """
 keyed AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 typed AS (
@@ -223,21 +225,22 @@ def _with(*parts: str, select: str) -> str:
 
 _INDEXED = "SELECT dt, app_id, session_id, event_id, ts, event_type, turn_index FROM "
 _FLAT = "SELECT * EXCLUDE (app_dir, conv_dir, own_model)"
-_SUITE = {
-    ("token_stats", "token_summary"): "conversation_meta",
-    ("token_stats", "token_distribution"): "(SELECT 1)",
-    ("token_stats", "model_breakdown"): "(SELECT DISTINCT llm_model FROM conversation_meta)",
-    ("perf_metrics", "duration_summary"): "generation_status",
-    ("perf_metrics", "action_distribution"): f"({ACTION_DISTRIBUTION})",
-    ("perf_metrics", "throughput"): f"({THROUGHPUT})",
-    ("eval_metrics", "success_summary"): "(SELECT DISTINCT app_status FROM generation_status)",
-    ("eval_metrics", "react_analysis"): "generation_status",
-    ("eval_metrics", "tool_usage"): f"({TOOL_USAGE})",
-    ("eval_metrics", "cost_efficiency"): f"({COST_EFFICIENCY})",
-    ("eval_metrics", "agent_delegation"): f"({AGENT_DELEGATION})",
-    ("condense_impact", "condense_impact"): "impact",
-    ("condense_rows", "condense_rows"): "(SELECT * FROM app_turns JOIN treated USING (session_id))",
-}
+#: Events of three crowded sessions.
+_CROWDED = RAW_EVENTS.replace("raw_events AS", "all_events AS") + """,
+raw_events AS (SELECT * REPLACE ('hot-' || (event_id % 3) AS session_id) FROM all_events)"""
+
+
+def _suite() -> str:
+    """Every row of every report: its key columns, and the sum of its numbers in hundredths."""
+    parts = []
+    for report, tables in SUITE_COLUMNS.items():
+        for name, (keys, numbers) in tables.items():
+            query = ORACLES["condense_join_rows" if name == "condense_rows" else name]
+            total = " + ".join(f"COALESCE(CAST(round(100 * CAST({n} AS DOUBLE)) AS BIGINT), 0)" for n in numbers)
+            parts.append(f"SELECT '{report}' AS report, '{name}' AS table_name, "
+                         f"concat_ws('|', '', {', '.join(keys) or 'NULL'}) AS row_key, {total} AS hundredths FROM ({query})")
+    return "\nUNION ALL\n".join(parts)
+
 
 def _in_other_folders(flattened: str) -> str:
     """The nested events with an app for each 50 users and a conversation for each 5000 events."""
@@ -257,6 +260,8 @@ def _in_other_folders(flattened: str) -> str:
 ORACLES: dict[str, str] = {
     "turn_index": _with(RAW_EVENTS, NUMBERED, select=_INDEXED + "numbered"),
     "turn_index_explicit": _with(RAW_EVENTS, CARRIED, select=_INDEXED + "carried"),
+    "turn_index_cut": _with(_CROWDED, NUMBERED, select=_INDEXED + "numbered"),
+    "turn_index_explicit_cut": _with(_CROWDED, CARRIED, select=_INDEXED + "carried"),
     "model_spans": _with(RAW_EVENTS, select="""
         SELECT q.dt, q.app_id, q.session_id, q.turn_index, q.request_id AS span_id,
           CAST(NULL AS VARCHAR) AS parent_span_id, q.agent_id, q.model, q.provider,
@@ -397,11 +402,5 @@ ORACLES: dict[str, str] = {
     "batch_pandas": _with(RAW_EVENTS, select="SELECT event_id, upper(tool_name) AS tool_name FROM raw_events"),
     "batch_sql": _with(RAW_EVENTS, select="""
         SELECT event_type, count(*) AS events, max(input_tokens) AS largest FROM raw_events GROUP BY event_type"""),
-    "report_suite": _with(
-        RAW_EVENTS, GENERATION_STATUS, CONVERSATION_META, NUMBERED, TURNS, TREATMENTS,
-        select="\nUNION ALL\n".join(
-            f"SELECT '{report}' AS report, '{name}' AS table_name, count(*) AS row_count FROM {rows}"
-            for (report, name), rows in _SUITE.items()
-        ),
-    ),
 }
+ORACLES["report_suite"] = _suite()
