@@ -198,6 +198,8 @@ def main_text(html: str | None, winners: list[str] | None) -> str:
 
 #: Paths that a host's ranking holds; pages without any of them use their own best container.
 RANKED_PATHS = 16
+#: Copies of a host's ranking.
+HOST_COPIES = 64
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -230,7 +232,9 @@ def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     keep = [c for c in (keep or pages.columns) if c.lower() not in names]
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), host.alias("host"), F.col("html").cast("string"))
-    joined = rows.join(host_paths(rows), "host", "left")
+    # A host may own a third of all pages: its pages are dealt to as many tasks as its ranking has copies.
+    copies = host_paths(rows).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(HOST_COPIES - 1))))
+    joined = rows.withColumn("copy", F.pmod(F.xxhash64("html", "row"), F.lit(HOST_COPIES)).cast("int")).join(copies, ["host", "copy"], "left")
 
     def make():
         def run(part: pa.RecordBatch) -> list:
