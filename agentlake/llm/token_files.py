@@ -66,8 +66,8 @@ class _Numbers(dict):
 class WordEncoder:
     """Encodes texts word by word with a tokenizer that never joins across ASCII white space and drops it, keeping the
     ids of words seen before. Equal to encoding whole texts for such a tokenizer (word-level pre-tokenizers whose
-    pieces and special tokens hold no white space). A-Z is folded first if the tokenizer does so,
-    which leaves fewer different words."""
+    pieces and special tokens hold no white space). Words of ASCII alone are folded first if the tokenizer folds, which
+    leaves fewer different words; in others a mark may compose with one case of its letter only."""
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
@@ -93,7 +93,11 @@ class WordEncoder:
     def _words(self, text: str | None) -> list[bytes]:
         raw = (text or "").encode()
         folded = raw.lower() if self.fold else raw  # bytes: A-Z only
-        return (raw if any(x in folded for x in self.added) else folded).split()
+        if any(x in folded for x in self.added):
+            return raw.split()
+        if not self.fold or raw.isascii():
+            return folded.split()
+        return [w.lower() if w.isascii() else w for w in raw.split()]
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each word, and all ids; words go through the tokenizer a few dozen at a time."""

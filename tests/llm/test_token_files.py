@@ -10,6 +10,8 @@ from agentlake.llm.token_files import TokenFile, WordEncoder, _file_system, read
 from tests.llm.plain import EDGE_TEXTS, docs_of, random_texts
 
 ODD = ["á ́b <|startoftext|>x<|endoftext|> y\x1cz\x85q\xa0w <|ENDOFTEXT|>", "Σας İI it's 're'll 12a b﻿", "!'s a!'s—!x", "日本語 한국어"]
+#: Letters whose lower case alone composes with the mark.
+ODD += ["H\u0331amza \u1e96amza h\u0331amza HAMZA", "T\u0308e", "W\u030aa", "J\u030carda \u01f0arda JARDA"]
 
 
 def plain_ids(texts):
