@@ -50,12 +50,41 @@ SKIPPED_WORDS = frozenset(
 #: Left out unless another word says that it holds the text.
 DOUBTFUL_WORDS = frozenset("sidebar side header masthead widget widgets notice notices alert banner toolbar search tags meta legal copyright skip hidden outbrain taboola".split())
 TEXT_WORDS = frozenset("article content post entry story body main text".split())
+#: What follows these in a class or id tells what an element is about or comes with, not what it is.
+WITH_WORDS = frozenset("with without has no".split())
+#: The same where a name starts so, menus of categories and tags excepted.
+TOPIC_WORDS = frozenset("category tag".split())
+MENU_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs pagination pager".split())
 
 _MARKUP = re.compile(r"""<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z))""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
+def _named(name: str) -> set[str]:
+    """Words of a class or id that name the element itself."""
+    words = _LETTERS.findall(name)
+    if words and words[0] in TOPIC_WORDS and not MENU_WORDS.intersection(words):
+        return set()
+    return set(words[: next((k for k, w in enumerate(words) if w in WITH_WORDS), None)])
+
+
+def _left_out(tag: str, names: list[str], role: str, inner: bool) -> bool:
+    """Whether names (the id first, then classes) and role say that an element is not main text. Articles and main
+    elements are kept, but for articles inside of others (``inner``), which hold comments too. A name with text words
+    and no skipped ones keeps an element, unless its id or role says nothing but skipped words."""
+    if tag in ("article", "main") and not inner:
+        return False
+    named = [_named(n) for n in names]
+    skipped = [bool(w & SKIPPED_WORDS) for w in named]
+    if not SKIPPED_WORDS.isdisjoint(_LETTERS.findall(role)) or (named[0] and named[0] <= SKIPPED_WORDS):
+        return True
+    if any(skipped) and not any(w & TEXT_WORDS and not s for w, s in zip(named, skipped)) and not (role == "main"):
+        return True
+    words = set(_LETTERS.findall(" ".join([*names, role])))
+    return tag not in ("article", "main") and bool(set().union(*named, _LETTERS.findall(role)) & DOUBTFUL_WORDS) and not words & TEXT_WORDS
+
+
 #: What a block counts for the containers further out.
 OUTER_SHARE = 0.5
 #: What text in links takes away.
@@ -127,17 +156,20 @@ class Page:
         skipped = self._stack[-1][2]
         label, node = tag, self._stack[-1][0]
         if not skipped:
-            classes, words, hidden = [], set(), False
+            classes, names, role, hidden = [], [""], "", False
             for a in _ATTRIBUTE.finditer(attributes):
                 name, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
                 if name == "class":
                     classes = sorted(set(_DIGITS.sub("#", value).split()))
-                if name in ("class", "id", "role"):
-                    words.update(_LETTERS.findall(value))
+                    names += value.split()
+                elif name == "id":
+                    names[0] = value
+                elif name == "role":
+                    role = value
                 hidden = hidden or name == "hidden" or (name == "aria-hidden" and value == "true" and tag in BLOCKS)
             label = ".".join([tag, *classes])
             skipped = tag in SKIPPED_TAGS or (tag not in ("html", "body") and (
-                hidden or bool(words & SKIPPED_WORDS) or (tag not in ("article", "main") and bool(words & DOUBTFUL_WORDS) and not words & TEXT_WORDS)))
+                hidden or ((len(names) > 1 or names[0] or role) and _left_out(tag, names, role, tag == "article" and any(t == "article" for _, t, _ in self._stack)))))
         if tag in BLOCKS:
             self.parent.append(node)
             self.path.append(f"{self.path[node]}/{label}")

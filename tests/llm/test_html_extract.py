@@ -24,6 +24,22 @@ def test_pages(html, text):
     assert main_text(html, None) == text
 
 
+@pytest.mark.parametrize("start", [
+    "article class='post type-post category-social tag-menu'", "article class='story promotion'", "main class='social related'", "div class='article-content with-comments'",
+    "div class='post type-post category-social'", "div class='category-advertising'", "div class='has-comments'", "div class='no-ads wrap'", "div class='layout with-sidebar no-menu'",
+    "div id='content' class='social'", "div role='main' class='subscription'"])
+def test_class_words_that_do_not_name_the_element_keep_it(start):
+    assert main_text(f"<body><{start}><p>{PARAGRAPH}</p></{start.split()[0]}><div><p>left</p></div></body>", None).startswith(PARAGRAPH.strip())
+
+
+@pytest.mark.parametrize("start", [
+    "div class='post-comments'", "div class='main-menu'", "div class='content-ad'", "ul class='category-menu'", "div id='comments' class='content'", "div role='navigation' class='main'",
+    "div class='related'", "article class='comment'"])
+def test_menus_adverts_and_comments_are_left_out(start):
+    tag = start.split()[0]
+    assert main_text(f"<body><article><p>x</p><{start}><p>{PARAGRAPH}</p></{tag}></article></body>", None) == "x"
+
+
 def test_site_text():
     assert main_text(site(7), None) == f"Title 7\n{PARAGRAPH.strip()}\none\ntwo bold"
     assert Page(site(7)).best() == Page(site(8)).best()
