@@ -2,9 +2,8 @@
 
 1. Every page is parsed once; its containers are scored by the text of their paragraphs, less text in links. The path of
    the best one, tags and classes with digits generalised, is the page's vote.
-2. Spark counts the votes of each host and ranks its paths.
-3. Every page is read again with its host's paths: the text is taken from the containers on the first winning path that
-   the page has, or from its own best container if it has none of them.
+2. Spark counts the votes of each host and joins all of them with the paths of each page; the one with the most wins.
+3. Every page is read again: the text is taken from the containers on its winning path.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out in both
 readings, by their tags and by the words in their classes and ids.
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agentlake.llm.rows import map_texts, without
+from agentlake.llm.storage import materialize
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -207,8 +207,14 @@ class Page:
             return None
         return self.path[max(total, key=lambda n: (total[n], -n))]
 
-    def has(self, path: str) -> bool:
-        return any(p == path for p in self.path[1:]) or path == ""
+    def candidates(self) -> list[str]:
+        """Distinct paths of containers with text below."""
+        found: set[int] = set()
+        for node in {n for n, _, _ in self.blocks}:
+            while node >= 0 and node not in found:
+                found.add(node)
+                node = self.parent[node]
+        return list({self.path[n] for n in found if self.container[n]})
 
     def text(self, path: str) -> str:
         """Blocks below containers on the path, in page order."""
@@ -218,36 +224,53 @@ class Page:
         return "\n".join(t for node, t, _ in self.blocks if inside[node])
 
 
-def main_text(html: str | None, winners: list[str] | None) -> str:
+def main_text(html: str | None, winner: str | None) -> str:
+    """Text of the containers on the winning path, or of the page's own best one."""
     page = Page(html or "")
-    known = set(page.path)
-    for path in winners or ():
-        if path in known and (text := page.text(path)):
-            return text
+    text = page.text(winner) if winner is not None else ""
+    if text:
+        return text
     best = page.best()
     return page.text(best) if best is not None else ""
 
 
-#: Paths that a host's ranking holds; pages without any of them use their own best container.
-RANKED_PATHS = 16
-#: Copies of a host's ranking.
-HOST_COPIES = 64
+#: Parts in which the pages of a host are counted and joined.
+HOST_PARTS = 64
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, winners): the paths that the pages of each host voted for, most votes first, then by name."""
+def page_paths(pages: DataFrame) -> DataFrame:
+    """(host, part, page, path, own): a row for each path of containers with text on each page, and whether it is the
+    page's own vote. Pages are known by digests of their html, and stay in one part."""
 
     def make():
         def run(part: pa.RecordBatch) -> list:
-            return [[Page(h or "").best() for h in part.column("html").to_pylist()]]
+            made = [Page(h or "") for h in part.column("html").to_pylist()]
+            return [[p.best() for p in made], [p.candidates() for p in made]]
 
         return run
 
-    votes = map_texts(pages.select("host", "html"), [("path", T.StringType())], make, text="html", keep=["host"])
-    counted = votes.where(F.col("path").isNotNull()).groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    ranked = counted.withColumn("place", place).where(F.col("place") <= RANKED_PATHS)
-    return ranked.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("winners"))
+    voted = map_texts(pages, [("best", T.StringType()), ("paths", T.ArrayType(T.StringType()))], make, text="html", keep=["host", "part", "page"])
+    return voted.select("host", "part", "page", "best", F.explode("paths").alias("path")).select("host", "part", "page", "path", (F.col("path") == F.col("best")).alias("own"))
+
+
+def path_votes(paths: DataFrame) -> DataFrame:
+    """(host, path, part, votes): all votes of each path that has any, in each part where pages have it."""
+    counted = paths.groupBy("host", "path", "part").agg(F.sum(F.col("own").cast("long")).alias("votes"))
+    return counted.withColumn("votes", F.sum("votes").over(Window.partitionBy("host", "path"))).where("votes > 0")
+
+
+def host_paths(pages: DataFrame) -> DataFrame:
+    """(host, winners): the paths that the pages of each host voted for, most votes first, then by name."""
+    paths = page_paths(pages.select("host", "html", F.lit(0).alias("part"), F.lit(None).cast("binary").alias("page")))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("order"), "path")))
+    return path_votes(paths).groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("winners"))
+
+
+def page_winners(paths: DataFrame) -> DataFrame:
+    """(host, part, page, winner): of the paths that each page has, the one with the most votes at its host, then by name."""
+    place = F.struct((-F.col("votes")).alias("order"), "path")
+    joined = paths.join(path_votes(paths), ["host", "path", "part"])
+    return joined.groupBy("host", "part", "page").agg(F.min(place)["path"].alias("winner"))
 
 
 def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -264,13 +287,15 @@ def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     keep = [c for c in (keep or pages.columns) if c.lower() not in names]
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), host.alias("host"), F.col("html").cast("string"))
-    # A host may own a third of all pages: its pages are dealt to as many tasks as its ranking has copies.
-    copies = host_paths(rows).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(HOST_COPIES - 1))))
-    joined = rows.withColumn("copy", F.pmod(F.xxhash64("html", "row"), F.lit(HOST_COPIES)).cast("int")).join(copies, ["host", "copy"], "left")
+    # A host may own a third of all pages, and so may one text: pages are dealt to parts, so that no join key holds all of them.
+    part = F.pmod(F.xxhash64("html", "row"), F.lit(HOST_PARTS)).cast("int")
+    rows = rows.withColumns({"part": part, "page": F.unhex(F.sha2("html", 256))})
+    paths = materialize(page_paths(rows.select("host", "part", "page", "html")), "paths")
+    joined = rows.join(page_winners(paths), ["host", "part", "page"], "left")
 
     def make():
         def run(part: pa.RecordBatch) -> list:
-            texts = [main_text(h, w) for h, w in zip(part.column("html").to_pylist(), part.column("winners").to_pylist())]
+            texts = [main_text(h, w) for h, w in zip(part.column("html").to_pylist(), part.column("winner").to_pylist())]
             return [texts, [len(t) for t in texts]]
 
         return run

@@ -65,3 +65,16 @@ def test_host_consensus_wins_over_a_page(spark):
     assert extract_pages(pages.limit(0)).collect() == []
     votes = host_paths(pages.selectExpr("'h' AS host", "html")).first()
     assert votes.winners[0] == Page(site(1)).best()
+
+
+def test_all_paths_of_a_host_have_votes(spark):
+    """Forty templates on a host: the rarest one still decides for a page whose largest container is another."""
+    def page(k, extra=""):
+        return f"<body><div class='x{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}'><p>{PARAGRAPH * 3}{k}</p></div>{extra}</body>"
+
+    rows = [(k * 10 + n, f"http://h.com/{n}", page(k) + " " * n) for k in range(40) for n in range(2 + (k < 30))]
+    rows.append((999, "http://h.com/odd", page(39, f"<div class='quotes'><p>{PARAGRAPH * 9}</p></div>")))
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and got[999] == f"{PARAGRAPH * 3}39"
+    paths = host_paths(spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("'h' AS host", "html")).first().winners
+    assert len(paths) == 41
