@@ -2,7 +2,8 @@
 
 1. Every page is parsed once; its containers are scored by the text of their paragraphs, less text in links. The path of
    the best one, tags and classes with digits generalised, is the page's vote.
-2. Spark counts the votes of each host and joins all of them with the paths of each page; the one with the most wins.
+2. Spark counts the votes of each host and joins all of them with the paths of each page; the one with the most wins,
+   if it holds enough of the page's text.
 3. Every page is read again: the text is taken from the containers on its winning path.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out in both
@@ -89,6 +90,10 @@ def _left_out(tag: str, names: list[str], role: str, inner: bool) -> bool:
 OUTER_SHARE = 0.5
 #: What text in links takes away.
 LINK_COST = 3
+#: Of the paragraph text in the page's own best container, what a winning path must hold on the page.
+SHARE = 0.25
+#: The same on pages whose own path no other page votes for.
+LONE_SHARE = 0.025
 
 
 class Page:
@@ -207,14 +212,21 @@ class Page:
             return None
         return self.path[max(total, key=lambda n: (total[n], -n))]
 
-    def candidates(self) -> list[str]:
-        """Distinct paths of containers with text below."""
-        found: set[int] = set()
-        for node in {n for n, _, _ in self.blocks}:
-            while node >= 0 and node not in found:
-                found.add(node)
+    def candidates(self) -> tuple[list[str], list[str]]:
+        """Distinct paths of containers with text below whose paragraph text is at least the share ``SHARE`` of that of
+        the best container, and further ones that reach ``LONE_SHARE``."""
+        values: dict[str, int] = defaultdict(int)
+        for node, text, links in self.blocks:
+            paths = set()
+            while node >= 0:
+                if self.container[node]:
+                    paths.add(self.path[node])
                 node = self.parent[node]
-        return list({self.path[n] for n in found if self.container[n]})
+            for path in paths:
+                values[path] += max(0, len(text) - LINK_COST * links)
+        best = self.best()
+        most = values[best] if best is not None else 0
+        return [p for p, v in values.items() if v >= SHARE * most], [p for p, v in values.items() if LONE_SHARE * most <= v < SHARE * most]
 
     def text(self, path: str) -> str:
         """Blocks below containers on the path, in page order."""
@@ -239,24 +251,33 @@ HOST_PARTS = 64
 
 
 def page_paths(pages: DataFrame) -> DataFrame:
-    """(host, part, page, path, own): a row for each path of containers with text on each page, and whether it is the
-    page's own vote. Pages are known by digests of their html, and stay in one part."""
+    """(host, part, page, path, large, own): a row for each path that may win on each page, whether it holds enough text
+    where the page's own vote is that of a template too, and whether it is the page's own vote. Pages are known by digests of their html, and stay in one part."""
 
     def make():
         def run(part: pa.RecordBatch) -> list:
             made = [Page(h or "") for h in part.column("html").to_pylist()]
-            return [[p.best() for p in made], [p.candidates() for p in made]]
+            found = [p.candidates() for p in made]
+            return [[p.best() for p in made], [f[0] for f in found], [f[1] for f in found]]
 
         return run
 
-    voted = map_texts(pages, [("best", T.StringType()), ("paths", T.ArrayType(T.StringType()))], make, text="html", keep=["host", "part", "page"])
-    return voted.select("host", "part", "page", "best", F.explode("paths").alias("path")).select("host", "part", "page", "path", (F.col("path") == F.col("best")).alias("own"))
+    fields = [("best", T.StringType()), ("larger", T.ArrayType(T.StringType())), ("smaller", T.ArrayType(T.StringType()))]
+    voted = map_texts(pages, fields, make, text="html", keep=["host", "part", "page"])
+    larger = F.transform("larger", lambda x: F.struct(x.alias("path"), F.lit(True).alias("large")))
+    both = F.concat(larger, F.transform("smaller", lambda x: F.struct(x.alias("path"), F.lit(False).alias("large"))))
+    rows = voted.select("host", "part", "page", "best", F.inline(both))
+    return rows.withColumn("own", F.col("path") == F.col("best")).drop("best")
 
 
 def path_votes(paths: DataFrame) -> DataFrame:
-    """(host, path, part, votes): all votes of each path that has any, in each part where pages have it."""
-    counted = paths.groupBy("host", "path", "part").agg(F.sum(F.col("own").cast("long")).alias("votes"))
-    return counted.withColumn("votes", F.sum("votes").over(Window.partitionBy("host", "path"))).where("votes > 0")
+    """(host, path, part, votes, shared): all votes of each path that has any, and whether different pages cast them, in
+    each part where pages have the path."""
+    voter = F.when(F.col("own"), F.col("page"))
+    counted = paths.groupBy("host", "path", "part").agg(F.sum(F.col("own").cast("long")).alias("votes"), F.min(voter).alias("low"), F.max(voter).alias("high"))
+    all_parts = Window.partitionBy("host", "path")
+    whole = counted.select("host", "path", "part", F.sum("votes").over(all_parts).alias("votes"), (F.min("low").over(all_parts) < F.max("high").over(all_parts)).alias("shared"))
+    return whole.where("votes > 0")
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -267,10 +288,12 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
 
 def page_winners(paths: DataFrame) -> DataFrame:
-    """(host, part, page, winner): of the paths that each page has, the one with the most votes at its host, then by name."""
+    """(host, part, page, winner): of the paths that may win on each page, the one with the most votes at its host, then
+    by name. Where other pages vote for the page's own path too, only paths that hold ``SHARE`` of its text may."""
     place = F.struct((-F.col("votes")).alias("order"), "path")
     joined = paths.join(path_votes(paths), ["host", "path", "part"])
-    return joined.groupBy("host", "part", "page").agg(F.min(place)["path"].alias("winner"))
+    found = joined.groupBy("host", "part", "page").agg(F.max(F.col("own") & F.col("shared")).alias("template"), F.min(place)["path"].alias("any"), F.min(F.when(F.col("large"), place))["path"].alias("large"))
+    return found.select("host", "part", "page", F.when(F.col("template"), F.col("large")).otherwise(F.col("any")).alias("winner"))
 
 
 def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:

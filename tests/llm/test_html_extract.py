@@ -78,3 +78,11 @@ def test_all_paths_of_a_host_have_votes(spark):
     assert len(got) == len(rows) and got[999] == f"{PARAGRAPH * 3}39"
     paths = host_paths(spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("'h' AS host", "html")).first().winners
     assert len(paths) == 41
+
+
+def test_small_container_of_another_template_does_not_win(spark):
+    """Lists are the majority of the host; its articles hold a short list of teasers too."""
+    rows = [(k, f"http://h.com/{k}", f"<body><div class='list'><p>{PARAGRAPH * 5}{k}</p></div></body>") for k in range(6)]
+    rows += [(k, f"http://h.com/{k}", f"<body><div class='list'><p>{PARAGRAPH}</p></div><div class='text'><p>{PARAGRAPH * 9}{k}</p></div></body>") for k in range(6, 8)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"{PARAGRAPH * (5 if k < 6 else 9)}{k}" for k in range(8)}
