@@ -17,12 +17,15 @@ from agentlake.llm.substring_dedup import remove_repeats
 from agentlake.llm.token_counts import count_tokens
 from agentlake.llm.token_files import read_token_files, write_token_files
 from agentlake.llm.toxicity import score_toxicity, train_toxicity
+from agentlake.llm.whitening import fit_whitening, identity_error, whiten
 
 #: Parameters of the token files.
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Pieces and scores of the token counts.
 VOCABULARY = "piece_bpe_32k.model"
+#: Whitened components of a vector.
+COMPONENTS = 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +92,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(VOCABULARY), keep=["doc_id"]).select("doc_id", "n_tokens", "best_score")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(vectors)
+    rows = whiten(vectors, model, COMPONENTS, keep=["vec_id"])
+    explained = F.array(*(F.lit(e).cast("double") for e in (model.explained(COMPONENTS) if model else [])))
+    return rows.select("vec_id", F.posexplode("whitened").alias("place", "whitened"), "deviation").select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"), "whitened", F.get(explained, F.col("place")).alias("explained"),
+        F.lit(identity_error(rows)).cast("double").alias("identity_error"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
@@ -100,4 +114,5 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_mix_sources": op9_mix_sources,
     "op10_token_counts": op10_token_counts,
+    "op13_whitening": op13_whitening,
 }
