@@ -43,7 +43,7 @@ def test_correction_beats_its_start():
     matrix, exact = spectrum(np.linspace(1, 1.01, 40))
     single = np.linalg.eigh(matrix.astype(np.float32))[1][:, ::-1].astype(float)
     error = lambda x: np.abs(np.abs(exact.T.astype(float) @ x) - np.eye(40)).max()
-    assert error(single) > 1e-4 and error(eigenvectors(matrix)[1].astype(float)) < 1e-14
+    assert error(single) > 1e-5 and error(eigenvectors(matrix)[1].astype(float)) < 1e-14
 
 
 def plain(vectors, components):
@@ -62,7 +62,7 @@ def plain(vectors, components):
 def test_equals_plain_numbers(spark):
     r = np.random.default_rng(5)
     good = (r.normal(size=(700, 6)) * [3, 2, 1.5, 1, 0.2, 0.1]).tolist()
-    odd = [None, [], [1.0, None, 0, 0, 0, 0], [float("nan"), 0.0, 0, 0, 0, 0], [float("inf"), 0.0, 0, 0, 0, 0], [1.0, 2.0]]
+    odd = [None, [], [1.0, None, 0.0, 0.0, 0.0, 0.0], [float("nan")] + [0.0] * 5, [float("inf")] + [0.0] * 5, [1.0, 2.0]]
     df = vectors_of(spark, good[:300] + odd + good[300:]).repartition(7).selectExpr("*", "1 AS Deviation", "vec_id AS whitened")
     model = fit_whitening(df)
     n, deviations, explained, made = plain(good, 4)
