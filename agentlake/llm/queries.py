@@ -11,6 +11,7 @@ from agentlake.llm.jaccard_join import near_duplicates
 from agentlake.llm.labelled import fold_of
 from agentlake.llm.line_rules import judge_lines
 from agentlake.llm.mixing import mix_sizes
+from agentlake.llm.packing import cut_documents, pack_pieces
 from agentlake.llm.quality_model import score_quality, train_quality
 from agentlake.llm.storage import new_folder
 from agentlake.llm.substring_dedup import remove_repeats
@@ -24,6 +25,9 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Pieces and scores of the token counts.
 VOCABULARY = "piece_bpe_32k.model"
+#: Ids of a packed sequence, and the id that ends a document there.
+CAPACITY = 2048
+PACKED_END_ID = 0
 #: Whitened components of a vector.
 COMPONENTS = 8
 
@@ -92,6 +96,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(VOCABULARY), keep=["doc_id"]).select("doc_id", "n_tokens", "best_score")
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = cut_documents(_table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER), PACKED_END_ID, CAPACITY, keep=["doc_id"])
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack_pieces(pieces, CAPACITY)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     model = fit_whitening(vectors)
@@ -114,5 +124,6 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_mix_sources": op9_mix_sources,
     "op10_token_counts": op10_token_counts,
+    "op12_packing": op12_packing,
     "op13_whitening": op13_whitening,
 }

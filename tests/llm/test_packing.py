@@ -1,0 +1,137 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from agentlake.llm.packing import Complements, Places, cut_documents, pack_pieces, plan_sequences, sequences
+from agentlake.llm.queries import CAPACITY, PACKED_END_ID, QUERIES, TOKENIZER, tokenizer_path
+from tests.llm.plain import EDGE_TEXTS, docs_of, random_texts
+
+
+def plain_pieces(texts, capacity, end_id):
+    """(text, piece, start, ids) of all documents."""
+    coded = Tokenizer.from_file(tokenizer_path(TOKENIZER)).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    for k, c in enumerate(coded):
+        ids = [*c.ids, end_id]
+        for piece, start in enumerate(range(0, len(ids), capacity)):
+            yield k, piece, start, ids[start : start + capacity]
+
+
+def check_places(rows, capacity):
+    """Every sequence is gapless from 0 and within the capacity; returns their number."""
+    ends = Counter()
+    for sequence, offset, length in sorted(rows):
+        assert offset == ends[sequence]
+        ends[sequence] += length
+    assert not ends or max(ends.values()) <= capacity
+    return len(ends)
+
+
+def best_fit_decreasing(lengths, capacity):
+    gaps = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [(g, k) for k, g in enumerate(gaps) if g >= length]
+        if fitting:
+            gaps[min(fitting)[1]] -= length
+        else:
+            gaps.append(capacity - length)
+    return len(gaps)
+
+
+def test_complements_are_those_of_all_combinations():
+    r = random.Random(4)
+    for _ in range(60):
+        size = 24
+        left = np.array([0] + [r.choice([0, 0, 1, 2, 5]) for _ in range(size)])
+        index = Complements(left > 0)
+        for length in r.sample(range(1, size + 1), 6):  # lengths run out
+            if left[length]:
+                left[length] = 0
+                index.remove(length)
+        there = [k for k in range(1, size + 1) for _ in range(min(3, left[k]))]
+        sums = {1: set(there)}
+        sums[2] = {a + b for i, a in enumerate(there) for b in there[i + 1 :]}
+        sums[3] = {a + b + c for i, a in enumerate(there) for j, b in enumerate(there[i + 1 :], i + 1) for c in there[j + 1 :]}
+        for gap in range(1, size + 1):
+            found = index.fill(gap, left)
+            fewest = next((n for n in (1, 2, 3) if gap in sums[n]), None)
+            assert (found and len(found)) == fewest
+            if found:
+                assert sum(found) == gap and all(left[k] >= n for k, n in Counter(found).items())
+
+
+def test_plan_uses_every_piece_once():
+    r = random.Random(1)
+    for trial in range(80):
+        capacity = r.choice([10, 37, 200])
+        lengths = [r.randint(1, r.choice([3, capacity])) if trial % 3 else r.choice([1, capacity // 2, capacity // 3 + 1, capacity]) for _ in range(r.randint(1, 300))]
+        recipes = plan_sequences(Counter(lengths), capacity)
+        used = Counter()
+        for recipe in recipes:
+            assert recipe.filled <= capacity and recipe.sequences > 0
+            for length, times in recipe.parts:
+                used[length] += times * recipe.sequences
+        assert used == Counter(lengths)
+        total = sum(recipe.sequences for recipe in recipes)
+        assert math.ceil(sum(lengths) / capacity) <= total <= best_fit_decreasing(lengths, capacity)
+        places, rows = Places(recipes, capacity), []
+        assert places.sequences == total
+        for length, n in Counter(lengths).items():
+            found = places.find(np.full(n, length), np.arange(n))
+            rows += zip(*(x.tolist() for x in found), [length] * n)
+        assert check_places(rows, capacity) == total
+
+
+def test_perfect_packings_are_found():
+    r = random.Random(8)
+    lengths = []
+    for _ in range(500):  # sequences cut into up to four pieces
+        cuts = sorted(r.sample(range(1, 1000), r.randint(0, 3)))
+        lengths += [b - a for a, b in zip([0, *cuts], [*cuts, 1000])]
+    assert sum(x.sequences for x in plan_sequences(Counter(lengths), 1000)) <= 503 < best_fit_decreasing(lengths, 1000) + 10
+    assert [(x.parts, x.sequences) for x in plan_sequences({2: 10**12, 3: 10**12}, 5)] == [(((3, 1), (2, 1)), 10**12)]
+    assert plan_sequences({}, 5) == []
+
+
+def test_pieces_and_sequences(spark):
+    texts = EDGE_TEXTS + random_texts(150) + ["again and again"] * 40
+    ids = [None if k % 11 == 0 else k % 50 for k in range(len(texts))]
+    docs = docs_of(spark, texts, ids).repartition(6).selectExpr("*", "1 AS Piece", "2 AS Offset", "doc_id AS pack_task")
+    pieces = cut_documents(docs, tokenizer_path(TOKENIZER), 7, 64)
+    assert pieces.columns == ["doc_id", "lang", "source", "n_chars", "Offset", "pack_task", "piece", "start", "length", "ids"]
+    packed = pack_pieces(pieces, 64)
+    got = packed.collect()
+    read = lambda b: tuple(np.frombuffer(b, "<u4").tolist())
+    assert Counter((r.doc_id, r.piece, r.start, r.length, read(r.ids)) for r in got) == Counter(
+        (ids[k], piece, start, len(own), tuple(own)) for k, piece, start, own in plain_pieces(texts, 64, 7))
+    n = check_places([(r.sequence_id, r.offset, r.length) for r in got], 64)
+    assert n <= best_fit_decreasing([r.length for r in got], 64)
+    joined = {r.sequence_id: read(r.ids) for r in sequences(packed).collect()}
+    assert len(joined) == n
+    assert all(joined[r.sequence_id][r.offset : r.offset + r.length] == read(r.ids) for r in got)
+
+
+def test_odd_lengths_and_empty_tables(spark):
+    rows = spark.createDataFrame([(None, 1), (0, 2), (-5, 3), (11, 4), (10, 5), (4, 6), (6, 6), (6, None)], "length int, sequence_id int")
+    got = pack_pieces(rows, 10).orderBy("length", "sequence_id").collect()
+    assert [r.length for r in got if r.sequence_id is None] == [None, -5, 0, 11]
+    assert check_places([(r.sequence_id, r.offset, r.length) for r in got if r.sequence_id is not None], 10) == 3
+    assert pack_pieces(rows.limit(0), 10).collect() == []
+    assert cut_documents(docs_of(spark, ["a"]).limit(0), tokenizer_path(TOKENIZER), 0, 8).collect() == []
+
+
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_query(spark, size):
+    sf_dir = f"/root/testdata/sf{size}"
+    got = QUERIES["op12_packing"](spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    expected = Counter((docs[k].doc_id, piece, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+                       for k, piece, start, own in plain_pieces([d.text for d in docs], CAPACITY, PACKED_END_ID))
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == expected
+    n = check_places([(r.sequence_id, r.offset, r.length) for r in got], CAPACITY)
+    lengths = [r.length for r in got]
+    assert math.ceil(sum(lengths) / CAPACITY) <= n <= min(best_fit_decreasing(lengths, CAPACITY), math.ceil(sum(lengths) / CAPACITY) + 3)
