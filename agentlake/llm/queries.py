@@ -13,6 +13,7 @@ from agentlake.llm.line_rules import judge_lines
 from agentlake.llm.mixing import mix_sizes
 from agentlake.llm.packing import cut_documents, pack_pieces
 from agentlake.llm.quality_model import score_quality, train_quality
+from agentlake.llm.spelling import count_words, group_spellings
 from agentlake.llm.storage import new_folder
 from agentlake.llm.substring_dedup import remove_repeats
 from agentlake.llm.token_counts import count_tokens
@@ -96,6 +97,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(VOCABULARY), keep=["doc_id"]).select("doc_id", "n_tokens", "best_score")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(count_words(_table(spark, sf_dir, "documents")))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = cut_documents(_table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER), PACKED_END_ID, CAPACITY, keep=["doc_id"])
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -124,6 +129,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_mix_sources": op9_mix_sources,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling": op11_spelling,
     "op12_packing": op12_packing,
     "op13_whitening": op13_whitening,
 }
