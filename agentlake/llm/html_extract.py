@@ -2,18 +2,21 @@
 
 1. Every page is parsed once; its containers are scored by the text of their paragraphs, less text in links. The path of
    the best one, tags and classes with digits generalised, is the page's vote.
-2. Spark counts the votes of each host and joins all of them with the paths of each page; the one with the most wins,
-   if it holds enough of the page's text.
+2. Spark counts the votes of each host and joins all of them with the paths of each page; of those that hold a fair
+   share of the page's text the one with the most wins.
 3. Every page is read again: the text is taken from the containers on its winning path.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out in both
-readings, by their tags and by the words in their classes and ids.
+readings, by their tags and by the words in their classes and ids. Sites also wrap their articles in such elements, and
+forget to close them; so what they hold is read as a zone of its own, and whether a zone is left out is decided when the
+whole page is known (see ``Page.decide``).
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -43,7 +46,13 @@ CLOSES = (
 )
 
 # What is never main text.
-SKIPPED_TAGS = frozenset("nav header footer aside form script style noscript template iframe svg math object canvas audio video button select textarea input dialog menu head title".split())
+SKIPPED_TAGS = frozenset("script style noscript template iframe svg math object canvas audio video button select textarea input head title".split())
+#: The same, but articles inside of them count.
+ZONE_TAGS = frozenset("nav header footer aside form dialog menu".split())
+#: Elements often left open: (tag, what may stand inside); anything else of the blocks ends an open one.
+LEFT_OPEN = {"nav": frozenset("ul ol li menu p dl dd dt hr".split()), "select": frozenset("option hr".split()), "form": frozenset("p ul ol li dl dd dt fieldset legend table tbody tr td th option hr".split())}
+#: What may stand in a head.
+HEAD_TAGS = frozenset("head html base basefont bgsound link meta title style script noscript template".split())
 SKIPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion nav navbar navigation menu footer "
     "comment comments commentlist disqus respond replies share sharing social related recommended recommendations cookie cookies "
@@ -58,7 +67,8 @@ TOPIC_WORDS = frozenset("category tag".split())
 MENU_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs pagination pager".split())
 
 _MARKUP = re.compile(r"""<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z))""", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
+_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _LETTERS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -90,21 +100,38 @@ def _left_out(tag: str, names: list[str], role: str, inner: bool) -> bool:
 OUTER_SHARE = 0.5
 #: What text in links takes away.
 LINK_COST = 3
+#: Characters of text that a zone with a doubtful name must have to be all of a page.
+PARAGRAPHS = 200
 #: Of the paragraph text in the page's own best container, what a winning path must hold on the page.
 SHARE = 0.25
-#: The same on pages whose own path no other page votes for.
-LONE_SHARE = 0.025
+
+
+@dataclass
+class Zone:
+    """A part of the page whose text counts or not as a whole, without the zones inside of it."""
+
+    kind: str  # "page"; left out: "tag" or "named" (by a name that ends in another word), "held" (form, hidden); "text" inside of those
+    outer: int
+    size: int = 0
+    filled: bool = False
+    open: bool = False
 
 
 class Page:
-    """Blocks of text and the containers that they stand in. Node 0 stands for the page itself."""
+    """Blocks of text and the containers that they stand in. Node 0 stands for the page itself, zone 0 for what is read
+    in any case. ``open_tags``: places of start tags that are known to lack an end tag."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, open_tags: frozenset[int] = frozenset()):
         self.parent, self.path, self.container = [-1], [""], [True]
         self.blocks: list[tuple[int, str, int]] = []  # (innermost container, text, characters in links)
+        self.zones = [Zone("page", -1, open=True)]
+        self._all: list[tuple[int, tuple[int, str, int]]] = []  # blocks of all zones, the zone before each
         self._parts: list[str] = []
-        self._links, self._stack = 0, [(0, "", False)]  # (node, tag, skipped)
+        self._links, self._stack = 0, [(0, "", 0, -1)]  # (node, tag, zone or -1 for nothing at all, place)
         self._in_link = 0
+        self._main = 0  # characters in articles and main elements of zone 0
+        self._unclosed: set[int] = set()
+        self._known = open_tags
         at = 0
         for m in _MARKUP.finditer(html):
             if m.start() < at:
@@ -119,16 +146,56 @@ class Page:
             if m[1] or m[4]:
                 self._close(tag)
             else:
-                self._open(tag, m[3] if m[2] else m[6])
+                self._open(tag, m[3] if m[2] else m[6], m.start())
                 if tag in RAW:
                     end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
                     at = end.start() if end else len(html)
         if at < len(html):
             self._text(html[at:])
         self._flush()
+        self._cut(1)
+        if self._unclosed and not open_tags:
+            self.__init__(html, frozenset(self._unclosed))  # read again, each of them ending where its kind of content does
+        else:
+            self.decide()
+
+    def decide(self) -> None:
+        """Which zones count. Sizes are characters of text, less what links take away.
+
+        - A form, or an element that is not shown, that holds more than all of zone 0 counts as a whole.
+        - Articles, main elements and text containers inside of zones count where zone 0 has no article or main element
+          with text and they hold more than it: the zone is a wrapper, not a list of comments beside the article. Those
+          in zones whose names say nothing but that they are left out count only if no others do, and each by itself.
+        - On a page without any text so far, the largest zone counts whose name ends in another word, if its text is
+          that of paragraphs.
+        """
+        page = self.zones[0]
+        if not self._main:
+            for zone in self.zones:
+                zone.open = zone.open or (zone.kind == "held" and zone.size > page.size)
+            texts = [z for z in self.zones if z.kind == "text" and not self._in_text(z)]
+            wrapped = [z for z in texts if self.zones[z.outer].kind != "tag"]
+            if sum(z.size for z in wrapped) > page.size:
+                texts = wrapped
+            else:
+                texts = [z for z in texts if z.size > page.size]
+            for zone in texts:
+                zone.open = True
+        if not any(z.open and z.filled for z in self.zones):
+            named = [z for z in self.zones if z.kind == "named" and z.size >= PARAGRAPHS]
+            if named:
+                max(named, key=lambda z: z.size).open = True
+        self.blocks = [block for zone, block in self._all if self.zones[zone].open]
+
+    def _in_text(self, zone: Zone) -> bool:
+        while zone.outer > 0:
+            zone = self.zones[zone.outer]
+            if zone.kind == "text":
+                return True
+        return False
 
     def _text(self, text: str) -> None:
-        if not self._stack[-1][2]:
+        if self._stack[-1][2] >= 0:
             text = unescape(text) if "&" in text else text
             self._parts.append(text)
             if self._in_link:
@@ -138,15 +205,22 @@ class Page:
         text = " ".join("".join(self._parts).split())
         if text:
             node = self._stack[-1][0]
+            number = next(z for _, _, z, _ in reversed(self._stack) if z >= 0)
             while not self.container[node]:
                 node = self.parent[node]
-            self.blocks.append((node, text, self._links))
+            self._all.append((number, (node, text, self._links)))
+            zone = self.zones[number]
+            zone.size, zone.filled = zone.size + max(0, len(text) - LINK_COST * self._links), True
+            if number == 0 and any(t in ("article", "main") for _, t, _, _ in self._stack):
+                self._main += len(text)
         self._parts, self._links = [], 0
 
-    def _open(self, tag: str, attributes: str) -> None:
+    def _open(self, tag: str, attributes: str, place: int) -> None:
         if tag == "br":
             self._parts.append(" ")
             return
+        if tag not in HEAD_TAGS and self._stack[-1][1] == "head":
+            self._cut(len(self._stack) - 1)
         if tag in BLOCKS:
             self._flush()
             for starting, closed, shields in CLOSES:
@@ -156,35 +230,71 @@ class Page:
                             self._cut(k)
                         elif self._stack[k][1] in shields:
                             break
+            if self._known:
+                for k in range(1, len(self._stack)):
+                    if self._stack[k][3] in self._known and tag not in LEFT_OPEN[self._stack[k][1]]:
+                        self._cut(k)
+                        break
         if tag in VOID:
             return
-        skipped = self._stack[-1][2]
-        label, node = tag, self._stack[-1][0]
-        if not skipped:
-            classes, names, role, hidden = [], [""], "", False
-            for a in _ATTRIBUTE.finditer(attributes):
-                name, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
-                if name == "class":
-                    classes = sorted(set(_DIGITS.sub("#", value).split()))
-                    names += value.split()
-                elif name == "id":
-                    names[0] = value
-                elif name == "role":
-                    role = value
-                hidden = hidden or name == "hidden" or (name == "aria-hidden" and value == "true" and tag in BLOCKS)
-            label = ".".join([tag, *classes])
-            skipped = tag in SKIPPED_TAGS or (tag not in ("html", "body") and (
-                hidden or ((len(names) > 1 or names[0] or role) and _left_out(tag, names, role, tag == "article" and any(t == "article" for _, t, _ in self._stack)))))
+        node, _, zone, _ = self._stack[-1]
+        label = tag
+        if zone >= 0:
+            label, zone = self._zone(tag, attributes, zone)
         if tag in BLOCKS:
             self.parent.append(node)
             self.path.append(f"{self.path[node]}/{label}")
             self.container.append(tag in CONTAINERS)
             node = len(self.parent) - 1
         self._in_link += tag == "a"
-        self._stack.append((node, tag, skipped))
+        self._stack.append((node, tag, zone, place))
+
+    def _zone(self, tag: str, attributes: str, zone: int) -> tuple[str, int]:
+        """The element's label in paths, and the zone of its text."""
+        classes, names, role, hidden = [], [""], "", False
+        for a in _ATTRIBUTE.finditer(attributes) if attributes else ():
+            name, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
+            if name == "class":
+                classes = sorted(set(_DIGITS.sub("#", value).split()))
+                names += value.split()
+            elif name == "id":
+                names[0] = value
+            elif name == "role":
+                role = value
+            elif name == "style":
+                hidden = hidden or bool(_NOT_SHOWN.search(value))
+            hidden = hidden or name == "hidden" or (name == "aria-hidden" and value == "true" and tag in BLOCKS)
+        label = ".".join([tag, *classes])
+        if tag in SKIPPED_TAGS:
+            return label, -1
+        if tag in ("html", "body"):
+            return label, zone
+        named = len(names) > 1 or names[0] or role
+        inner = tag == "article" and any(t == "article" for _, t, _, _ in self._stack)
+        kind = None
+        if named and _left_out(tag, names, role, inner):
+            ends = [w[-1] for n in names if (w := _LETTERS.findall(n))]
+            kind = "named" if any(w not in SKIPPED_WORDS and w not in DOUBTFUL_WORDS for w in ends) else "tag"
+        elif tag in ZONE_TAGS:
+            kind = "held" if tag == "form" else "tag"
+        elif hidden:
+            kind = "held"
+        elif zone and self.zones[zone].kind != "text" and (tag in ("article", "main") or any(_named(n) & TEXT_WORDS for n in names)):
+            kind = "text"
+        if kind is None:
+            return label, zone
+        if tag not in BLOCKS:
+            return label, zone if kind == "text" else -1
+        self.zones.append(Zone(kind, zone))
+        return label, len(self.zones) - 1
 
     def _cut(self, k: int) -> None:
-        self._in_link -= sum(t == "a" for _, t, _ in self._stack[k:])
+        """End the elements from the k-th on, none of them by an end tag of its own."""
+        self._unclosed.update(place for _, t, _, place in self._stack[k:] if t in LEFT_OPEN)
+        self._drop(k)
+
+    def _drop(self, k: int) -> None:
+        self._in_link -= sum(t == "a" for _, t, _, _ in self._stack[k:])
         del self._stack[k:]
 
     def _close(self, tag: str) -> None:
@@ -192,7 +302,8 @@ class Page:
             self._flush()
         for k in range(len(self._stack) - 1, 0, -1):
             if self._stack[k][1] == tag:
-                self._cut(k)
+                self._unclosed.update(place for _, t, _, place in self._stack[k + 1 :] if t in LEFT_OPEN)
+                self._drop(k)
                 return
 
     def best(self) -> str | None:
@@ -212,9 +323,9 @@ class Page:
             return None
         return self.path[max(total, key=lambda n: (total[n], -n))]
 
-    def candidates(self) -> tuple[list[str], list[str]]:
+    def candidates(self) -> list[str]:
         """Distinct paths of containers with text below whose paragraph text is at least the share ``SHARE`` of that of
-        the best container, and further ones that reach ``LONE_SHARE``."""
+        the best container."""
         values: dict[str, int] = defaultdict(int)
         for node, text, links in self.blocks:
             paths = set()
@@ -226,7 +337,7 @@ class Page:
                 values[path] += max(0, len(text) - LINK_COST * links)
         best = self.best()
         most = values[best] if best is not None else 0
-        return [p for p, v in values.items() if v >= SHARE * most], [p for p, v in values.items() if LONE_SHARE * most <= v < SHARE * most]
+        return [p for p, v in values.items() if v >= SHARE * most]
 
     def text(self, path: str) -> str:
         """Blocks below containers on the path, in page order."""
@@ -246,37 +357,31 @@ def main_text(html: str | None, winner: str | None) -> str:
     return page.text(best) if best is not None else ""
 
 
-#: Parts in which the pages of a host are counted and joined.
-HOST_PARTS = 64
+#: Pages of a host that are counted and joined together; larger hosts are dealt to as many parts as they need.
+PART_PAGES = 1024
 
 
 def page_paths(pages: DataFrame) -> DataFrame:
-    """(host, part, page, path, large, own): a row for each path that may win on each page, whether it holds enough text
-    where the page's own vote is that of a template too, and whether it is the page's own vote. Pages are known by digests of their html, and stay in one part."""
+    """(host, part, page, path, own): a row for each path that may win on each page, and whether it is the page's own
+    vote. Pages are known by digests of their html, and stay in one part."""
 
     def make():
         def run(part: pa.RecordBatch) -> list:
             made = [Page(h or "") for h in part.column("html").to_pylist()]
-            found = [p.candidates() for p in made]
-            return [[p.best() for p in made], [f[0] for f in found], [f[1] for f in found]]
+            return [[p.best() for p in made], [p.candidates() for p in made]]
 
         return run
 
-    fields = [("best", T.StringType()), ("larger", T.ArrayType(T.StringType())), ("smaller", T.ArrayType(T.StringType()))]
+    fields = [("best", T.StringType()), ("paths", T.ArrayType(T.StringType()))]
     voted = map_texts(pages, fields, make, text="html", keep=["host", "part", "page"])
-    larger = F.transform("larger", lambda x: F.struct(x.alias("path"), F.lit(True).alias("large")))
-    both = F.concat(larger, F.transform("smaller", lambda x: F.struct(x.alias("path"), F.lit(False).alias("large"))))
-    rows = voted.select("host", "part", "page", "best", F.inline(both))
+    rows = voted.select("host", "part", "page", "best", F.explode("paths").alias("path"))
     return rows.withColumn("own", F.col("path") == F.col("best")).drop("best")
 
 
 def path_votes(paths: DataFrame) -> DataFrame:
-    """(host, path, part, votes, shared): all votes of each path that has any, and whether different pages cast them, in
-    each part where pages have the path."""
-    voter = F.when(F.col("own"), F.col("page"))
-    counted = paths.groupBy("host", "path", "part").agg(F.sum(F.col("own").cast("long")).alias("votes"), F.min(voter).alias("low"), F.max(voter).alias("high"))
-    all_parts = Window.partitionBy("host", "path")
-    whole = counted.select("host", "path", "part", F.sum("votes").over(all_parts).alias("votes"), (F.min("low").over(all_parts) < F.max("high").over(all_parts)).alias("shared"))
+    """(host, path, part, votes): all votes of each path that has any, in each part where pages have the path."""
+    counted = paths.groupBy("host", "path", "part").agg(F.sum(F.col("own").cast("long")).alias("votes"))
+    whole = counted.withColumn("votes", F.sum("votes").over(Window.partitionBy("host", "path")))
     return whole.where("votes > 0")
 
 
@@ -289,11 +394,16 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
 def page_winners(paths: DataFrame) -> DataFrame:
     """(host, part, page, winner): of the paths that may win on each page, the one with the most votes at its host, then
-    by name. Where other pages vote for the page's own path too, only paths that hold ``SHARE`` of its text may."""
+    by name."""
     place = F.struct((-F.col("votes")).alias("order"), "path")
     joined = paths.join(path_votes(paths), ["host", "path", "part"])
-    found = joined.groupBy("host", "part", "page").agg(F.max(F.col("own") & F.col("shared")).alias("template"), F.min(place)["path"].alias("any"), F.min(F.when(F.col("large"), place))["path"].alias("large"))
-    return found.select("host", "part", "page", F.when(F.col("template"), F.col("large")).otherwise(F.col("any")).alias("winner"))
+    return joined.groupBy("host", "part", "page").agg(F.min(place)["path"].alias("winner"))
+
+
+def host_parts(rows: DataFrame, part_pages: int) -> DataFrame:
+    """(host, parts) of the hosts with more than ``part_pages`` pages: fewer rows than a part has pages into all pages."""
+    parts = F.ceil(F.count(F.lit(1)) / part_pages).cast("int")
+    return rows.groupBy("host").agg(parts.alias("parts")).where("parts > 1")
 
 
 def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -311,7 +421,8 @@ def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), host.alias("host"), F.col("html").cast("string"))
     # A host may own a third of all pages, and so may one text: pages are dealt to parts, so that no join key holds all of them.
-    part = F.pmod(F.xxhash64("html", "row"), F.lit(HOST_PARTS)).cast("int")
+    rows = rows.join(host_parts(rows, PART_PAGES), "host", "left")
+    part = F.pmod(F.xxhash64("html", "row"), F.coalesce("parts", F.lit(1))).cast("int")
     rows = rows.withColumns({"part": part, "page": F.unhex(F.sha2("html", 256))})
     paths = materialize(page_paths(rows.select("host", "part", "page", "html")), "paths")
     joined = rows.join(page_winners(paths), ["host", "part", "page"], "left")
