@@ -38,7 +38,7 @@ HUB_ROUNDS = 2
 
 def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer words has its whole sequence as one."""
-    hashes = words.hashes()
+    hashes = words.fingerprints()
     grams = roll(hashes, width) if len(hashes) >= width else hashes[:0]
     sets = []
     for low, high in zip(words.first[:-1].tolist(), words.first[1:].tolist()):

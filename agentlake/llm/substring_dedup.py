@@ -38,7 +38,7 @@ def _windows(table: pa.Table, width: int) -> list[tuple[Words, np.ndarray, np.nd
     found = []
     for part in slices(table):
         words = find_words(part.column("text"))
-        found.append((words, *words.windows(words.hashes(), width)))
+        found.append((words, *words.windows(words.fingerprints(), width)))
     return found
 
 
@@ -83,7 +83,7 @@ def _send_windows(layout: X.Layout, half: int, width: int) -> Callable:
         chosen = [np.empty(0, np.uint64)]
         for part in slices(docs):
             words = find_words(part.column("text"))
-            hashes = words.hashes()
+            hashes = words.fingerprints()
             at, probes = words.windows(hashes, half)
             hit = np.zeros(len(hashes) + 1, np.int64)
             hit[at[X.find(anchors, probes >> shift) >= 0] + 1] = 1

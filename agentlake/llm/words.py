@@ -6,6 +6,7 @@ rows. Hashes depend on the bytes of a word alone; equal words have equal hashes
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -71,6 +72,17 @@ def _power_table(base: int, size: int) -> np.ndarray:
     return known
 
 
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+_fold_table = np.arange(256, dtype=np.uint8)
+_fold_table[0x41:0x5B] += 0x20
+
+
+def _folded(buffer: np.ndarray) -> np.ndarray:
+    return _fold_table[buffer]
+
+
 @dataclass
 class Words:
     """Words of some texts, in order. ``start``/``end`` are byte offsets into ``buffer``; ``first[i]`` is the number of
@@ -98,6 +110,33 @@ class Words:
             value = (prefix[self.end] - prefix[self.start]) * _power_table(_RADIX_INVERSE, size)[self.start]
         return mix(value)
 
+    def fingerprints(self) -> np.ndarray:
+        """64-bit hashes for telling words apart: two lanes, stirred after every eight bytes, so that no pattern of letters
+        is known to collide; words above ``LONG_WORD`` bytes get a cryptographic hash. (``hashes`` is a polynomial, whose
+        collisions can be written down; it serves models, which fold words together anyway.)"""
+        form = _folded(self.buffer) if self._fold else self.buffer
+        blocks = np.ndarray((len(form) + 1,), "<u8", form.tobytes() + b"\0" * 9, strides=(1,))
+        length = self.end - self.start
+        first = np.minimum(length, 8)
+        with np.errstate(over="ignore"):
+            part = blocks[self.start] & _MASKS[first]
+            a = mix(part ^ (length.astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
+            b = mix(part + _U(0xA0761D6478BD642F))
+            rows, at = np.flatnonzero((length > 8) & (length <= LONG_WORD)), 8
+            while len(rows):
+                left = np.minimum(length[rows] - at, 8)
+                part = blocks[self.start[rows] + at] & _MASKS[left]
+                a[rows] = mix(a[rows] ^ part)
+                b[rows] = mix(b[rows] * _U(0xE7037ED1A0B428DB) + part)
+                at += 8
+                rows = rows[length[rows] > at]
+            value = mix(a ^ (b << _U(23)) ^ (b >> _U(41)))
+        raw = form.tobytes() if (length > LONG_WORD).any() else b""
+        for k in np.flatnonzero(length > LONG_WORD).tolist():
+            digest = hashlib.blake2b(raw[self.start[k] : self.end[k]], digest_size=8).digest()
+            value[k] = int.from_bytes(digest, "little")
+        return value
+
     def windows(self, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of every run of ``width`` words within one text."""
         n = len(hashes) - width + 1

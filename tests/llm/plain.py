@@ -42,6 +42,13 @@ def random_texts(n, seed=0, words=60, vocabulary=400):
 EDGE_TEXTS = [None, "", " \t\n\r", "one", "One two\x0bthree", "a b c d e", "x" * 5000, "é́ \U0001f600 \x00z  q", "same words here again " * 30, "long " * 30_000]
 
 
+def parity_words(size):
+    """Two words whose letters follow the parity of the bits of their places: polynomials modulo 2**64 take them for one
+    from 1,024 letters on."""
+    word = "".join("ab"[k.bit_count() % 2] for k in range(size))
+    return [word, word.translate(str.maketrans("ab", "ba"))]
+
+
 def plain_components(texts, percent=80, width=5):
     sets, lists = {}, defaultdict(list)
     for i, t in texts.items():

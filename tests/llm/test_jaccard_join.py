@@ -2,7 +2,7 @@ import random
 
 from agentlake.llm.components import components
 from agentlake.llm.jaccard_join import near_duplicates
-from tests.llm.plain import EDGE_TEXTS, docs_of, plain_components, random_texts
+from tests.llm.plain import EDGE_TEXTS, docs_of, parity_words, plain_components, random_texts
 
 
 def check(spark, texts):
@@ -30,6 +30,11 @@ def test_crowded_columns_that_do_not_link(spark):
     assert check(spark, texts) > 40
 
 
+def test_words_that_polynomials_confuse(spark):
+    words = parity_words(1024)
+    assert check(spark, words + [" ".join([*"abcdefghijkl", w, *"mnopqrstuvwx"]) for w in words]) == 0
+
+
 def test_nulls_clashes_and_empty_tables(spark):
     docs = docs_of(spark, ["a b c d e f", "A b c d e f", None, "x", "a b c d e f"], [None, 7, 8, None, 9]).selectExpr("*", "1 AS component_id")
     got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in near_duplicates(docs).collect())

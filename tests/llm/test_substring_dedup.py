@@ -2,7 +2,7 @@ import pytest
 
 from agentlake.llm import gram_exchange as X
 from agentlake.llm.substring_dedup import remove_repeats
-from tests.llm.plain import EDGE_TEXTS, docs_of, plain_repeats, random_texts
+from tests.llm.plain import EDGE_TEXTS, docs_of, parity_words, plain_repeats, random_texts
 
 
 def check(docs, rows, **more):
@@ -22,6 +22,12 @@ def test_equals_plain_loop(spark, group_bytes):
     check(docs, list(zip(ids, texts)), layout=layout)
 
 
+def test_words_that_polynomials_confuse(spark):
+    texts = [" ".join([*"abcdefghijkl", word, *"mnopqrstuvwx"]) for size in (1024, 4096) for word in parity_words(size)]
+    check(docs_of(spark, texts), list(enumerate(texts)))
+    assert {r.n_removed for r in remove_repeats(docs_of(spark, texts)).collect()} == {0}
+
+
 def test_first_of_equal_rows_stays_and_text_is_returned(spark):
     text = " ".join(f"w{k}" for k in range(25))
     docs = docs_of(spark, [text, text + "  tail", text], [4, 2, 4]).selectExpr("*", "0 AS n_removed", "1 AS grp")

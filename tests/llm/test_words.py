@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from agentlake.llm.words import ALPHANUMERIC, NOT_SPACE, find_words, slices
 from tests.llm.plain import ALPHANUMERIC as ALPHANUMERIC_RE
-from tests.llm.plain import FOLD, WORD
+from tests.llm.plain import FOLD, WORD, parity_words
 
 texts = st.lists(st.one_of(st.none(), st.text(alphabet="aAbB1 \t\n\r\x00é—.,", max_size=30)), max_size=8)
 
@@ -20,8 +20,21 @@ def test_words_and_hashes_follow_the_patterns(some):
         assert [raw[a:b].decode().translate(FOLD) for a, b in zip(words.start, words.end)] == [w for x in expected for w in x]
         assert words.count.tolist() == [len(x) for x in expected]
         folded = [w for x in expected for w in x]
-        hashes = words.hashes().tolist()
-        assert len(set(hashes)) == len(set(folded)) and len(set(zip(folded, hashes))) == len(set(folded))
+        for made in (words.hashes(), words.fingerprints()):
+            hashes = made.tolist()
+            assert len(set(hashes)) == len(set(folded)) and len(set(zip(folded, hashes))) == len(set(folded))
+
+
+def test_fingerprints_tell_words_apart():
+    patterns = [w for n in (2, 8, 64, 1024, 4096) for w in parity_words(n)]
+    other = ["a" * k for k in range(1, 40)] + ["a" * k for k in (255, 256, 257, 258, 1000)] + ["a" * 7 + "\x00", "a" * 8 + "\x00", "b" * 8 + "a" * 8, "a" * 8 + "b" * 8]
+    texts = [*dict.fromkeys(patterns + other)]
+    prints = find_words(pa.array(texts, pa.large_string())).fingerprints()
+    assert len(set(prints.tolist())) == len(texts)
+    padded = find_words(pa.array(["x  " + t + "\t" for t in texts], pa.large_string())).fingerprints()
+    assert padded[1::2].tolist() == prints.tolist()
+    folded = find_words(pa.array([t.upper() for t in texts], pa.large_string()), fold=True).fingerprints()
+    assert folded.tolist() == find_words(pa.array(texts, pa.large_string()), fold=True).fingerprints().tolist()
 
 
 def test_windows_stay_within_a_text():
