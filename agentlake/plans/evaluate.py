@@ -16,6 +16,7 @@ from ..sources import (
     load_generation_status,
     write_reports,
 )
+from ..sources.snapshots import rename_new
 from .suite import run_report
 
 LOG_REPORTS = ("token_stats", "perf_metrics", "eval_metrics")
@@ -63,14 +64,21 @@ def _catalog(root: str, tables: dict[str, DataFrame]) -> Catalog:
 
 
 def _move(spark: SparkSession, source: str, target: str | None) -> None:
-    """Let ``source`` take the place of ``target``; without a target, delete it."""
+    """Let ``source`` take the place of ``target``; without a target, delete it. If the new folder cannot take the place,
+    the old one gets it back; nothing old is deleted before the new one stands."""
     make = spark._jvm.org.apache.hadoop.fs.Path
     system = make(source).getFileSystem(spark._jsc.hadoopConfiguration())
     if target is None:
         system.delete(make(source), True)
         return
-    aside = make(f"{source}-before")
-    if system.exists(make(target)):
-        system.rename(make(target), aside)
-    system.rename(make(source), make(target))
-    system.delete(aside, True)
+    aside = f"{source}-before"
+    try:
+        if system.exists(make(target)):
+            rename_new(spark, target, aside)
+        rename_new(spark, source, target)
+    except BaseException:
+        if system.exists(make(aside)) and not system.exists(make(target)):
+            rename_new(spark, aside, target)
+        system.delete(make(source), True)
+        raise
+    system.delete(make(aside), True)

@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.apply import BatchOperator, Operator, apply
+from .partitions import Directories, Wanted, partition_directories
+from .snapshots import SnapshotStore, escape_glob
 
 
 @dataclass(frozen=True)
 class TableSpec:
+    """``format``: ``parquet``, files in partition directories that any tool can read, or ``snapshot``, a table of a
+    ``SnapshotStore`` at ``path``, whose writes appear whole or not at all."""
+
     name: str
     path: str
     format: str = "parquet"
@@ -58,10 +63,10 @@ DEFAULT_TABLES = {
 }
 
 
-def default_catalog(lake_root: str, schema_version: str = "v2") -> Catalog:
+def default_catalog(lake_root: str, schema_version: str = "v2", format: str = "parquet") -> Catalog:
     root = str(lake_root).rstrip("/")
     return Catalog(
-        TableSpec(name, f"{root}/{folder}", "parquet", schema_version, keys, text)
+        TableSpec(name, f"{root}/{folder}", format, schema_version, keys, text)
         for name, (folder, keys, text) in DEFAULT_TABLES.items()
     )
 
@@ -77,19 +82,29 @@ class ReadFilters:
     app_id: str | None = None
     session_id: str | None = None
 
-    def conditions(self, spec: TableSpec) -> list[Column]:
-        found = []
+    def _days(self) -> tuple[str, str] | None:
         if self.dt:
-            found.append(F.col("dt") == self.dt)
-        elif self.dt_from and self.dt_to:
-            days = date.fromisoformat(self.dt_from), date.fromisoformat(self.dt_to)
-            found.append(F.col("dt").between(*[d.isoformat() for d in days]))
-        elif self.dt_from or self.dt_to:
-            found.append(F.col("dt") == (self.dt_from or self.dt_to))
-        if self.app_id:
-            found.append(F.col("app_id") == self.app_id)
-        if self.session_id and "session_id" in spec.partition_keys:
-            found.append(F.col("session_id") == self.session_id)
+            return self.dt, self.dt
+        if self.dt_from and self.dt_to:
+            return date.fromisoformat(self.dt_from).isoformat(), date.fromisoformat(self.dt_to).isoformat()
+        one = self.dt_from or self.dt_to
+        return (one, one) if one else None
+
+    def _equal(self, spec: TableSpec) -> dict[str, str]:
+        named = {"app_id": self.app_id, "session_id": self.session_id if "session_id" in spec.partition_keys else None}
+        return {key: value for key, value in named.items() if value}
+
+    def conditions(self, spec: TableSpec) -> list[Column]:
+        found, days = [], self._days()
+        if days:
+            found.append(F.col("dt") == days[0] if days[0] == days[1] else F.col("dt").between(*days))
+        return found + [F.col(key) == value for key, value in self._equal(spec).items()]
+
+    def wanted(self, spec: TableSpec) -> dict[str, Wanted]:
+        """Partition values that these filters leave, for those columns that are partition columns."""
+        found, days = {key: Wanted((value,)) for key, value in self._equal(spec).items()}, self._days()
+        if days:
+            found["dt"] = Wanted((days[0],)) if days[0] == days[1] else Wanted(test=lambda day: days[0] <= day <= days[1])
         return found
 
 
@@ -115,15 +130,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 wanted: Mapping[str, Wanted] | None = None) -> DataFrame:
     """Parquet with partition values kept as text (no ``007`` turned into 7).
 
-    With ``schema``, a path without files, or that does not exist yet, gives an empty table.
+    With ``schema``, a path without files, or that does not exist yet, gives an empty table. With ``wanted``, only the
+    partition directories that hold wanted values are listed and read; rows are not filtered otherwise.
     """
     if schema is not None and not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    root = str(path).rstrip("/")
+    chosen = partition_directories(spark, root, wanted) if wanted else None
     with _partition_values_as_text(spark):
-        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        if chosen is None:
+            return reader.parquet(path)
+        reader = reader.option("basePath", root)
+        if chosen:
+            return reader.parquet(*map(escape_glob, chosen))
+        # no such partition: the columns are those of any one directory
+        return reader.parquet(escape_glob(_first_directory(spark, root))).where(F.lit(False))
+
+
+def _first_directory(spark: SparkSession, root: str) -> str:
+    directories, path = Directories(spark, root), root
+    while inside := directories.children(path):
+        path = inside[0][2]
+    return path
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -152,18 +185,32 @@ class Lake:
     def read(self, table: str, *, filters: ReadFilters | None = None,
              columns: Sequence[str] | None = None) -> DataFrame:
         spec = self.catalog.get(table)
-        df = read_parquet(self.spark, spec.path, spec.schema)
+        df = self._scan(spec, filters.wanted(spec) if filters else {})
         for condition in filters.conditions(spec) if filters else ():
             df = df.where(condition)
         return df.select(*columns) if columns else df
 
+    def _scan(self, spec: TableSpec, wanted: Mapping[str, Wanted]) -> DataFrame:
+        if spec.format == "snapshot":
+            return SnapshotStore(self.spark, spec.path).read(spec.name, wanted=wanted, schema=spec.schema)
+        if spec.format != "parquet":
+            raise ValueError(f"no such table format: {spec.format!r}")
+        return read_parquet(self.spark, spec.path, spec.schema, wanted)
+
     def dataset(self, table: str, filters: Mapping[str, Any] | None = None) -> DataFrame:
         """Table rows on which every named column has the given value."""
-        return self.read(table).where(equal_to(filters or {}))
+        wanted = {c: Wanted((v,)) for c, v in (filters or {}).items() if isinstance(v, str) and v}
+        return self._scan(self.catalog.get(table), wanted).where(equal_to(filters or {}))
 
     def write(self, df: DataFrame, table: str, *, path: str | None = None,
               partition_by: Sequence[str] | None = None, mode: str = "append") -> None:
-        write_parquet(df, path or self.catalog.get(table).path, partition_by, mode)
+        """``path`` overrides the place of the catalog. Plain Parquet tables are replaced file by file; of ``snapshot``
+        tables readers see all of a write or nothing."""
+        spec = self.catalog.get(table) if path is None or table in self.catalog.list() else TableSpec(table, path)
+        if spec.format == "snapshot":
+            SnapshotStore(self.spark, path or spec.path).write({table: df}, partition_by={table: partition_by or ()}, mode=mode)
+        else:
+            write_parquet(df, path or spec.path, partition_by, mode)
 
     def view(self, table: str, df: DataFrame | None = None) -> None:
         """Make a table, or ``df`` under that name, available to ``sql``."""
