@@ -33,7 +33,7 @@ DAMAGED = 97
 #: Different words that a task counts before it hands the counts on.
 COUNTED_WORDS = 400_000
 #: Words that planes are fitted on, and the number of words that a cell should hold.
-SAMPLE, CELL = 100_000, 2048
+SAMPLE, CELL = 100_000, 8192
 #: Points in a leaf.
 LEAF = 24
 #: Elements of an array of differences at once.
@@ -93,12 +93,31 @@ def count_words(docs: DataFrame, least_letters: int = LEAST_LETTERS, least_count
 # --- letter counts and trees -----------------------------------------------------------------------------------------
 
 
-def letter_counts(words: list[str]) -> np.ndarray:
-    """One row a word: how often it has each of the 256 first code points."""
-    data = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    row = np.repeat(np.arange(len(words)), sizes)
-    return np.bincount(row * 256 + data, minlength=256 * len(words)).reshape(-1, 256)
+class Letters:
+    """The code points that some words use, each with a column."""
+
+    def __init__(self, words: list[str]):
+        used = np.unique(np.frombuffer("".join(words).encode("latin-1"), np.uint8))
+        self.names = [chr(c) for c in used.tolist()]
+        self.columns = np.full(256, len(used))
+        self.columns[used] = np.arange(len(used))
+
+    def counts(self, words: list[str]) -> np.ndarray:
+        """One row a word: how often it has each letter, and in the last column how many others it has."""
+        width = len(self.names) + 1
+        data = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        place = np.repeat(np.arange(0, width * len(words), width), sizes) + self.columns[data]
+        return _narrow(np.bincount(place, minlength=width * len(words)).reshape(-1, width))
+
+
+#: Every code point that a word may have.
+ANY_LETTERS = Letters([chr(c) for c in (*range(0x61, 0x7B), *range(0xC0, 0x100))])
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Small numbers for words of usual length, which the search is quicker with."""
+    return counts.astype(np.int8 if counts.max(initial=0) < 64 else np.int64)
 
 
 @dataclass
@@ -115,11 +134,9 @@ class LetterTree:
     that they also hold points that come later."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF, open_boxes: bool = False):
-        if not open_boxes and points.max(initial=0) < 1 << 13:
-            points = points.astype(np.int16)
         self.points, self.leaf, self.open, self.cells = points, leaf, open_boxes, 0
         size = points.shape[1]
-        self.root = self._node(np.arange(len(points)), np.zeros(size, np.int64), np.full(size, np.iinfo(np.int64).max))
+        self.root = self._node(np.arange(len(points)), np.zeros(size, points.dtype), np.full(size, np.iinfo(points.dtype).max, points.dtype))
 
     def _node(self, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> Node:
         own = self.points[rows]
@@ -160,8 +177,6 @@ class LetterTree:
         """(query, point) for all points that have exactly ``more`` letters that the query lacks and lack exactly
         ``fewer`` that it has."""
         found = [(np.empty(0, np.int64),) * 2]
-        if self.points.dtype == np.int16:
-            queries = np.minimum(queries, 1 << 14).astype(np.int16)  # more than any point has, still out of reach
         for node, rows in self._reached(queries, more, fewer):
             points = self.points[node.rows]
             step = max(1, BLOCK // max(1, points.size))
@@ -174,12 +189,15 @@ class LetterTree:
 
     def _reached(self, queries: np.ndarray, more: int, fewer: int) -> Iterator[tuple[Node, np.ndarray]]:
         """Leaves and the queries whose edits can reach their box."""
+        if queries.dtype != self.points.dtype:  # either has a long word; counts of both stay as they are
+            queries, points = queries.astype(np.int64), self.points.astype(np.int64)
+            self.__init__(points, self.leaf, self.open)
         stack = [(self.root, np.arange(len(queries)))]
         while stack:
             node, rows = stack.pop()
             own = queries[rows]
-            lacking = np.maximum(node.low - own, 0).sum(axis=1)
-            over = np.maximum(own - node.high, 0).sum(axis=1)
+            lacking = np.maximum(node.low - own, 0).sum(axis=1, dtype=np.int32)
+            over = np.maximum(own - node.high, 0).sum(axis=1, dtype=np.int32)
             rows = rows[(lacking <= more) & (over <= fewer)]
             if not len(rows):
                 continue
@@ -232,44 +250,46 @@ def class_pairs(from_: list[str], to: dict[str, int], lost: str, gained: str) ->
                 yield number, other
 
 
-class Classes:
-    """Words by their letters: ``points[k]`` counts the letters of the words ``members[k]``."""
-
-    def __init__(self, words: list[str]):
-        counts = letter_counts(words)
-        self.points, of = np.unique(counts, axis=0, return_inverse=True)
-        self.members: list[list[int]] = [[] for _ in range(len(self.points))]
-        for number, k in enumerate(of.ravel().tolist()):
-            self.members[k].append(number)
+def by_letters(words: list[str]) -> dict[str, list[int]]:
+    """Numbers of the words by their letters in order."""
+    found: dict[str, list[int]] = {}
+    for number, word in enumerate(words):
+        found.setdefault("".join(sorted(word)), []).append(number)
+    return found
 
 
 def pairs_in_cell(points: list[str], same: list[str], shorter: list[str]) -> Iterator[tuple[int, int, int]]:
     """(0, i, j): ``same[i]`` and ``points[j]`` differ by one replaced letter. (1, i, j): ``points[j]`` is ``shorter[i]`` with
-    one letter more."""
+    one letter more. Words of the same letters are one point of the tree, and one query."""
     if not points:
         return
-    own = Classes(points)
-    used = np.flatnonzero(own.points.any(axis=0))
-    tree = LetterTree(own.points[:, used])
-    lookup = [{points[j]: j for j in members} for members in own.members]
+    classes = by_letters(points)
+    letters, members = Letters(points), list(classes.values())
+    counts = letters.counts(list(classes))
+    tree, lookup = LetterTree(counts), [{points[j]: j for j in own} for own in members]
+    names = [*letters.names, ""]
     for kind, words, fewer in ((0, same, 1), (1, shorter, 0)):
-        if not words:
-            continue
-        asked = Classes(words)
-        beyond = asked.points.sum(axis=1) - asked.points[:, used].sum(axis=1)  # letters that no point has
-        able = np.flatnonzero(beyond <= fewer)
-        if kind == 0 and beyond.any():  # such a letter is the one that goes; one further column stands for them
-            columns = np.column_stack([asked.points[able][:, used], beyond[able]])
-            search = LetterTree(np.column_stack([own.points[:, used], np.zeros(len(own.points), np.int64)]))
-        else:
-            columns, search = asked.points[able][:, used], tree
-        for query, point in zip(*(x.tolist() for x in search.near(columns, 1, fewer))):
-            members = asked.members[able[query]]
-            change = own.points[point] - asked.points[able[query]]
-            gained = chr(int(change.argmax()))
-            lost = chr(int(change.argmin())) if fewer else ""
-            for number, other in class_pairs([words[i] for i in members], lookup[point], lost, gained):
-                yield kind, members[number], lookup[point][other]
+        asked = by_letters(words)
+        queries = letters.counts(list(asked))
+        able = np.flatnonzero(queries[:, -1] <= fewer)
+        asking = list(asked.values())
+        query, point = tree.near(queries[able], 1, fewer)
+        query = able[query]
+        change = counts[point] - queries[query]
+        gained, lost = change.argmax(axis=1).tolist(), change.argmin(axis=1).tolist()
+        for q, p, more, less in zip(query.tolist(), point.tolist(), gained, lost):
+            own = asking[q]
+            if len(own) == 1 and len(lookup[p]) == 1:
+                j = members[p][0]
+                if one_edit(words[own[0]], points[j]):
+                    yield kind, own[0], j
+                continue
+            there = [words[i] for i in own]
+            gone = ""
+            if fewer:  # the letter that goes may be one that no point has
+                gone = names[less] or next(c for c in there[0] if c not in letters.names)
+            for number, other in class_pairs(there, lookup[p], gone, names[more]):
+                yield kind, own[number], lookup[p][other]
 
 
 # --- Spark -----------------------------------------------------------------------------------------------------------
@@ -289,8 +309,7 @@ def _planes(words: DataFrame, sample: int, cell: int) -> dict[int, LetterTree]:
     trees = {}
     for length, own in by_length.items():
         if len(own) > leaf:
-            tree = trees[length] = LetterTree(np.unique(letter_counts(own), axis=0), leaf, open_boxes=True)
-            tree.points = None  # only the planes are needed from here on
+            trees[length] = LetterTree(ANY_LETTERS.counts(list(by_letters(own))), leaf, open_boxes=True)
     return trees
 
 
@@ -308,7 +327,7 @@ def _dealt(words: DataFrame, trees: dict[int, LetterTree]) -> DataFrame:
                 own = [words[k] for k in rows.tolist()]
                 for target, kinds in ((size, ((0, 0, 0), (1, 1, 1))), (size + 1, ((2, 1, 0),))):
                     tree = sent.value.get(target)
-                    counts = letter_counts(own) if tree else None
+                    counts = ANY_LETTERS.counts(own) if tree else None
                     home = np.zeros(len(own), np.int64)
                     for kind, more, fewer in kinds:
                         if tree:
