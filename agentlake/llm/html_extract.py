@@ -357,8 +357,8 @@ def main_text(html: str | None, winner: str | None) -> str:
     return page.text(best) if best is not None else ""
 
 
-#: Pages of a host that are counted and joined together; larger hosts are dealt to as many parts as they need.
-PART_PAGES = 1024
+#: Pages of a host that are counted and joined together.
+PART_PAGES = 256
 
 
 def page_paths(pages: DataFrame) -> DataFrame:
@@ -400,10 +400,11 @@ def page_winners(paths: DataFrame) -> DataFrame:
     return joined.groupBy("host", "part", "page").agg(F.min(place)["path"].alias("winner"))
 
 
-def host_parts(rows: DataFrame, part_pages: int) -> DataFrame:
-    """(host, parts) of the hosts with more than ``part_pages`` pages: fewer rows than a part has pages into all pages."""
-    parts = F.ceil(F.count(F.lit(1)) / part_pages).cast("int")
-    return rows.groupBy("host").agg(parts.alias("parts")).where("parts > 1")
+def host_parts(rows: DataFrame, part_pages: int) -> int:
+    """Parts that the largest host needs, for parts of about ``part_pages`` pages. One number, so that no join has to tell
+    pages their host's; smaller hosts take as many parts, most of them empty."""
+    largest = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return max(1, -(-(largest or 0) // part_pages))
 
 
 def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -421,8 +422,7 @@ def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), host.alias("host"), F.col("html").cast("string"))
     # A host may own a third of all pages, and so may one text: pages are dealt to parts, so that no join key holds all of them.
-    rows = rows.join(host_parts(rows, PART_PAGES), "host", "left")
-    part = F.pmod(F.xxhash64("html", "row"), F.coalesce("parts", F.lit(1))).cast("int")
+    part = F.pmod(F.xxhash64("html", "row"), F.lit(host_parts(rows, PART_PAGES))).cast("int")
     rows = rows.withColumns({"part": part, "page": F.unhex(F.sha2("html", 256))})
     paths = materialize(page_paths(rows.select("host", "part", "page", "html")), "paths")
     joined = rows.join(page_winners(paths), ["host", "part", "page"], "left")
