@@ -296,12 +296,13 @@ def pairs_in_cell(points: list[str], same: list[str], shorter: list[str]) -> Ite
 
 
 def _planes(words: DataFrame, sample: int, cell: int) -> dict[int, LetterTree]:
-    """A tree of cells for every length with many words. Fitted on at most ``sample`` words, those of the smallest hashes;
+    """A tree of cells for every length with many words. Fitted on about ``sample`` words, those of the smallest hashes;
     where planes lie decides how even cells are, never what is found. The trees hold at most as many nodes."""
     total = words.count()
     if total <= cell:
         return {}
-    few = [r.word for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
+    below = int(min(1.0, sample / total) * (1 << 32))
+    few = [r.word for r in words.select("word").where(F.pmod(F.xxhash64("word"), F.lit(1 << 32)) < below).collect()]
     leaf = max(8, cell * len(few) // total)
     by_length: dict[int, list[str]] = {}
     for word in few:
