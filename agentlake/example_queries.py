@@ -37,7 +37,7 @@ from .operators import (
 )
 from .operators.slices import Slicing
 from .plans import evaluation, perf, run_report, tokens, treatments
-from .sources import Catalog, Lake, ReadFilters, TableSpec, load_events, load_flat_events, write_reports
+from .sources import Catalog, Lake, ReadFilters, SnapshotStore, TableSpec, load_events, load_flat_events, write_reports
 from .sources.json_tree import (
     APP_ID_FIELD,
     CONVERSATION_FIELDS,
@@ -472,6 +472,33 @@ def read_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def read_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A span of days of some groups of apps, from a lake with a partition for each day and group: only their directories
+    are listed."""
+    spec = TableSpec("turns", fx.scratch_path(spark), partition_keys=("dt", "app_id"))
+    lake = Lake(spark, Catalog([spec]))
+    group = F.concat(F.lit("app-"), F.right("app_id", F.lit(1))).alias("app_id")
+    lake.write(fx.raw_events(spark, sf_dir).select("dt", group, "session_id", "event_id"), "turns", partition_by=["dt", "app_id"])
+    parts = [lake.read("turns", filters=ReadFilters(dt_from=DAYS[0], dt_to=DAYS[1], app_id=f"app-{k}")) for k in (2, 5)]
+    parts.append(lake.dataset("turns", {"dt": "2024-01-28", "app_id": "app-3"}))
+    whole = functools.reduce(DataFrame.unionByName, parts)
+    return whole.groupBy("dt", "app_id").agg(F.count("*").alias("events"), F.countDistinct("session_id").alias("sessions"))
+
+
+@query
+def snapshot_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written in three steps with a replacement between, read as of every version; folders are then made one."""
+    store, events = SnapshotStore(spark, fx.scratch_path(spark)), fx.raw_events(spark, sf_dir)
+    part = lambda rest: events.where(F.col("event_id") % 3 == rest).select("dt", "event_id", "event_type", "input_tokens")
+    for rest, mode in ((0, "append"), (1, "overwrite"), (2, "append")):
+        store.write({"raw_events": part(rest)}, partition_by={"raw_events": ["dt"]}, mode=mode)
+    store.compact("raw_events")
+    versions = [store.read("raw_events", version=v).withColumn("version", F.lit(v)) for v in store.versions()]
+    return functools.reduce(DataFrame.unionByName, versions).groupBy("version", "dt", "event_type").agg(
+        F.count("*").alias("events"), F.sum("event_id").alias("event_ids"), F.sum("input_tokens").alias("input_tokens"))
+
+
 @query
 def equality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = {"event_type": "llm_response", "agent_id": "agent1", "tool_name": None}

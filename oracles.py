@@ -378,6 +378,15 @@ ORACLES: dict[str, str] = {
     "read_pruned": _with(RAW_EVENTS, select="""
         SELECT dt, session_id, event_id, event_type FROM raw_events
         WHERE dt BETWEEN '2024-01-05' AND '2024-01-25'"""),
+    "read_partitions": _with(RAW_EVENTS, select="""
+        SELECT dt, 'app-' || right(app_id, 1) AS app_id, count(*) AS events, count(DISTINCT session_id) AS sessions FROM raw_events
+        WHERE (dt BETWEEN '2024-01-05' AND '2024-01-25' AND right(app_id, 1) IN ('2', '5')) OR (dt = '2024-01-28' AND right(app_id, 1) = '3')
+        GROUP BY ALL"""),
+    "snapshot_writes": _with(RAW_EVENTS, select="""
+        SELECT CAST(version AS INTEGER) AS version, dt, event_type, count(*) AS events,
+          CAST(sum(event_id) AS BIGINT) AS event_ids, CAST(sum(input_tokens) AS BIGINT) AS input_tokens
+        FROM raw_events JOIN (VALUES (1, 0), (2, 1), (3, 1), (3, 2), (4, 1), (4, 2)) AS held(version, rest) ON event_id % 3 = rest
+        GROUP BY version, dt, event_type"""),
     "equality_filter": _with(RAW_EVENTS, select="""
         SELECT event_id, agent_id, event_type, output_tokens FROM raw_events
         WHERE event_type = 'llm_response' AND agent_id = 'agent1' AND tool_name IS NULL"""),
