@@ -1,8 +1,9 @@
 """Nested JSON logs: ``app-*/conv-*/events.json`` and metadata files per app.
 
 Every file holds one JSON array. A file is read by one task, files in parallel;
-its elements become rows before anything else is parsed. Damaged files and
-files without an array stop the job instead of losing rows.
+large event files are read in byte ranges by many tasks (see ``json_ranges``).
+Elements become rows before anything else is parsed. Damaged files and files
+without an array stop the job instead of losing rows.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ import os
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import TOOL_ACTIONS, blank_to_null, event_date, event_type
 from ..schemas import CONVERSATIONS_SCHEMA, EVENT_SCHEMA, GENERATION_STATUS_SCHEMA, column_or_null, conform
+from .json_ranges import RANGE_BYTES, array_file_elements
 
 # File names, directory patterns and the fields of the log format.
 EVENT_FILES = r"^(app-[^/]*)/(conv-[^/]*)/(events\.json)$"
@@ -65,29 +67,59 @@ def resolve_roots(spark: SparkSession, roots: str | Sequence[str]) -> list[str]:
     return list(found)
 
 
-def read_files(spark: SparkSession, roots: str | Sequence[str], pattern: str) -> DataFrame:
-    """Whole files below ``roots`` that match ``pattern``: app_dir, conv_dir, text.
+def _reader(spark: SparkSession, pattern: str) -> DataFrameReader:
+    file_name = pattern.rsplit("(", 1)[1].rstrip(")$").replace("\\", "")
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", file_name)
+
+
+def _escaped(resolved: Sequence[str]) -> list[str]:
+    return [re.sub(r"([*?\[\]{}\\])", r"\\\1", root) for root in resolved]
+
+
+def _directories(path: Column, resolved: Sequence[str], pattern: str) -> tuple[Column, list[Column]]:
+    """Whether a path lies in one of the roots as ``pattern`` describes, and its app_dir and conv_dir."""
+    path = F.regexp_replace(path, SCHEME, "")
+    parts = "^(.*)/" + pattern.removeprefix("^").replace("/()", "/").replace("()", "")
+    names = [F.regexp_extract(path, parts, k) for k in (2, 3)]
+    bases = [re.sub(SCHEME, "", root).rstrip("/") for root in resolved]
+    inside = path.rlike(parts) & F.regexp_extract(path, parts, 1).isin(*bases)
+    return inside, [names[0].alias("app_dir"), (names[1] if "conv-" in pattern else F.lit("")).alias("conv_dir")]
+
+
+def read_files(spark: SparkSession, roots: str | Sequence[str], pattern: str, most_bytes: int | None = None) -> DataFrame:
+    """Whole files below ``roots`` that match ``pattern``: app_dir, conv_dir, text. With ``most_bytes``, larger ones are
+    left out unread.
 
     ``pattern`` describes the last parts of a path, which must lie directly in one of the roots.
     """
     resolved = resolve_roots(spark, roots)
-    file_name = pattern.rsplit("(", 1)[1].rstrip(")$").replace("\\", "")
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", file_name)
-        .text([re.sub(r"([*?\[\]{}\\])", r"\\\1", root) for root in resolved], wholetext=True)
-    )
+    files = _reader(spark, pattern).text(_escaped(resolved), wholetext=True)
+    if most_bytes is not None:
+        files = files.where(F.col("_metadata.file_size") <= most_bytes)
     # Paths are URL-encoded, where a plus sign still stands for itself.
     decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    path = F.regexp_replace(decoded, SCHEME, "")
-    parts = "^(.*)/" + pattern.removeprefix("^").replace("/()", "/").replace("()", "")
-    names = [F.regexp_extract("path", parts, k) for k in (2, 3)]
-    bases = [re.sub(SCHEME, "", root).rstrip("/") for root in resolved]
-    return (
-        files.select(path.alias("path"), F.col("value").alias("text"))
-        .where(F.col("path").rlike(parts) & F.regexp_extract("path", parts, 1).isin(*bases))
-        .select(names[0].alias("app_dir"), (names[1] if "conv-" in pattern else F.lit("")).alias("conv_dir"), "text")
-    )
+    files = files.select(decoded.alias("path"), F.col("value").alias("text"))
+    inside, names = _directories(F.col("path"), resolved, pattern)
+    return files.where(inside).select(*names, "text")
+
+
+def _sizes(spark: SparkSession, roots: str | Sequence[str], pattern: str) -> DataFrame:
+    """path and length of the files that match ``pattern``; nothing of them is read."""
+    resolved = resolve_roots(spark, roots)
+    files = _reader(spark, pattern).format("binaryFile").load(_escaped(resolved)).select("path", "length")
+    return files.where(_directories(F.col("path"), resolved, pattern)[0])
+
+
+def large_file_elements(spark: SparkSession, roots: str | Sequence[str], pattern: str, more_than: int = RANGE_BYTES) -> DataFrame | None:
+    """Elements of the files with more than ``more_than`` bytes, as ``array_elements`` has them, each file read by many
+    tasks; None if there are no such files."""
+    files = _sizes(spark, roots, pattern).where(F.col("length") > more_than)
+    if not files.limit(1).count():
+        return None
+    found = array_file_elements(files, more_than)
+    _, names = _directories(F.col("path"), resolve_roots(spark, roots), pattern)
+    parsed = F.from_json(F.concat(F.lit("["), F.col("element"), F.lit("]")), "array<string>", FAIL_FAST)
+    return found.select(*names, F.coalesce(F.col("position").cast("int"), F.lit(0)).alias("position"), F.get(parsed, F.lit(0)).alias("element"))
 
 
 def _parsed_array(element_type: str) -> Column:
@@ -178,25 +210,24 @@ def attach_model(rows: DataFrame, models: DataFrame | None, model_override: str
 def _models(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
     """Models of all conversations, marked for broadcast where the sizes of their files prove them small."""
     models = conversation_models(array_records(read_files(spark, roots, CONVERSATION_FILES), CONVERSATION_FIELDS))
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "conversations.json")
-        .load([re.sub(r"([*?\[\]{}\\])", r"\\\1", root) for root in resolve_roots(spark, roots)])
-    )
-    size = listing.agg(F.sum("length")).first()[0] or 0
+    size = _sizes(spark, roots, CONVERSATION_FILES).agg(F.sum("length")).first()[0] or 0
     return F.broadcast(models) if size <= SMALL_METADATA else models
 
 
-def load_events(spark: SparkSession, root: str | Sequence[str], model_override: str | None = None) -> DataFrame:
+def load_events(spark: SparkSession, root: str | Sequence[str], model_override: str | None = None, whole_bytes: int = RANGE_BYTES) -> DataFrame:
     """Event table of all ``app-*/conv-*/events.json`` files in ``root``: a directory, a glob or several.
 
     After the event columns comes ``position``, the place in the file, by which events of equal time and id are ordered.
     Models are looked up once for each file, before its events become rows; files are not moved for that unless the
-    metadata is large.
+    metadata is large. Files of more than ``whole_bytes`` are divided into ranges of as many bytes and read by many tasks.
     """
-    files = read_files(spark, root, EVENT_FILES)
-    files = attach_model(files, None if model_override else _models(spark, root), model_override)
-    events = flatten_events(array_elements(files))
-    return conform(events, EVENT_SCHEMA, "position")
+    models = None if model_override else _models(spark, root)
+    files = attach_model(read_files(spark, root, EVENT_FILES, whole_bytes), models, model_override)
+    found = array_elements(files)
+    large = large_file_elements(spark, root, EVENT_FILES, whole_bytes)
+    if large is not None:
+        found = found.unionByName(attach_model(large, models, model_override).select(*found.columns))
+    return conform(flatten_events(found), EVENT_SCHEMA, "position")
 
 
 def flatten_generation_status(records: DataFrame) -> DataFrame:
