@@ -37,6 +37,7 @@ from .operators import (
 )
 from .operators.slices import Slicing
 from .plans import evaluation, perf, run_report, tokens, treatments
+from .scratch import scratch_path
 from .sources import Catalog, Lake, ReadFilters, SnapshotStore, TableSpec, load_events, load_flat_events, write_reports
 from .sources.json_tree import (
     APP_ID_FIELD,
@@ -351,13 +352,12 @@ def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(attach_model(events, None, model_override="model-x")).drop("position")
 
 
-@query
-def log_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events and metadata written as a tree of JSON files by the executors, and loaded from there.
+def _written_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Events and metadata written as a tree of JSON files by the executors.
 
     Each file holds the events of one app out of 5000 ids, so files don't grow with the data.
     """
-    root = fx.scratch_path(spark)
+    root = scratch_path(spark)
     part = F.floor(F.col("event_id") / 5000).cast("string")
     dirs = (F.concat(F.lit("app-"), (F.col("user_id") % 50).cast("string")), F.concat(F.lit("conv-"), part))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", "element"))), lambda x: x["element"])
@@ -376,8 +376,23 @@ def log_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("/", "app_dir", F.lit("conversations.json")).alias("path"),
         F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("text"),
     ), root)
-    action = F.get_json_object("payload", "$.content.action").alias("payload_action")
-    return _comparable(load_events(spark, root).select("*", action))
+    return root
+
+
+def _with_action(events: DataFrame) -> DataFrame:
+    return _comparable(events.select("*", F.get_json_object("payload", "$.content.action").alias("payload_action")))
+
+
+@query
+def log_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of JSON files, loaded file by file."""
+    return _with_action(load_events(spark, _written_tree(spark, sf_dir)))
+
+
+@query
+def log_tree_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tree, each file of more than four kilobytes loaded in ranges of as many bytes."""
+    return _with_action(load_events(spark, _written_tree(spark, sf_dir), whole_bytes=4096))
 
 
 @query
@@ -430,7 +445,7 @@ def conversation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written as JSON lines and loaded again."""
-    path = fx.scratch_path(spark)
+    path = scratch_path(spark)
     fx.raw_events(spark, sf_dir).select(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
         F.col("session_id").alias("conversation_id"),
@@ -449,7 +464,7 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A new lake with the events partitioned by day."""
-    spec = TableSpec("raw_events", fx.scratch_path(spark), partition_keys=("dt",))
+    spec = TableSpec("raw_events", scratch_path(spark), partition_keys=("dt",))
     lake = Lake(spark, Catalog([spec]))
     lake.write(fx.raw_events(spark, sf_dir), "raw_events", partition_by=["dt"], mode="overwrite")
     return lake
@@ -476,7 +491,7 @@ def read_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A span of days of some groups of apps, from a lake with a partition for each day and group: only their directories
     are listed."""
-    spec = TableSpec("turns", fx.scratch_path(spark), partition_keys=("dt", "app_id"))
+    spec = TableSpec("turns", scratch_path(spark), partition_keys=("dt", "app_id"))
     lake = Lake(spark, Catalog([spec]))
     group = F.concat(F.lit("app-"), F.right("app_id", F.lit(1))).alias("app_id")
     lake.write(fx.raw_events(spark, sf_dir).select("dt", group, "session_id", "event_id"), "turns", partition_by=["dt", "app_id"])
@@ -489,7 +504,7 @@ def read_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def snapshot_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written in three steps with a replacement between, read as of every version; folders are then made one."""
-    store, events = SnapshotStore(spark, fx.scratch_path(spark)), fx.raw_events(spark, sf_dir)
+    store, events = SnapshotStore(spark, scratch_path(spark)), fx.raw_events(spark, sf_dir)
     part = lambda rest: events.where(F.col("event_id") % 3 == rest).select("dt", "event_id", "event_type", "input_tokens")
     for rest, mode in ((0, "append"), (1, "overwrite"), (2, "append")):
         store.write({"raw_events": part(rest)}, partition_by={"raw_events": ["dt"]}, mode=mode)
@@ -523,7 +538,7 @@ def sql_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report written as JSON records and read back."""
-    path = fx.scratch_path(spark)
+    path = scratch_path(spark)
     report = duration_summary(spark, sf_dir)
     write_reports({"perf_metrics": {"duration_summary": report}}, path)
     return spark.read.schema(report.schema).json(f"{path}/perf_metrics/duration_summary")

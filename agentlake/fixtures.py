@@ -7,8 +7,6 @@ from the whole source tables by Spark.
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -135,17 +133,6 @@ def session_treatments(events: DataFrame) -> DataFrame:
     )
 
 
-def scratch_path(spark: SparkSession) -> str:
-    """A new path for tables a query writes: below the cluster's shared
-    checkpoint folder, or in a temporary folder where Spark runs locally."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        shared = tempfile.mkdtemp(prefix="agentlake-")
-    return os.path.join(shared, f"agentlake-{uuid.uuid4().hex}")
-
-
 def write_files(files: DataFrame, root: str) -> None:
     """Write each row (``path`` below ``root``, ``text``) as a file of its own, by the executors."""
     spark = files.sparkSession

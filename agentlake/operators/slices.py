@@ -2,131 +2,50 @@
 
 A running value over a session needs its events in order, but one session may
 hold a large share of all rows, too many for one window partition. Sessions are
-counted first. Those with too many events are cut by rank: a histogram over the
-range of their own order key (timestamp, event id, position, turn index; nulls
-last) is refined wherever a cell still holds too many events, so outliers,
-bursts, sparse or equal values make no difference. Neighbouring cells are then
-put together to slices. A running value is the one inside a slice plus what the
-slices before it add up to.
+counted first. The events of those with too many are dealt by range of session
+and order, and written once with the number of their range; these ranges are
+the slices, about equally large wherever outliers, bursts or gaps lie. A
+running value is then an associative scan: every slice is summed up, the sums
+are added up in order, and a second pass over the slices starts from there.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import micros_of, timestamp_of
+from ..functions.exprs import timestamp_of
+from ..scratch import stored
 
 SLICE_KEYS = ["session_id", "_slice"]
-#: Cells into which the range of a crowded cell is divided.
-CELLS = 16
 
 
 @dataclass(frozen=True)
 class Slicing:
-    """Sessions of more than ``crowded_rows`` events are cut. Slices hold fewer
-    than twice as many, and a session has at most one slice more than its events
-    divided by that, unless events are equal in their whole order key.
-
-    The driver holds ``CELLS`` counts for each ``crowded_rows`` events of crowded
-    sessions, and tasks get as many short rows: a few megabytes for 10^10 events.
-    """
+    """Sessions of more than ``crowded_rows`` events are cut into slices of about so many. Events that are equal in their
+    whole order key stay together. The driver holds one name for each ``crowded_rows`` events of crowded sessions."""
 
     crowded_rows: int = 1 << 20
 
 
-def _key(events: DataFrame) -> list[Column]:
-    """The order of events as numbers; a flag before each puts nulls last."""
-    parts = [micros_of(events), F.col("event_id")]
-    parts += [F.col(c) for c in ("position", "turn_index") if c in events.columns]
-    zero = F.lit(0).cast("bigint")
-    return [c for p in parts for c in (p.isNull().cast("bigint"), F.coalesce(p.cast("bigint"), zero))]
-
-
-def _cell(value: Column) -> Column:
-    """Number of the cell in ``_low`` to ``_high``; decimals, as differences of numbers may not fit in BIGINT."""
-    low, high = (F.col(c).cast("decimal(20,0)") for c in ("_low", "_high"))
-    share = (value.cast("decimal(20,0)") - low) * CELLS / (high - low + 1)
-    return F.floor(share).cast("int")
-
-
-def _split(bounds: list[tuple[int, int]]) -> tuple[int, int, int] | None:
-    """First part of the key that differs among some events, and its range."""
-    return next(((k, low, high) for k, (low, high) in enumerate(bounds) if low < high), None)
-
-
 def with_slices(events: DataFrame, slicing: Slicing) -> tuple[DataFrame, bool]:
     """Add ``_slice``, by which the slices of a session sort, and ``_cut``: whether
     the session has several. Also tells whether any has. All events must have a
-    session. Runs a job that counts the events of each session."""
-    spark, whole = events.sparkSession, events.withColumn("_slice", F.lit(0)).withColumn("_cut", F.lit(False))
+    session. Runs a job that counts the events of each session, and one that
+    writes the events of crowded ones, which are then read from there."""
+    spark = events.sparkSession
     counts = events.groupBy("session_id").agg(F.count("*").alias("_rows")).where(F.col("_rows") > slicing.crowded_rows)
-    crowded = [r["session_id"] for r in counts.select("session_id").toLocalIterator()]
+    crowded = [(r["session_id"], r["_rows"]) for r in counts.toLocalIterator()]
+    whole = events.withColumn("_slice", F.lit(0)).withColumn("_cut", F.lit(False))
     if not crowded:
         return whole, False
-
-    key = _key(events)
-    names = [f"_k{k}" for k in range(len(key))]
-    bounds = [f(n).alias(f"{label}{n}") for n in names for label, f in (("min", F.min), ("max", F.max))]
-
-    def measured(rows: DataFrame, *by: str) -> list:
-        return rows.groupBy(*by).agg(F.count("*").alias("_rows"), *bounds).collect()
-
-    def ranges(row) -> list[tuple[int, int]]:
-        return [(row[f"min{n}"], row[f"max{n}"]) for n in names]
-
-    # A node is a cell that is divided: number, part of the key, range.
-    nodes = "_node INT, _part INT, _low BIGINT, _high BIGINT"
-
-    def frame(rows: list[tuple], schema: str) -> DataFrame:
-        return F.broadcast(spark.createDataFrame(rows, schema))
-
-    keyed = events.select("*", *[c.alias(n) for c, n in zip(key, names)])
-    starts = frame([(s,) for s in crowded], "session_id STRING")
-    rows = measured(keyed.join(starts, "session_id"), "session_id")
-    number, level = 0, []
-    for row in rows:
-        split = _split(ranges(row))
-        if split is None:  # all events are equal: nothing to cut by
-            continue
-        level.append((row["session_id"], number, *split))
-        number += 1
-    placed = keyed.join(frame(level, "session_id STRING, " + nodes), "session_id", "left").withColumn("_leaf", F.lit(None).cast("int"))
-    found: dict = defaultdict(list)  # session -> (path, leaf, rows)
-    open_nodes = {n: (s, ()) for s, n, *_ in level}
-    while open_nodes:
-        value = F.element_at(F.array(*names), F.col("_part") + 1)
-        placed = placed.withColumn("_cell", _cell(value))
-        cells = measured(placed.where("_node IS NOT NULL"), "_node", "_cell")
-        marks, following = [], {}
-        for row in cells:
-            session, path = open_nodes[row["_node"]]
-            path = (*path, row["_cell"])
-            split = _split(ranges(row)) if row["_rows"] > slicing.crowded_rows else None
-            if split is None:
-                found[session].append((path, number, row["_rows"]))
-                marks.append((row["_node"], row["_cell"], number, None, None, None, None))
-            else:
-                following[number] = (session, path)
-                marks.append((row["_node"], row["_cell"], None, number, *split))
-            number += 1
-        marked = frame(marks, "_old INT, _old_cell INT, _new_leaf INT, " + nodes)
-        here = (F.col("_was") == F.col("_old")) & (F.col("_cell") == F.col("_old_cell"))
-        placed = placed.withColumnRenamed("_node", "_was").drop("_part", "_low", "_high").join(marked, here, "left")
-        placed = placed.withColumn("_leaf", F.coalesce("_leaf", "_new_leaf")).drop("_was", "_old", "_old_cell", "_new_leaf", "_cell")
-        open_nodes = following
-
-    slices = []
-    for parts in found.values():
-        before = 0
-        for _, leaf, size in sorted(parts):
-            slices.append((leaf, before // max(1, slicing.crowded_rows)))
-            before += size
-    sliced = placed.join(frame(slices, "_leaf INT, _place INT"), "_leaf", "left")
-    return sliced.select(*[f"`{c}`" for c in events.columns], F.coalesce("_place", F.lit(0)).alias("_slice"), F.col("_place").isNotNull().alias("_cut")), True
+    names = F.broadcast(spark.createDataFrame([(s,) for s, _ in crowded], "session_id STRING"))
+    slices = -(-sum(rows for _, rows in crowded) // max(1, slicing.crowded_rows))
+    dealt = events.join(names, "session_id", "left_semi").repartitionByRange(slices, "session_id", *event_order(events))
+    cut = stored(dealt.withColumn("_slice", F.spark_partition_id())).withColumn("_cut", F.lit(True))
+    return whole.join(names, "session_id", "left_anti").unionByName(cut), True
 
 
 def event_order(events: DataFrame) -> list[Column]:

@@ -349,8 +349,8 @@ ORACLES: dict[str, str] = {
     "event_files": _with(VERBS, select=f"""
         {_FLAT}, 'model-x' AS model FROM flattened, range(2) AS copies(n)""".replace(
             "own_model)", "own_model, n)")),
-    "log_tree": _with(_in_other_folders(VERBS), select="""
-        SELECT * EXCLUDE (app_dir, conv_dir, own_model), own_model AS model FROM flattened"""),
+    **{name: _with(_in_other_folders(VERBS), select="""
+        SELECT * EXCLUDE (app_dir, conv_dir, own_model), own_model AS model FROM flattened""") for name in ("log_tree", "log_tree_ranges")},
     "nested_rounds_sum": """
         SELECT CASE WHEN o_orderkey % 3 <> 0 THEN 'order-' || o_orderkey ELSE 'app-' || o_custkey END AS app_id,
           o_orderstatus AS app_status, o_orderpriority AS app_type,
