@@ -7,6 +7,7 @@ DataFrame. Queries about files write their table first, then read it back.
 from __future__ import annotations
 
 import functools
+import unicodedata
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -20,6 +21,7 @@ from .operators import (
     BatchOperator,
     BuildSessions,
     BuildTurnsAndErrors,
+    GroupBatchOperator,
     apply,
     assign_turn_index,
     batch_sql,
@@ -555,21 +557,22 @@ def apply_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def apply_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = apply(BuildTurnsAndErrors(), fx.raw_events(spark, sf_dir))
+    """Both outputs written by one pass."""
+    found = apply(BuildTurnsAndErrors(), fx.raw_events(spark, sf_dir), folder=scratch_path(spark))
     keys = ["dt", "app_id", "session_id", "turn_index"]
     turns = found["turns"].select(*keys, F.lit("turn").alias("output"), F.col("status").alias("value"))
     errors = found["errors"].select(*keys, F.lit("error").alias("output"), F.col("error_type").alias("value"))
     return turns.unionByName(errors)
 
 
-class TokenTotals(BatchOperator):
-    """Sums two columns with Arrow kernels."""
+class Composed(BatchOperator):
+    """Unicode text with letters and marks composed, which Spark has no function for."""
 
-    schemas = {"totals": "event_id BIGINT, tokens BIGINT"}
+    schemas = {"composed": "event_id BIGINT, label STRING"}
 
     def transform(self, ctx, batch: pa.Table) -> pa.Table:
-        parts = [pc.fill_null(batch[c], 0) for c in ("input_tokens", "output_tokens")]
-        return pa.table({"event_id": batch["event_id"], "tokens": pc.add(*parts)})
+        label = [x and unicodedata.normalize("NFC", x) for x in batch["label"].to_pylist()]
+        return pa.table({"event_id": batch["event_id"], "label": pa.array(label, pa.string())})
 
 
 class SplitTokens(BatchOperator):
@@ -592,25 +595,84 @@ def _token_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Letters followed by marks.
+MARKED = "e\u0301 a\u0308 Z\u030c"
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.concat_ws(" ", "tool_name", F.lit(MARKED), "agent_id")
+    return fx.raw_events(spark, sf_dir).select("event_id", F.when(F.col("event_id") % 5 != 0, label).alias("label"))
+
+
 @query
 def batch_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply(TokenTotals(batch_size=4096), _token_columns(spark, sf_dir))["totals"]
+    return apply(Composed(batch_size=4096), _labels(spark, sf_dir))["composed"]
 
 
 @query
 def batch_arrow_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = apply(SplitTokens(batch_size=4096), _token_columns(spark, sf_dir))
+    """Both outputs written by one pass of the operator."""
+    found = apply(SplitTokens(batch_size=4096), _token_columns(spark, sf_dir), folder=scratch_path(spark))
     return found["asked"].unionByName(found["answered"], allowMissingColumns=True)
 
 
 @query
 def batch_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def shorten(frame):
-        frame["tool_name"] = frame["tool_name"].str.upper()
-        return frame[["event_id", "tool_name"]]
+    """Marks taken off their letters, which Spark has no function for."""
+
+    def plain(frame):
+        frame["label"] = frame["label"].str.normalize("NFD").str.replace("[\u0300-\u036f]", "", regex=True)
+        return frame
+
+    return map_pandas(_labels(spark, sf_dir), plain, "event_id BIGINT, label STRING")
 
-    events = fx.raw_events(spark, sf_dir).select("event_id", "tool_name")
-    return map_pandas(events, shorten, "event_id BIGINT, tool_name STRING")
+
+class WalkSessions(GroupBatchOperator):
+    """Compact turns and errors by walking through whole sessions, one event after the other. A session in parts gives
+    counts of its turns in parts too."""
+
+    schemas = {
+        "turns": "dt STRING, app_id STRING, session_id STRING, turn_index BIGINT, react_iters BIGINT, error_count BIGINT",
+        "errors": "dt STRING, app_id STRING, session_id STRING, turn_index BIGINT, error_type STRING, error_code STRING",
+    }
+
+    def transform(self, ctx, batch: pa.Table) -> dict[str, pa.Table]:
+        return self._walk(batch, None)[0]
+
+    def transform_part(self, ctx, batch: pa.Table, state, last: bool):
+        return self._walk(batch, state)
+
+    def _walk(self, batch: pa.Table, turn: int | None) -> tuple[dict[str, pa.Table], int | None]:
+        found, before = [], batch["session_id"][0].as_py() if batch.num_rows else None
+        for session, kind, explicit in zip(*(batch[c].to_pylist() for c in ("session_id", "event_type", "turn_index"))):
+            if session != before:
+                turn, before = None, session
+            if explicit is not None:
+                turn = explicit
+            elif kind == "turn_start":
+                turn = (turn or 0) + 1
+            found.append(turn if session is not None else None)
+        numbered = batch.drop_columns("turn_index").append_column("turn_index", pa.array(found, pa.int64()))
+        numbered = numbered.filter(pc.is_valid(numbered["turn_index"]))
+        counted = {name: pc.fill_null(pc.equal(numbered["event_type"], kind), False).cast(pa.int64())
+                   for name, kind in (("react_iters", "llm_request"), ("error_count", "error"))}
+        keys = ["dt", "app_id", "session_id", "turn_index"]
+        turns = pa.table({**{k: numbered[k] for k in keys}, **counted}).group_by(keys).aggregate([(n, "sum") for n in counted])
+        turns = turns.rename_columns([c.removesuffix("_sum") for c in turns.column_names])
+        errors = numbered.filter(pc.fill_null(pc.equal(numbered["event_type"], "error"), False))
+        return {"turns": turns, "errors": errors}, turn
+
+
+@query
+def batch_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns and errors of whole sessions in batches, sessions of more than a hundred events in parts."""
+    events = fx.raw_events(spark, sf_dir).select("dt", "app_id", "session_id", "event_id", "ts", "event_type", "turn_index", "error_type", "error_code")
+    events = events.withColumn("session_id", F.when(F.col("event_id") % 4 == 0, "hot").otherwise(F.col("session_id")))
+    found = apply(WalkSessions(batch_size=2000, most_rows=100), events, folder=scratch_path(spark))
+    keys = ["dt", "app_id", "session_id", "turn_index"]
+    turns = found["turns"].groupBy(*keys).agg(F.sum("react_iters").alias("react_iters"), F.sum("error_count").alias("error_count"))
+    errors = found["errors"].groupBy(*keys).agg(F.count("*").alias("errors"), F.min("error_type").alias("first_type"), F.max("error_code").alias("last_code"))
+    return turns.join(errors, keys, "left")
 
 
 @query

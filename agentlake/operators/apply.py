@@ -2,11 +2,13 @@
 
 ``Operator`` works on whole DataFrames and is the normal case. ``BatchOperator``
 is for Python logic that neither the DataFrame API nor SQL can express: it gets
-Arrow tables of at most ``batch_size`` rows, in no particular order or grouping.
+Arrow tables of at most ``batch_size`` rows, in no particular order or grouping
+(a ``GroupBatchOperator`` of whole groups in order, see ``groups``).
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -72,20 +74,52 @@ class BatchOperator:
     def transform(self, ctx: Any, batch: pa.Table) -> Any:
         raise NotImplementedError
 
+    def arranged(self, df: DataFrame) -> DataFrame:
+        """The rows as the batches are cut from them."""
+        return df
+
+    def results(self, batches: Iterator[pa.RecordBatch], convert: Callable[[Any], Any]) -> Iterator[tuple[str, Any]]:
+        """(output, table) of each batch of a task."""
+        for table in sized_batches(batches, self.batch_size):
+            yield from named_outputs(self.transform(None, table), self.outputs, convert).items()
 
-def apply(op: Operator | BatchOperator, df: DataFrame, ctx: Any = None,
-          storage_level: StorageLevel | None = None) -> dict[str, DataFrame]:
-    """Apply ``op`` to ``df``; lazy, returns one DataFrame per output.
 
-    Several outputs come from the same work. It is done once for each output that is used, or once for all of them with
-    a ``storage_level`` to keep it at: a batch operator's results are kept then, and an operator finds the level as
-    ``self.storage_level`` to keep what its outputs share. ``op.shared`` is the kept frame, to unpersist.
+def apply(op: Operator | BatchOperator, df: DataFrame, ctx: Any = None,
+          storage_level: StorageLevel | None = None, folder: str | None = None) -> dict[str, DataFrame]:
+    """Apply ``op`` to ``df``; returns one DataFrame per output.
+
+    Several outputs come from the same work, which is lazy and done once for each output that is used. There are two
+    ways to do it once for all of them. With a ``folder``, one pass writes the rows of all outputs there, each under its
+    output's name, and the outputs are read from there: nothing is repeated, whatever executors are lost. With a
+    ``storage_level``, a batch operator's results are kept, and an operator finds the level as ``self.storage_level``
+    to keep what its outputs share; ``op.shared`` is the kept frame, to unpersist.
     """
     if isinstance(op, BatchOperator):
+        if folder is not None:
+            return _written_once(_tagged_batches(op, df), _schemas(op), folder)
         return _apply_batches(op, df, storage_level)
     if storage_level is not None:
         op.storage_level = storage_level
-    return named_outputs(op.transform(ctx, df), op.outputs, _dataframe)
+    outputs = named_outputs(op.transform(ctx, df), op.outputs, _dataframe)
+    if folder is None:
+        return outputs
+    schemas = {name: output.schema for name, output in outputs.items()}
+    # one query, in which Spark does the shuffles that the outputs share once
+    tagged = [output.select(*(F.struct(*(F.col(f"`{c}`") for c in output.columns)).alias(n) if n == name else F.lit(None).cast(s).alias(n)
+                              for n, s in schemas.items())) for name, output in outputs.items()]
+    return _written_once(functools.reduce(DataFrame.union, tagged), schemas, folder)
+
+
+#: The column of output names in a folder of outputs.
+OUTPUT = "_output"
+
+
+def _written_once(mixed: DataFrame, schemas: dict[str, T.StructType], folder: str) -> dict[str, DataFrame]:
+    """Write rows that hold a struct in the column of their output, and read each output back."""
+    tag = F.coalesce(*(F.when(F.col(f"`{n}`").isNotNull(), F.lit(n)) for n in schemas))
+    mixed.withColumn(OUTPUT, tag).write.partitionBy(OUTPUT).parquet(folder)
+    whole = mixed.sparkSession.read.schema(T.StructType([*mixed.schema, T.StructField(OUTPUT, T.StringType())])).parquet(folder)
+    return {n: whole.where(F.col(OUTPUT) == n).select(f"`{n}`.*") for n in schemas}
 
 
 def _dataframe(value: Any) -> DataFrame:
@@ -127,32 +161,38 @@ def _struct_type(schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _apply_batches(op: BatchOperator, df: DataFrame, storage_level: StorageLevel | None) -> dict[str, DataFrame]:
-    schemas = {name: _struct_type(s) for name, s in op.schemas.items()}
-    arrow = {name: to_arrow_schema(s) for name, s in schemas.items()}
+def _schemas(op: BatchOperator) -> dict[str, T.StructType]:
+    return {name: _struct_type(s) for name, s in op.schemas.items()}
 
-    def results(batches):
-        for table in sized_batches(batches, op.batch_size):
-            outputs = named_outputs(op.transform(None, table), op.outputs, _arrow_table)
-            for name, result in outputs.items():
-                for part in result.select(arrow[name].names).cast(arrow[name]).to_batches():
-                    yield name, part
 
-    if len(schemas) == 1:
-        name = op.outputs[0]
-        return {name: df.mapInArrow(lambda batches: (part for _, part in results(batches)), schemas[name])}
+def _results(op: BatchOperator, arrow: dict[str, pa.Schema], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    for name, result in op.results(batches, _arrow_table):
+        for part in result.select(arrow[name].names).cast(arrow[name]).to_batches():
+            yield name, part
 
-    # Several outputs come out of one pass as one struct column per output.
-    mixed_schema = T.StructType([T.StructField(n, s) for n, s in schemas.items()])
+
+def _tagged_batches(op: BatchOperator, df: DataFrame) -> DataFrame:
+    """All outputs out of one pass, as one struct column per output; each row has one of them."""
+    schemas = _schemas(op)
+    arrow = {name: to_arrow_schema(s) for name, s in schemas.items()}
     structs = {n: pa.struct(list(s)) for n, s in arrow.items()}
 
     def rows_of_all(batches):
-        for name, part in results(batches):
+        for name, part in _results(op, arrow, batches):
             own = pa.StructArray.from_arrays(part.columns, fields=list(arrow[name]))
             columns = [own if n == name else pa.nulls(len(own), structs[n]) for n in schemas]
             yield pa.RecordBatch.from_arrays(columns, names=list(schemas))
 
-    mixed = df.mapInArrow(rows_of_all, mixed_schema)
+    return op.arranged(df).mapInArrow(rows_of_all, T.StructType([T.StructField(n, s) for n, s in schemas.items()]))
+
+
+def _apply_batches(op: BatchOperator, df: DataFrame, storage_level: StorageLevel | None) -> dict[str, DataFrame]:
+    schemas = _schemas(op)
+    if len(schemas) == 1:
+        name, schema = next(iter(schemas.items()))
+        arrow = {name: to_arrow_schema(schema)}
+        return {name: op.arranged(df).mapInArrow(lambda batches: (part for _, part in _results(op, arrow, batches)), schema)}
+    mixed = _tagged_batches(op, df)
     if storage_level is not None:
         mixed = op.shared = mixed.persist(storage_level)
     return {n: mixed.where(F.col(n).isNotNull()).select(f"`{n}`.*") for n in schemas}

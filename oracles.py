@@ -118,6 +118,11 @@ turns_compact AS (
     CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0 THEN 'fail' ELSE 'success' END AS status
   FROM carried WHERE turn_index IS NOT NULL GROUP BY dt, app_id, session_id, turn_index)"""
 
+LABELS = """
+labels AS (
+  SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN concat_ws(' ', tool_name, 'e\u0301 a\u0308 Z\u030c', agent_id) END AS label
+  FROM raw_events)"""
+
 SESSIONS_COMPACT = """
 SELECT dt, app_id, session_id, count(*) AS turns_count, count(*) FILTER (WHERE status = 'fail') AS error_turns
 FROM turns_compact GROUP BY dt, app_id, session_id"""
@@ -400,15 +405,23 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT dt, app_id, session_id, turn_index, 'error' AS output, error_type AS value FROM carried
         WHERE event_type = 'error' AND turn_index IS NOT NULL"""),
-    "batch_arrow": _with(RAW_EVENTS, select="""
-        SELECT event_id, COALESCE(input_tokens, 0) + COALESCE(output_tokens, 0) AS tokens FROM raw_events"""),
+    "batch_arrow": _with(RAW_EVENTS, LABELS, select="SELECT event_id, nfc_normalize(label) AS label FROM labels"),
     "batch_arrow_multi": _with(RAW_EVENTS, select="""
         SELECT event_id, input_tokens AS tokens, CAST(NULL AS BIGINT) AS latency_ms FROM raw_events
         WHERE event_type = 'llm_request'
         UNION ALL
         SELECT event_id, CAST(NULL AS BIGINT) AS tokens, latency_ms FROM raw_events
         WHERE event_type = 'llm_response'"""),
-    "batch_pandas": _with(RAW_EVENTS, select="SELECT event_id, upper(tool_name) AS tool_name FROM raw_events"),
+    "batch_pandas": _with(RAW_EVENTS, LABELS, select="SELECT event_id, strip_accents(label) AS label FROM labels"),
+    "batch_sessions": _with(RAW_EVENTS.replace("raw_events AS (", "plain_events AS ("), """
+        raw_events AS (
+          SELECT * REPLACE (CASE WHEN event_id % 4 = 0 THEN 'hot' ELSE session_id END AS session_id) FROM plain_events)""",
+        CARRIED, TURNS_COMPACT, """
+        in_turns AS (
+          SELECT dt, app_id, session_id, turn_index, count(*) AS errors, min(error_type) AS first_type, max(error_code) AS last_code
+          FROM carried WHERE event_type = 'error' AND turn_index IS NOT NULL GROUP BY ALL)""", select="""
+        SELECT dt, app_id, session_id, turn_index, react_iters, error_count, errors, first_type, last_code
+        FROM turns_compact LEFT JOIN in_turns USING (dt, app_id, session_id, turn_index)"""),
     "batch_sql": _with(RAW_EVENTS, select="""
         SELECT event_type, count(*) AS events, max(input_tokens) AS largest FROM raw_events GROUP BY event_type"""),
 }
