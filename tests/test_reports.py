@@ -53,12 +53,37 @@ def test_exact_quantiles(spark, values):
     assert len(found) == len(fractions)
 
 
-def test_quantiles_with_few_cells(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "PARTS", 2)
-    values = random.Random(3).choices(range(1000), k=777)
-    df = spark.createDataFrame([(v,) for v in values], "x INT")
-    (row,) = exact_quantiles(df, {"x": [0.3]}).collect()
-    assert row.value == pytest.approx(np.quantile(values, 0.3))
+@pytest.mark.parametrize(("sketch", "margin", "sorted_rows"), [(8, 0.2, 1 << 21), (16, 0.2, 100), (8, 0.0001, 1 << 21), (8, 0.001, 20), (100, 0.02, 50)])
+def test_quantiles_by_small_and_wrong_sketches(spark, monkeypatch, sketch, margin, sorted_rows):
+    """Bounds that are much too narrow, or hold more than one task may sort, cost scans, not results."""
+    for name, value in (("SKETCH", sketch), ("MARGIN", margin), ("SORTED_ROWS", sorted_rows)):
+        monkeypatch.setattr(quantiles, name, value)
+    rng = random.Random(3)
+    values = rng.choices(range(1000), k=777)
+    rows = [(v, v * 1.5 if v % 7 else None, rng.choice([1.0, float("nan"), float("inf"), -5.0])) for v in values]
+    df = spark.createDataFrame(rows, "x INT, y DOUBLE, z DOUBLE").repartition(5)
+    wanted = {"x": [0.3, 0.0, 1.0, 0.3], "y": [0.5], "z": [0.1, 0.3, 0.99]}
+    found = {(r.metric, r.q): r.value for r in exact_quantiles(df, wanted).collect()}
+    assert len(found) == 7
+    for q in (0.3, 0.0, 1.0):
+        assert found["x", q] == pytest.approx(np.quantile(values, q), rel=1e-12)
+    assert found["y", 0.5] == pytest.approx(np.quantile([r[1] for r in rows if r[1] is not None], 0.5), rel=1e-12)
+    last = sorted((r[2] for r in rows), key=lambda v: (v != v, v if v == v else 0.0))
+    assert found["z", 0.1] == last[77] == -5.0 and found["z", 0.3] == 1.0 and np.isnan(found["z", 0.99])
+
+
+def test_two_scans_find_quantiles(spark):
+    scans = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 50_000, 1, 4).selectExpr("cast((id * 7919) % 50021 AS DOUBLE) AS x").mapInArrow(seen, "x DOUBLE")
+    got = {r.q: r.value for r in exact_quantiles(df, {"x": [0.25, 0.5, 0.75]}).collect()}
+    exact = np.quantile([(k * 7919) % 50021 for k in range(50_000)], [0.25, 0.5, 0.75])
+    assert [got[q] for q in (0.25, 0.5, 0.75)] == pytest.approx(exact.tolist()) and scans.value == 100_000
 
 
 def test_quantiles_of_clustered_values(spark):
