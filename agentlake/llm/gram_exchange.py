@@ -1,6 +1,7 @@
 """Comparing word windows of all documents through compact messages.
 
-Documents stand in groups of a few megabytes of text, in ascending order of doc_id. Each group sends the hashes of its
+Documents stand in groups of a few megabytes of text, in ascending order of doc_id (rows of one id, or of none, in
+the order of their texts' hashes). Each group sends the hashes of its
 windows, each once, to buckets by hash; a bucket compares what all groups sent and answers each group with the hashes
 that concern it. Messages hold sorted hashes as byte planes of their differences, about three bytes a window, where a
 shuffled row would take thirty. A window that every document has costs one entry for each group, so no bucket is hot.
@@ -31,55 +32,96 @@ ANSWER = "grp long, payload binary"
 
 @dataclass(frozen=True)
 class Layout:
-    """How many groups and buckets, and which ids a group holds: ``parts[i]`` groups between two neighbouring bounds."""
+    """How many groups and buckets, and which rows a group holds: ``parts[i]`` groups from ``bounds[i]`` up to, but without,
+    ``bounds[i + 1]``. Where that is a single id, its rows are divided by hashes of their texts; so are rows without id."""
 
-    bounds: tuple[float, ...]
+    bounds: tuple[int, ...]
     parts: tuple[int, ...]
     buckets: int
     bits: int  # of a hash that serves as a filter; false hits cost work, not results
+    without_id: int = 1
 
     @property
     def groups(self) -> int:
-        return sum(self.parts) + 1  # the last is for null ids
+        return sum(self.parts) + self.without_id  # null ids come last
 
     @property
     def partitions(self) -> int:
         return min(self.groups, 2000 + self.groups // 16)
 
-    def group(self, doc_id: Column) -> Column:
-        """Ascending with doc_id, of about equal size; null ids last."""
-        value, piece = doc_id.cast("double"), piece_of(doc_id, self.bounds)
-        low, high = (F.element_at(F.array(*(F.lit(b) for b in self.bounds)), piece + k) for k in (0, 1))
+    def _piece(self, doc_id: Column) -> tuple[Column, ...]:
+        """Of an id: its value, the piece's bounds, first group and number of groups."""
+        value, piece = doc_id.cast("long"), piece_of(doc_id, self.bounds)
+        low, high = (F.element_at(_longs(self.bounds), piece + k) for k in (0, 1))
         starts = [sum(self.parts[:k]) for k in range(len(self.parts))]
-        start, parts = (F.element_at(F.array(*(F.lit(v) for v in values)), piece) for values in (starts, self.parts))
-        inside = F.floor(F.greatest((value - low) / F.greatest(high - low, F.lit(1e-9)), F.lit(0.0)) * parts)
-        return F.when(doc_id.isNull(), F.lit(self.groups - 1)).otherwise(start + F.least(inside, parts - 1)).cast("long")
+        start, parts = (F.element_at(_longs(values), piece) for values in (starts, self.parts))
+        return value, low, high, start, parts
 
+    def group(self, doc_id: Column, text_hash: Column) -> Column:
+        """Ascending with doc_id and then the text's hash, of about equal size; null ids last."""
+        value, low, high, start, parts = self._piece(doc_id)
+        share = text_hash.cast("double") / F.lit(2.0**64) + F.lit(0.5)
+        inside = F.when(high - low > 1, (value - low).cast("double") / (high - low).cast("double")).otherwise(share)
+        place = start + F.least(F.floor(F.greatest(inside, F.lit(0.0)) * parts), parts - 1)
+        last = sum(self.parts) + F.least(F.floor(share * self.without_id), F.lit(self.without_id - 1))
+        return F.when(doc_id.isNull(), last).otherwise(place).cast("long")
 
-def piece_of(doc_id: Column, bounds: tuple[float, ...]) -> Column:
+    def groups_of(self, doc_id: Column) -> Column:
+        """All groups that may hold rows of an id (not null)."""
+        _, low, high, start, parts = self._piece(doc_id)
+        whole = F.sequence(start, start + parts - 1)
+        return F.when(high - low > 1, F.array(self.group(doc_id, F.lit(0)))).otherwise(whole)
+
+
+def _longs(values) -> Column:
+    return F.array(*(F.lit(int(v)).cast("long") for v in values)) if values else F.array().cast("array<long>")
+
+
+def piece_of(doc_id: Column, bounds: tuple[int, ...]) -> Column:
     """Number, from 1, of the piece between two bounds that an id lies in."""
-    inner = F.array(*(F.lit(b) for b in bounds[1:-1])) if len(bounds) > 2 else F.array().cast("array<double>")
-    return F.size(F.filter(inner, lambda b: b <= doc_id.cast("double"))) + 1
+    return F.size(F.filter(_longs(bounds[1:-1]), lambda b: b <= doc_id.cast("long"))) + 1
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def plan_layout(docs: DataFrame, group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES) -> Layout:
-    """Bounds are quantiles of the ids, at most ``PIECES``; each piece is divided by the bytes of its texts."""
-    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
-    rows = docs.select("doc_id", "text")
-    whole = rows.agg(size).first()[0]
+    """Pieces begin at quantiles of the ids, and at every id whose rows alone are too large for a group; each piece is
+    divided by the bytes of its texts. Where ids stand so close together that a group is still more than twice as
+    large as it should be, its piece is cut at quantiles of that group, until none is."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length("text").alias("bytes"), text_hash().alias("hash"))
+    size = F.coalesce(F.sum("bytes"), F.lit(0))
+    whole, known, nameless = rows.agg(size, F.count("doc_id"), F.coalesce(F.sum(F.when(F.col("doc_id").isNull(), F.col("bytes"))), F.lit(0))).first()
+    buckets, bits = max(1, math.ceil(whole / bucket_bytes)), min(64, max(1, whole // 4).bit_length() + 12)
+    without_id = max(1, math.ceil(nameless / group_bytes))
+    if not known:
+        return Layout((0, 1), (1,), buckets, bits, without_id)
+    named = rows.where("doc_id IS NOT NULL")
     pieces = min(PIECES, max(1, whole // group_bytes))
-    quantiles = docs.where("doc_id IS NOT NULL").approxQuantile("doc_id", [k / pieces for k in range(pieces + 1)], 1 / (4 * pieces)) if whole else []
-    bounds = tuple(sorted(set(quantiles)))
-    if len(bounds) < 2:
-        bounds = (bounds or (0.0,)) * 2
-    sizes = dict(rows.where("doc_id IS NOT NULL").groupBy(piece_of(F.col("doc_id"), bounds).alias("piece")).agg(size).collect())
-    parts = tuple(max(1, math.ceil(sizes.get(k + 1, 0) / group_bytes)) for k in range(len(bounds) - 1))
-    return Layout(bounds, parts, max(1, math.ceil(whole / bucket_bytes)), min(64, max(1, whole // 4).bit_length() + 12))
+    quantiles = named.approxQuantile("doc_id", [k / pieces for k in range(pieces + 1)], 1 / (4 * pieces))
+    first, last = named.agg(F.min("doc_id"), F.max("doc_id")).first()
+    # at most one id for each ``group_bytes`` of texts
+    crowded = [r.doc_id for r in named.groupBy("doc_id").agg(size.alias("bytes"), F.count("*").alias("n")).where((F.col("bytes") > group_bytes) & (F.col("n") > 1)).collect()]
+    starts = {first, *(q for q in map(int, quantiles) if first < q <= last), *crowded, *(c + 1 for c in crowded if c < last)}
+    while True:
+        bounds = (*sorted(starts), last + 1 if last < (1 << 63) - 1 else last)
+        sizes = dict(named.groupBy(piece_of(F.col("doc_id"), bounds).alias("piece")).agg(size).collect())
+        parts = tuple(max(1, math.ceil(sizes.get(k + 1, 0) / group_bytes)) for k in range(len(bounds) - 1))
+        layout = Layout(bounds, parts, buckets, bits, without_id)
+        group = layout.group(F.col("doc_id"), F.col("hash"))
+        cuts = F.percentile_approx("doc_id", [k / 8 for k in range(1, 8)], F.lit(1000))
+        large = named.groupBy(group.alias("grp")).agg(size.alias("bytes"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), cuts.alias("cuts"))
+        more = {c for r in large.where((F.col("bytes") > 2 * group_bytes) & (F.col("low") < F.col("high"))).collect() for c in (*r.cuts, r.low + 1, r.high) if r.low < c <= r.high}
+        if not more - starts:
+            return layout
+        starts |= more
 
 
 def in_groups(docs: DataFrame, layout: Layout) -> DataFrame:
-    """doc_id, text and group, one shuffle."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), layout.group(F.col("doc_id")).alias("grp")).repartition(layout.partitions, "grp")
+    """doc_id, text, the text's hash and group, one shuffle."""
+    grouped = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash().alias("text_hash"))
+    return grouped.withColumn("grp", layout.group(F.col("doc_id"), F.col("text_hash"))).repartition(layout.partitions, "grp")
 
 
 def pack(values: np.ndarray, codes: np.ndarray) -> bytes:
@@ -103,12 +145,11 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def messages(group: int, values: np.ndarray, codes: np.ndarray, buckets: int, bits: int) -> pa.Table:
     """One row for each bucket that the sorted ``values`` (hashes cut to ``bits``) fall into."""
-    edges = np.array([-(-(k << bits) // buckets) for k in range(buckets + 1)], dtype=object)
-    cut = np.searchsorted(values, np.array([int(e) for e in edges[1:-1]], dtype=np.uint64)) if buckets > 1 else np.empty(0, np.int64)
-    bounds = [0, *cut.tolist(), len(values)]
-    used = [k for k in range(buckets) if bounds[k] < bounds[k + 1]]
-    packed = [pack(values[bounds[k] : bounds[k + 1]], codes[bounds[k] : bounds[k + 1]]) for k in used]
-    return pa.table({"bucket": pa.array(used, pa.int64()), "grp": pa.array([group] * len(used), pa.int64()), "payload": pa.array(packed, pa.binary())})
+    number = np.minimum((values.astype(np.float64) * (buckets / 2.0**bits)).astype(np.int64), buckets - 1)  # rises with the value
+    used, first = np.unique(number, return_index=True)
+    ends = [*first[1:].tolist(), len(values)]
+    packed = [pack(values[a:b], codes[a:b]) for a, b in zip(first.tolist(), ends)]
+    return pa.table({"bucket": pa.array(used, pa.int64()), "grp": pa.array(np.full(len(used), group)), "payload": pa.array(packed, pa.binary())})
 
 
 #: From sorted values, their codes and run numbers: which entries to answer, and the codes of the answers.

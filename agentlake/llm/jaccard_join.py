@@ -65,7 +65,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _wanted(needed: DataFrame, layout: X.Layout) -> DataFrame:
-    return needed.select(layout.group(F.col("doc_id")).alias("grp"), F.col("doc_id"), F.lit(None).cast("binary").alias("payload"))
+    return needed.select(F.explode(layout.groups_of(F.col("doc_id"))).alias("grp"), F.col("doc_id"), F.lit(None).cast("binary").alias("payload"))
 
 
 def _chosen_sets(docs: pa.Table, ids: pa.ChunkedArray, width: int):

@@ -54,7 +54,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     document exceeds ``most`` times its size.
 
     A null or empty text has size 0 and gives nothing; a null source is a source of its own. Equal rows are documents
-    of their own. A null doc_id has a key like any other. Empty tables give empty results. Targets are doubles.
+    of their own. Rows without doc_id, or of one doc_id, have keys by their texts. Empty tables give empty results. Targets are doubles.
     """
     return _mixed(without(docs, RESULTS), docs.columns, weights, share, most, seed)
 
@@ -65,7 +65,8 @@ def mix_sizes(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: floa
 
 
 def _mixed(docs: DataFrame, kept: list[str], weights: Sequence[float], share: float, most: float, seed: int) -> DataFrame:
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(str(seed))))
+    # of the text too, so that rows without id, or of one id, have keys of their own
+    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(str(seed)), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
     # columns of the input travel under one name, so that theirs can't clash with the working ones
     sized = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns if c in kept)).alias("row"), F.col("source").isNull().alias("no_source"),
@@ -97,7 +98,7 @@ def _taken(sized: DataFrame, weights: Sequence[float], share: float, most: float
 
 ORACLE = """
 WITH sized AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':0') AS k,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':0:' || md5(coalesce(text, ''))) AS k,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
   FROM documents),
 sources AS (

@@ -30,7 +30,7 @@ _IS_BLOCK, _REPEATED = 1, 2
 
 
 def _ordered(table: pa.Table) -> pa.Table:
-    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return table.sort_by([("doc_id", "ascending"), ("text_hash", "ascending"), ("text", "ascending")])
 
 
 def _windows(table: pa.Table, width: int) -> list[tuple[Words, np.ndarray, np.ndarray]]:
@@ -155,7 +155,7 @@ def remove_repeats(docs: DataFrame, width: int = 20, digest: bool = False, layou
     consecutive words of its document covers it that also starts earlier: in a document with a smaller doc_id, or
     earlier in the same one. Windows are judged on the input. Documents of fewer words lose nothing; null and empty
     texts have no words and an empty kept text. Rows of equal doc_id (or null, which comes last) stand in the order of
-    their texts, so of repeated rows the first stays. Other columns are not read.
+    their texts' xxHash64 and then of the texts, so of repeated rows one stays, and rows of one id can be spread. Other columns are not read.
     """
     if width % 2:
         raise ValueError("width must be even: blocks take half of it")

@@ -40,6 +40,8 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 256 << 10
+#: Bytes of text of a file.
+FILE_BYTES = 16 << 20
 #: Distinct words whose ids a worker process keeps (about 200 bytes each).
 CACHED_WORDS = 800_000
 
@@ -234,16 +236,19 @@ def _file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
 MANIFEST = "file string, first_id long, docs long, tokens long"
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = FRAME_BYTES) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Encode ``text`` of all rows, in ascending ``doc_id`` order, into token files under ``folder`` (a URI that all
     executors reach, of a kind that Arrow opens: file, hdfs, s3, gs).
 
-    Rows are range-partitioned and sorted by doc_id (null first), then text; each task writes one file, under a name of
-    its own, so that a repeated attempt never touches another's file. The manifest (``folder/manifest``, Parquet) names
+    Rows are range-partitioned and sorted by doc_id (null first), then the text's hash and the text; ranges hold about
+    ``file_bytes`` of text, also where many rows share an id or have none. Each task writes one file, under a name of its own, so that a repeated attempt never touches another's file. The manifest (``folder/manifest``, Parquet) names
     the files that count and is returned: file, first_id, docs, tokens. Null and empty texts are documents of the end
     id alone; repeated ids and rows are all written. Other columns are not read. No rows give an empty manifest.
     """
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    whole = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    order = ["doc_id", "text_hash", "text"]
+    ordered = rows.repartitionByRange(max(1, -(-whole // file_bytes)), *order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _file_system(folder)

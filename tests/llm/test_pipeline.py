@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -28,11 +29,13 @@ def test_queries_equal_sql(spark, name):
     assert bag(df.columns, df.collect()) == bag([d[0] for d in expected.description], expected.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op11_spelling"}))  # has words
 def test_queries_return_every_row(spark, name):
-    table, key = ("pages", "page_id") if "html" in name else ("documents", "doc_id")
+    table, key = {"op8_html_extract": ("pages", "page_id"), "op13_whitening": ("embeddings", "vec_id")}.get(name, ("documents", "doc_id"))
+    rows = queries.QUERIES[name](spark, SF_DIR)
+    rows = rows.where({"op12_packing": "piece = 0", "op13_whitening": "component = 1"}.get(name, "true"))
     ids = sorted(r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).collect())
-    assert sorted(r[key] for r in queries.QUERIES[name](spark, SF_DIR).collect()) == ids
+    assert sorted(r[key] for r in rows.collect()) == ids
 
 
 def plain_pipeline(model, docs, items):
@@ -49,7 +52,7 @@ def plain_pipeline(model, docs, items):
         if taken:
             rows += [(doc_id, texts[doc_id])] * (taken // size)
             rows += [(doc_id, " ".join(WORD.findall(texts[doc_id])[: taken % size]))] * (taken % size > 0)
-    rows.sort()
+    rows.sort(key=lambda r: (r[0], (xxhash.xxh64_intdigest(r[1], seed=42) + (1 << 63)) % (1 << 64), r[1]))  # as signed numbers
     out, start = [], 0
     for (doc_id, _), ids in zip(rows, plain_ids([t for _, t in rows])):
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))

@@ -33,7 +33,8 @@ def test_round_trip(spark):
     folder = new_folder(spark, "tokens")
     manifest = write_token_files(docs_of(spark, texts, ids).repartition(5), folder, tokenizer_path(TOKENIZER), END_ID, frame_bytes=700)
     assert manifest.agg({"docs": "sum"}).first()[0] == len(texts)
-    order = sorted(range(len(texts)), key=lambda k: (ids[k] is not None, ids[k] or 0, texts[k] or ""))
+    hashes = {r.text: r.h for r in docs_of(spark, texts).selectExpr("text", "xxhash64(text) AS h").collect()}
+    order = sorted(range(len(texts)), key=lambda k: (ids[k] is not None, ids[k] or 0, hashes[texts[k]], texts[k] or ""))
     expected, start = [], 0
     for k, coded in zip(order, plain_ids([texts[k] for k in order])):
         expected.append((ids[k], start, len(coded), coded))
@@ -67,6 +68,15 @@ def test_file_format_and_damage(spark):
         TokenFile(pa.BufferReader(b"0" * 40))
 
 
+def test_files_are_sized_by_their_texts_and_split_ids(spark):
+    texts = [f"text {k} " * 20 for k in range(600)]
+    ids = [None if k % 3 == 0 else 7 if k % 3 == 1 else k for k in range(600)]
+    folder = new_folder(spark, "tokens")
+    manifest = write_token_files(docs_of(spark, texts, ids).repartition(4), folder, tokenizer_path(TOKENIZER), END_ID, file_bytes=8000).collect()
+    assert 8 <= len(manifest) <= 15 + 2 and max(m.docs for m in manifest) < 130
+    assert {len(r.ids) for r in read_token_files(spark, folder).collect()} and read_token_files(spark, folder).count() == 600
+
+
 def test_empty_table(spark):
     folder = new_folder(spark, "tokens")
     assert write_token_files(docs_of(spark, ["a"]).limit(0), folder, tokenizer_path(TOKENIZER), END_ID).collect() == []
