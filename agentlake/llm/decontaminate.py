@@ -5,29 +5,34 @@ brought to the same form, words joined by single spaces, and searched: a shift t
 which no pattern can end, buckets by the block at the pattern's tail select patterns, and byte comparison confirms them.
 Positions are advanced for thousands of stretches of the text at once.
 
-Patterns come in blocks of at most ``block_bytes``, and documents are searched for one block after the other, so what
-is sent to the tasks is bounded however large the benchmark is.
+Spark makes the patterns, each once with all its items, and writes them in blocks of about ``block_bytes`` to the shared
+folder. Documents are read once: a task gathers a few megabytes of them and loads one block after the other, so what it
+holds is bounded however large the benchmark is, and nothing of it passes through the driver.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset
+import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agentlake.llm.rows import map_texts, without
-from agentlake.llm.storage import materialize
-from agentlake.llm.words import ALPHANUMERIC, Words, find_words
+from agentlake.llm.rows import without
+from agentlake.llm.storage import materialize, new_folder
+from agentlake.llm.words import ALPHANUMERIC, SLICE_BYTES, Words, find_words, grouped_sums, slices
 
 #: Least lengths in bytes of the pattern classes; each class is searched with shifts as long as its shortest pattern.
 CLASSES = (1, 8, 16, 32, 64)
 LANES = 8192
+#: Text that is gathered before the blocks are gone through, where there are several.
+GATHERED_BYTES = 24 << 20
 _TABLE_BITS = 20
 
 _fold = np.arange(256, dtype=np.uint8)
@@ -59,28 +64,22 @@ def item_patterns(texts: list[str | None], width: int) -> list[set[bytes]]:
 
 
 class WuManber:
-    """Search for patterns of at least ``low`` bytes each; ``find`` gives (place, pattern number) of every occurrence."""
+    """Search for patterns of at least ``low`` bytes each; ``find`` gives (place, pattern number) of every occurrence.
+    Patterns lie in one buffer, from ``starts`` to ``ends``."""
 
-    def __init__(self, patterns: list[bytes]):
-        self.patterns = patterns
-        self.least = min(map(len, patterns))
+    def __init__(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.raw, self.starts, self.ends = buffer.tobytes(), starts, ends
+        self.least = int((ends - starts).min())
         self.block = min(8, self.least)
         self.mask = np.uint64((1 << 8 * self.block) - 1)
-        tails = np.concatenate([self._blocks(np.frombuffer(p[: self.least], np.uint8)) for p in patterns]).reshape(len(patterns), -1)
-        span = tails.shape[1]
+        blocks = np.ndarray((len(buffer) + 1,), "<u8", self.raw + b"\0" * 8, strides=(1,))
+        span = self.least - self.block + 1
         self.shift = np.full(1 << _TABLE_BITS, span, dtype=np.int32)
-        for k in range(span):  # the last block of a pattern's head has shift 0
-            np.minimum.at(self.shift, self._slot(tails[:, k]), span - 1 - k)
-        self.buckets: dict[int, list[int]] = defaultdict(list)
-        for number, tail in enumerate(tails[:, -1].tolist()):
-            self.buckets[tail].append(number)
-        self.keys = np.unique(tails[:, -1])
-
-    def _blocks(self, text: np.ndarray) -> np.ndarray:
-        """The block that begins at each place, as a number."""
-        n = len(text) - self.block + 1
-        padded = np.concatenate([text, np.zeros(8, np.uint8)])
-        return np.ndarray((n,), "<u8", padded.tobytes(), strides=(1,)) & self.mask
+        for k in range(span):  # from afar to near; the last block of a pattern's head has shift 0
+            tails = blocks[starts + k] & self.mask
+            self.shift[self._slot(tails)] = span - 1 - k
+        self.order = np.argsort(tails, kind="stable")
+        self.keys = tails[self.order]
 
     @staticmethod
     def _slot(blocks: np.ndarray) -> np.ndarray:
@@ -109,48 +108,63 @@ class WuManber:
             at, stop = at[going], stop[going]
         places, numbers = [], []
         for some, tails in hits:
-            for place, tail in zip(some.tolist(), tails.tolist()):
-                for number in self.buckets[tail]:
-                    if raw.startswith(self.patterns[number], place):
+            low, high = np.searchsorted(self.keys, tails), np.searchsorted(self.keys, tails, side="right")
+            for place, a, b in zip(some.tolist(), low.tolist(), high.tolist()):
+                for number in self.order[a:b].tolist():
+                    start, end = int(self.starts[number]), int(self.ends[number])
+                    if raw.startswith(self.raw[start:end], place):
                         places.append(place)
                         numbers.append(number)
         return places, numbers
 
 
-@dataclass
-class PatternBlock:
-    patterns: list[bytes]
-    items: list[list[str]]  # of each pattern
+PATTERNS = "pattern binary, items array<string>"
 
 
-def pattern_blocks(benchmark: DataFrame, width: int, block_bytes: int) -> Iterator[PatternBlock]:
-    """The benchmark's patterns in blocks of bounded size; rows are fetched partition by partition."""
-    block: dict[bytes, set[str]] = defaultdict(set)
-    size = 0
-    for row in benchmark.select(F.col("item_id").cast("string").alias("item"), "text").toLocalIterator():
-        item = row["item"] or ""
-        for pattern in item_patterns([row["text"]], width)[0]:
-            if item not in block[pattern]:
-                block[pattern].add(item)
-                size += len(pattern) + len(item) + 64
-        if size >= block_bytes:
-            yield PatternBlock(list(block), [sorted(x) for x in block.values()])
-            block, size = defaultdict(set), 0
-    if block:
-        yield PatternBlock(list(block), [sorted(x) for x in block.values()])
+def benchmark_patterns(benchmark: DataFrame, width: int) -> DataFrame:
+    """pattern and the sorted ids (as text) of the items that have it, each pattern once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                for item, patterns in zip(part.column("item").to_pylist(), item_patterns(part.column("text").to_pylist(), width)):
+                    if patterns:
+                        yield pa.RecordBatch.from_arrays([pa.array(list(patterns), pa.binary()), pa.array([item] * len(patterns))], names=["pattern", "item"])
+
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
+    found = items.mapInArrow(run, "pattern binary, item string")
+    return found.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def write_patterns(benchmark: DataFrame, width: int, block_bytes: int) -> tuple[str, int]:
+    """Write the patterns in blocks of about ``block_bytes``, dealt by hash; returns the folder and the number of blocks."""
+    spark = benchmark.sparkSession
+    patterns = materialize(benchmark_patterns(benchmark, width), "patterns")
+    size = patterns.agg(F.sum(F.length("pattern") + 16)).first()[0] or 0
+    blocks, folder = -(-size // block_bytes), new_folder(spark, "blocks")
+    if blocks:
+        block = F.pmod(F.xxhash64("pattern"), F.lit(blocks)).alias("block")
+        patterns.select("*", block).repartition(min(blocks, 1000), "block").write.partitionBy("block").parquet(folder)
+    return folder, blocks
 
 
 class Matcher:
     """Searches for one block of patterns in slices of documents."""
 
-    def __init__(self, block: PatternBlock):
-        self.items = block.items
-        self.lengths = [p.count(b" ") - 1 for p in block.patterns]
+    def __init__(self, patterns: pa.Table):
+        self.items = patterns["items"].combine_chunks()
+        column = patterns["pattern"].combine_chunks().cast(pa.large_binary())
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        buffer = np.frombuffer(column.buffers()[2], np.uint8)
+        starts, ends = offsets[:-1], offsets[1:]
+        spaces = np.concatenate([[0], np.cumsum(buffer == 0x20)])
+        self.words = spaces[ends] - spaces[starts] - 1
         self.searches = []
         for low, high in zip(CLASSES, [*CLASSES[1:], 1 << 62]):
-            chosen = [i for i, p in enumerate(block.patterns) if low <= len(p) < high]
-            if chosen:
-                self.searches.append((chosen, WuManber([block.patterns[i] for i in chosen])))
+            chosen = np.flatnonzero((ends - starts >= low) & (ends - starts < high))
+            if len(chosen):
+                self.searches.append((chosen, WuManber(buffer, starts[chosen], ends[chosen])))
 
     def mark(self, words: Words) -> tuple[np.ndarray, dict[int, set[str]]]:
         """Whether each word is hit, and the items found in each text (by its number)."""
@@ -161,16 +175,25 @@ class Matcher:
             found, numbers = search.find(form)
             first = np.searchsorted(places, np.asarray(found, dtype=np.int64) + 1)
             for word, number in zip(first.tolist(), numbers):
-                pattern = chosen[number]
-                last = word + self.lengths[pattern] - 1
+                pattern = int(chosen[number])
+                last = word + int(self.words[pattern]) - 1
                 if words.doc[word] == words.doc[last]:
                     edges[word] += 1
                     edges[last + 1] -= 1
-                    items[int(words.doc[word])].update(self.items[pattern])
+                    items[int(words.doc[word])].update(self.items[pattern].as_py())
         return np.cumsum(edges[:-1]) > 0, items
 
 
-CARRIED = [("hit_bits", T.BinaryType()), ("found_items", T.ArrayType(T.StringType()))]
+@lru_cache(maxsize=1)
+def load_matcher(folder: str, block: int) -> Matcher | None:
+    """The matcher of a block, kept by a worker process until it needs another one; None where no pattern fell into it."""
+    system, base = pa.fs.FileSystem.from_uri(folder)
+    place = f"{base}/block={block}"
+    if system.get_file_info(place).type == pa.fs.FileType.NotFound:
+        return None
+    return Matcher(pa.dataset.dataset(place, filesystem=system, format="parquet").to_table(["pattern", "items"]))
+
+
 RESULTS = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("found_items", T.ArrayType(T.StringType()))]
 
 
@@ -185,40 +208,39 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = 10, block
     benchmark hits nothing. A document's place is never compared across rows: no occurrence spans two documents.
     """
     names = [n for n, _ in RESULTS]
-    docs = without(docs, [*names, *(n for n, _ in CARRIED)])
+    docs = without(docs, names)
     keep = [c for c in (keep or docs.columns) if c.lower() not in names]
     out = docs.select(*dict.fromkeys(f"`{c}`" for c in [*keep, "text"]))
-    out = out.withColumns({n: F.lit(None).cast(t) for n, t in CARRIED})
-    blocks = pattern_blocks(benchmark, width, block_bytes)
-    block = next(blocks, None)
-    while (following := next(blocks, None)) is not None:
-        # each further block takes a pass of its own, of which the marks so far are kept
-        out = materialize(_search(out, block, CARRIED, out.columns), "found")
-        block = following
-    return _search(out, block, RESULTS, keep)
-
-
-def _search(out: DataFrame, block: PatternBlock | None, fields: list, keep: list[str]) -> DataFrame:
-    sent = out.sparkSession.sparkContext.broadcast(block)
-
-    def make():
-        matcher = Matcher(sent.value) if sent.value else None
-
-        def run(part: pa.RecordBatch) -> list:
-            words = find_words(part.column("text"), ALPHANUMERIC, fold=True)
-            hit, items = matcher.mark(words) if matcher else (None, {})
-            bits, found = part.column("hit_bits").to_pylist(), part.column("found_items").to_pylist()
-            for i, new in items.items():
-                own = hit[words.first[i] : words.first[i + 1]]
-                if bits[i] is not None:
-                    own = own | np.unpackbits(np.frombuffer(bits[i], np.uint8), count=len(own)).astype(bool)
-                bits[i] = np.packbits(own).tobytes()
-                found[i] = sorted(new.union(found[i] or ()))
-            if fields[0][0] == "hit_bits":
-                return [bits, found]
-            n_hit = [0 if b is None else int(np.unpackbits(np.frombuffer(b, np.uint8)).sum()) for b in bits]
-            return [words.count, n_hit, [x or [] for x in found]]
-
-        return run
-
-    return map_texts(out, fields, make, keep=[c for c in keep if c.lower() not in {n for n, _ in fields}])
+    folder, blocks = write_patterns(benchmark, width, block_bytes)
+    schema = T.StructType([*(out.schema[c] for c in keep), *(T.StructField(n, t) for n, t in RESULTS)])
+    gathered_bytes = SLICE_BYTES if blocks <= 1 else GATHERED_BYTES
+
+    def found(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanned = [find_words(part.column("text"), ALPHANUMERIC, fold=True) for part in parts]
+        hits = [np.zeros(len(words.doc), bool) for words in scanned]
+        items: list[dict[int, set[str]]] = [defaultdict(set) for _ in parts]
+        for block in range(blocks):
+            matcher = load_matcher(folder, block)
+            for k, words in enumerate(scanned if matcher else ()):
+                hit, new = matcher.mark(words)
+                hits[k] |= hit
+                for i, names in new.items():
+                    items[k][i] |= names
+        for part, words, hit, own in zip(parts, scanned, hits, items):
+            n_hit = grouped_sums(hit.astype(np.int64), words.first)
+            lists = pa.array([sorted(own[i]) if i in own else [] for i in range(part.num_rows)], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(words.count), pa.array(n_hit), lists], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for part in slices(batch):
+                parts.append(part)
+                size += part.column("text").nbytes
+                if size >= gathered_bytes:
+                    yield from found(parts)
+                    parts, size = [], 0
+        if parts:
+            yield from found(parts)
+
+    return out.mapInArrow(run, schema)

@@ -1,6 +1,7 @@
 import random
 
-from agentlake.llm.decontaminate import WuManber, find_benchmark
+from agentlake.llm import decontaminate
+from agentlake.llm.decontaminate import WuManber, benchmark_patterns, find_benchmark
 from tests.llm.plain import EDGE_TEXTS, docs_of, plain_found, random_texts
 import numpy as np
 
@@ -13,7 +14,7 @@ def rows(df):
     return [(r.n_words, r.n_hit, r.found_items) for r in df.orderBy("doc_id").collect()]
 
 
-def test_equals_plain_search(spark):
+def test_equals_plain_search(spark, monkeypatch):
     texts = random_texts(150, seed=3) + EDGE_TEXTS + EDGE_TEXTS[:3]
     r = random.Random(1)
     items = [(k, " ".join(t.split()[a : a + 14])) for k, t in enumerate(texts[:60]) if t for a in [r.randint(0, 20)]]
@@ -22,17 +23,42 @@ def test_equals_plain_search(spark):
     expected = plain_found(texts, items)
     assert rows(find_benchmark(docs, bench(spark, items))) == expected
     assert sum(e[1] > 0 for e in expected) > 20
-    # blocks of a few patterns each, marked pass after pass
-    assert rows(find_benchmark(docs, bench(spark, items), block_bytes=8000)) == expected
+    # blocks of a few patterns each, some of them empty, and texts gathered a few at a time
+    for gathered in (1, 3000, 1 << 30):
+        monkeypatch.setattr(decontaminate, "GATHERED_BYTES", gathered)
+        assert rows(find_benchmark(docs, bench(spark, items), block_bytes=900)) == expected
 
 
 def test_empty_tables_and_clashing_columns(spark):
     docs = docs_of(spark, ["one two", None]).selectExpr("*", "'x' AS N_words", "1 AS hit_bits", "2 AS `a b`")
     none = find_benchmark(docs, bench(spark, []))
-    assert rows(none) == [(2, 0, []), (0, 0, [])] and none.columns == ["doc_id", "text", "lang", "source", "n_chars", "a b", "n_words", "n_hit", "found_items"]
+    assert rows(none) == [(2, 0, []), (0, 0, [])] and none.columns == ["doc_id", "text", "lang", "source", "n_chars", "hit_bits", "a b", "n_words", "n_hit", "found_items"]
     assert find_benchmark(docs.limit(0), bench(spark, [(1, "one")])).collect() == []
 
 
+def test_documents_are_read_once_however_large_the_benchmark(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    r = random.Random(2)
+    items = [(k, " ".join(f"{r.choice('abcdefgh')}{r.randrange(500)}" for _ in range(300))) for k in range(1000)]
+    texts = [" ".join(items[k][1].split()[20:40]) if k % 4 == 0 else f"clean text number {k}" for k in range(200)]
+    docs = docs_of(spark, texts)
+    found = find_benchmark(docs.mapInArrow(count, docs.schema), bench(spark, items), block_bytes=1 << 20).collect()
+    assert seen.value == 200 and sorted(x.doc_id for x in found if x.n_hit) == list(range(0, 200, 4))
+    assert all(x.found_items == [str(x.doc_id)] and x.n_hit == 20 for x in found if x.n_hit)
+
+
+def test_patterns_are_distinct(spark):
+    items = [(1, "a b"), (2, "A  b!"), (2, "a b"), (None, "a b c"), (3, None)]
+    got = {r.pattern: r["items"] for r in benchmark_patterns(bench(spark, items), 2).collect()}
+    assert got == {b" a b ": ["", "1", "2"], b" b c ": [""]}
+
+
 def test_no_match_across_documents(spark):
     assert [r[1] for r in rows(find_benchmark(docs_of(spark, ["a b", "c d", "b c"]), bench(spark, [(1, "b c")])))] == [0, 0, 2]
 
@@ -42,7 +68,9 @@ def test_search_finds_every_place():
     for _ in range(200):
         text = bytes(r.choice(b"ab ") for _ in range(r.randint(0, 80)))
         patterns = list({bytes(r.choice(b"ab ") for _ in range(r.randint(1, 12))) for _ in range(r.randint(1, 8))})
-        places, numbers = WuManber(patterns).find(np.frombuffer(text, np.uint8))
+        ends = np.cumsum([len(p) for p in patterns])
+        search = WuManber(np.frombuffer(b"".join(patterns), np.uint8), ends - [len(p) for p in patterns], ends)
+        places, numbers = search.find(np.frombuffer(text, np.uint8))
         expected = sorted((k, n) for n, p in enumerate(patterns) for k in range(len(text) - len(p) + 1) if text.startswith(p, k))
         least = min(map(len, patterns))
         assert sorted(zip(places, numbers)) == [e for e in expected if e[0] <= len(text) - least]
