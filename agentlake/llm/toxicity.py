@@ -3,7 +3,8 @@
 A logistic model over how often words and word beginnings stand in a document (the logarithm of one more than the
 count). They are features where enough training rows hold them; the rest says nothing about toxicity. Labelled documents whose sentences name a group (identity terms, given as
 lists of terms that can stand for one another) have counterfactual copies, in which those terms are swapped for others of
-their list. Beside the log loss, training penalises the squared difference between the scores of a document and its
+their list. Most sentences name none, so sentences of labelled rows also get a copy with a mention put in, of every
+term in turn. Beside the log loss, training penalises the squared difference between the scores of a text and its
 copies, so that naming a group does not move the score, although groups may be named more often in toxic rows.
 """
 
@@ -34,6 +35,17 @@ IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
     "age": ("old", "young", "elderly", "teenage"),
 }
 
+#: Mentions that are put into sentences, by language.
+MENTIONS: dict[str, tuple[str, ...]] = {
+    "en": tuple(dict.fromkeys(term for terms in IDENTITY_TERMS.values() for term in terms)) + ("immigrants", "refugees"),
+    "fr": ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées", "africains", "arabes", "asiatiques", "noirs", "blancs", "femmes",
+           "hommes", "homosexuels", "lesbiennes", "aveugles", "sourds", "handicapés", "immigrés", "réfugiés"),
+    "de": ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten", "afrikaner", "araber", "asiaten", "schwarze", "weiße", "frauen",
+           "männer", "homosexuelle", "lesben", "blinde", "gehörlose", "behinderte", "einwanderer", "flüchtlinge"),
+    "es": ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos", "africanos", "árabes", "asiáticos", "negros", "blancos", "mujeres",
+           "hombres", "homosexuales", "lesbianas", "ciegos", "sordos", "discapacitados", "inmigrantes", "refugiados"),
+}
+
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[0x41:0x5B] += 0x20
 
@@ -59,6 +71,20 @@ def swap_terms(text: str, lists: Mapping[str, Sequence[str]], turn: int) -> str
     return "".join(out) if changed else None
 
 
+def insert_mention(text: str, term: str, turn: int) -> tuple[str, str] | None:
+    """A sentence of the text, the ``turn``-th after the first in a circle, and the same with ``term`` between two of its
+    words; None for texts without words."""
+    sentences = [s for s in _SENTENCE.findall(text[:SENTENCE_SPAN]) if _WORD.search(s)]
+    if not sentences:
+        return None
+    sentence = sentences[turn % len(sentences)]
+    ends = [m.end() for m in _WORD.finditer(sentence)]
+    place = ends[turn % len(ends)]
+    return sentence, f"{sentence[:place]} {term}{sentence[place:]}"
+
+
+#: Characters at a row's beginning from which sentences for mentions are taken; scores are of whole texts.
+SENTENCE_SPAN = 4000
 #: Word beginnings of so many bytes are features beside whole words.
 PREFIXES = (4, 5, 6, 7, 8)
 
@@ -102,6 +128,8 @@ class ToxicityModel:
     words: np.ndarray  # hashes of features, sorted
     weights: np.ndarray
     bias: float
+    swapped: int = 0  # counterfactual pairs that training used
+    inserted: int = 0
 
     def __post_init__(self) -> None:
         self.near = np.zeros(1 << 20, bool)
@@ -124,24 +152,36 @@ class Settings:
     least_rows: int = 5  # that hold a word or beginning before it becomes a feature
     penalty: float = 1.0  # of counterfactual differences
     shrink: float = 1e-3  # weights move towards zero by this much a step, and stay there unless data pull them away
-    copies: int = 2  # counterfactual copies of a row
+    copies: int = 2  # swapped copies of a row that names a group
+    mentions: int = 1  # sentences of a row into which a mention is put
     steps: int = 300
     rate: float = 0.5
 
 
-def fit(texts: Sequence[str], labels: np.ndarray, lists: Mapping[str, Sequence[str]] = IDENTITY_TERMS, settings: Settings = Settings()) -> ToxicityModel:
+def counterfactuals(texts: Sequence[str], lists: Mapping[str, Sequence[str]], mentions: Mapping[str, Sequence[str]], settings: Settings) -> tuple[list[tuple[int, str]], list[tuple[str, str]]]:
+    """(row, copy with other terms) for rows that name a group, and (sentence, the same with a mention) for all rows, each
+    term in turn."""
+    terms = list(dict.fromkeys(term for own in mentions.values() for term in own))
+    swaps, inserts = [], []
+    for i, text in enumerate(texts):
+        for turn in range(settings.copies):
+            if (swapped := swap_terms(text, lists, turn)) is not None:
+                swaps.append((i, swapped))
+        for turn in range(settings.mentions if terms else 0):
+            if (pair := insert_mention(text, terms[(i * settings.mentions + turn) % len(terms)], turn + i)) is not None:
+                inserts.append(pair)
+    return swaps, inserts
+
+
+def fit(texts: Sequence[str], labels: np.ndarray, lists: Mapping[str, Sequence[str]] = IDENTITY_TERMS, settings: Settings = Settings(),
+        mentions: Mapping[str, Sequence[str]] = MENTIONS) -> ToxicityModel:
     """Train on whole texts; without any, or with one label only, the model gives every text the share of toxic rows."""
     s = settings
     base = float(np.log((np.sum(labels) + 0.5) / (len(labels) - np.sum(labels) + 0.5)))
     if len(set(np.asarray(labels).tolist())) < 2:
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), base)
-    copies, of = [], []
-    for i, text in enumerate(texts):
-        for turn in range(s.copies):
-            swapped = swap_terms(text, lists, turn)
-            if swapped is not None:
-                copies.append(swapped)
-                of.append(i)
+    swaps, inserts = counterfactuals(texts, lists, mentions, s)
+    copies = [copy for _, copy in swaps] + [copy for _, copy in inserts] + [sentence for sentence, _ in inserts]
     n = len(texts)
     names, row, counts = _table([*texts, *copies])
     known, rows = np.unique(names[row < n], return_counts=True)
@@ -151,7 +191,12 @@ def fit(texts: Sequence[str], labels: np.ndarray, lists: Mapping[str, Sequence[s
     at = np.minimum(np.searchsorted(known, names), len(known) - 1)
     hit = known[at] == names
     row, column, value = row[hit], at[hit], np.log1p(counts[hit])
-    y, of = np.asarray(labels, np.float64), np.asarray(of, np.int64)
+    y = np.asarray(labels, np.float64)
+    # rows of copies and of what they are copies of; a mention weighs as if all sentences had it
+    left = n + np.arange(len(swaps) + len(inserts))
+    right = np.concatenate([np.array([i for i, _ in swaps], np.int64), n + len(swaps) + len(inserts) + np.arange(len(inserts))])
+    terms = max(1, len({term for own in mentions.values() for term in own}))
+    weight = np.concatenate([np.full(len(swaps), 1 / max(1, len(swaps))), np.full(len(inserts), min(terms, len(inserts)) / max(1, len(inserts)))])
     balance = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum()))
     weights, bias = np.zeros(len(known)), 0.0
     speed, bias_speed = np.full(len(known), 1e-8), 1e-8
@@ -159,10 +204,9 @@ def fit(texts: Sequence[str], labels: np.ndarray, lists: Mapping[str, Sequence[s
         moves = np.bincount(row, weights=weights[column] * value, minlength=n + len(copies)) + bias
         pull = np.zeros(n + len(copies))
         pull[:n] = balance * (logistic(moves[:n]) - y)
-        if len(of):
-            apart = 2 * s.penalty / len(of) * (moves[n:] - moves[of])
-            pull[n:] += apart
-            pull[:n] -= np.bincount(of, weights=apart, minlength=n)
+        if len(left) and s.penalty:
+            apart = 2 * s.penalty * weight * (moves[left] - moves[right])
+            pull += np.bincount(left, weights=apart, minlength=len(pull)) - np.bincount(right, weights=apart, minlength=len(pull))
         gradient = np.bincount(column, weights=pull[row] * value, minlength=len(known))
         speed += gradient**2
         step = s.rate / np.sqrt(speed)
@@ -172,12 +216,14 @@ def fit(texts: Sequence[str], labels: np.ndarray, lists: Mapping[str, Sequence[s
         bias_speed += slope**2
         bias -= s.rate / np.sqrt(bias_speed) * slope
     used = weights != 0
-    return ToxicityModel(known[used], weights[used], bias)
+    return ToxicityModel(known[used], weights[used], bias, len(swaps), len(inserts))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, held, max_rows: int = 4000, lists: Mapping[str, Sequence[str]] = IDENTITY_TERMS, settings: Settings = Settings()) -> ToxicityModel:
-    """Fit on at most ``max_rows`` labelled rows (``labels``: doc_id, toxic) for which ``held(doc_id)`` is false."""
-    return fit_in_task(training_rows(docs, labels, "toxic", held, max_rows), lambda texts, y: fit(texts, y, lists, settings))
+def train_toxicity(docs: DataFrame, labels: DataFrame, held, max_rows: int = 4000, lists: Mapping[str, Sequence[str]] = IDENTITY_TERMS, settings: Settings = Settings(),
+                   mentions: Mapping[str, Sequence[str]] = MENTIONS) -> ToxicityModel:
+    """Fit on at most ``max_rows`` labelled rows (``labels``: doc_id, toxic) for which ``held(doc_id)`` is false. The model
+    tells how many counterfactual pairs it was fitted with (``swapped``, ``inserted``)."""
+    return fit_in_task(training_rows(docs, labels, "toxic", held, max_rows), lambda texts, y: fit(texts, y, lists, settings, mentions))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
