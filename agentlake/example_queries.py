@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .functions import event_type
+from .functions import event_type, parsed_payload
 from .operators import (
     BatchOperator,
     BuildSessions,
@@ -39,8 +40,19 @@ from .operators import (
 )
 from .operators.slices import Slicing
 from .plans import evaluation, perf, run_report, tokens, treatments
-from .scratch import scratch_path
-from .sources import Catalog, Lake, ReadFilters, SnapshotStore, TableSpec, load_events, load_flat_events, write_reports
+from .scratch import scratch_path, stored
+from .sources import (
+    Catalog,
+    Lake,
+    ReadFilters,
+    SnapshotStore,
+    TableSpec,
+    load_events,
+    load_flat_events,
+    with_session_numbers,
+    write_buckets,
+    write_reports,
+)
 from .sources.json_tree import (
     APP_ID_FIELD,
     CONVERSATION_FIELDS,
@@ -210,6 +222,29 @@ def agent_delegation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.agent_delegation(fx.raw_events(spark, sf_dir))
 
 
+@query
+def agent_delegation_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From stored events whose payload is VARIANT."""
+    events = fx.raw_events(spark, sf_dir).select("app_id", "session_id", "event_type", "payload")
+    return evaluation.agent_delegation(stored(parsed_payload(events)))
+
+
+@query
+def tool_usage_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From stored events with numbers of their sessions, counted by bitmaps."""
+    events = fx.raw_events(spark, sf_dir).select("session_id", "tool_name")
+    return evaluation.tool_usage(stored(with_session_numbers(events)))
+
+
+@query
+def sessions_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From events and turns that are stored in buckets by session."""
+    name = f"agentlake_{uuid.uuid4().hex}"
+    events = write_buckets(assign_turn_index(fx.raw_events(spark, sf_dir)), f"{name}_events", 8)
+    turns = write_buckets(build_turns(events), f"{name}_turns", 8)
+    return build_sessions(turns, events, nameless=False)
+
+
 def _one_app(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Turns and treatments with all sessions in one app, the one to report on."""
     events = fx.raw_events(spark, sf_dir).withColumn("app_id", F.lit("app-all"))

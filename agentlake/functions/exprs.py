@@ -64,3 +64,16 @@ def count_where(condition: Column) -> Column:
 
 def sum_or_zero(value: Column | str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
+
+
+def parsed_payload(events: DataFrame) -> DataFrame:
+    """Events with ``payload`` as VARIANT, parsed once: reports then go to a path in it without reading text again. Texts
+    that are no JSON, or name a field twice, become null."""
+    return events.withColumn("payload", F.try_parse_json("payload"))
+
+
+def payload_value(events: DataFrame, path: str) -> Column:
+    """The value at a path of ``payload`` as text, be it text or VARIANT; null where there is none."""
+    if isinstance(events.schema["payload"].dataType, T.VariantType):
+        return F.try_variant_get("payload", path, "string")
+    return F.get_json_object("payload", path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import count_where, duration_ms, sum_or_zero, timestamp_of
@@ -49,8 +49,18 @@ def session_metadata(events: DataFrame) -> DataFrame:
     return first.select("session_id", "user_id", "agent_impl", "agent_version")
 
 
-def build_sessions(turns: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per session and day, with the session's first error and metadata."""
+def _same_session(left: str, right: str, nameless: bool) -> Column:
+    return F.col(left).eqNullSafe(F.col(right)) if nameless else F.col(left) == F.col(right)
+
+
+def build_sessions(turns: DataFrame, events: DataFrame, nameless: bool = True) -> DataFrame:
+    """One row per session and day, with the session's first error and metadata.
+
+    Without ``nameless``, rows without a session are left out; the joins then are by plain equality, which tables that
+    are stored by session (``write_buckets``) do without a shuffle.
+    """
+    if not nameless:
+        turns, events = (df.where(F.col("session_id").isNotNull()) for df in (turns, events))
     totals = turns.groupBy(*SESSION_KEYS).agg(
         F.min("start_ts").alias("start_ts"),
         F.max("end_ts").alias("end_ts"),
@@ -67,9 +77,9 @@ def build_sessions(turns: DataFrame, events: DataFrame) -> DataFrame:
     lookup = (
         session_metadata(events)
         .withColumnRenamed("session_id", "_session")
-        .join(errors, F.col("_session").eqNullSafe(F.col("_error_session")), "left")
+        .join(errors, _same_session("_session", "_error_session", nameless), "left")
     )
-    joined = totals.join(lookup, F.col("session_id").eqNullSafe(F.col("_session")), "left")
+    joined = totals.join(lookup, _same_session("session_id", "_session", nameless), "left")
     return joined.select(
         *SESSION_KEYS, "user_id", "agent_impl", "agent_version", "start_ts", "end_ts",
         duration_ms(F.col("start_ts"), F.col("end_ts")).alias("duration_ms"),

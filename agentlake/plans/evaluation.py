@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import round2
+from ..functions.exprs import payload_value, round2
 
 
 def success_summary(generation_status: DataFrame) -> DataFrame:
@@ -40,12 +40,18 @@ def react_analysis(generation_status: DataFrame) -> DataFrame:
 
 
 def tool_usage(events: DataFrame) -> DataFrame:
-    return (
-        events.where(F.col("tool_name").isNotNull())
-        .groupBy("tool_name")
-        .agg(F.count("*").alias("call_count"), F.count_distinct("session_id").alias("sessions_used"))
-        .orderBy(F.desc("call_count"), F.asc("tool_name"))
-    )
+    """Calls and sessions of each tool. Of events with a ``session_number`` (see ``with_session_numbers``) sessions are counted
+    by bitmaps: tasks send a few kilobytes for each tool and 32,768 sessions instead of a row for each tool and session."""
+    calls = events.where(F.col("tool_name").isNotNull())
+    if "session_number" in events.columns:
+        number = F.col("session_number")
+        maps = calls.groupBy("tool_name", F.bitmap_bucket_number(number).alias("bucket")).agg(
+            F.count("*").alias("calls"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(number))).alias("sessions"))
+        counted = maps.groupBy("tool_name").agg(
+            F.sum("calls").alias("call_count"), F.sum(F.when(F.col("bucket").isNotNull(), F.col("sessions")).otherwise(0)).alias("sessions_used"))
+    else:
+        counted = calls.groupBy("tool_name").agg(F.count("*").alias("call_count"), F.count_distinct("session_id").alias("sessions_used"))
+    return counted.orderBy(F.desc("call_count"), F.asc("tool_name"))
 
 
 def cost_efficiency(conversations: DataFrame, generation_status: DataFrame) -> DataFrame:
@@ -67,7 +73,8 @@ def cost_efficiency(conversations: DataFrame, generation_status: DataFrame) -> D
 
 
 def agent_delegation(events: DataFrame) -> DataFrame:
-    agent = F.get_json_object("payload", "$.content.args.agent")
+    """``payload`` may be text or VARIANT (see ``parsed_payload``)."""
+    agent = payload_value(events, "$.content.args.agent")
     return (
         events.where(F.col("event_type") == "delegate")
         .select("app_id", "session_id", agent.alias("delegated_agent"))

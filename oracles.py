@@ -425,4 +425,7 @@ ORACLES: dict[str, str] = {
     "batch_sql": _with(RAW_EVENTS, select="""
         SELECT event_type, count(*) AS events, max(input_tokens) AS largest FROM raw_events GROUP BY event_type"""),
 }
+ORACLES["agent_delegation_parsed"] = ORACLES["agent_delegation"]
+ORACLES["tool_usage_numbered"] = ORACLES["tool_usage"]
+ORACLES["sessions_bucketed"] = ORACLES["sessions"]
 ORACLES["report_suite"] = _suite()

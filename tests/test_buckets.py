@@ -1,0 +1,87 @@
+"""Tables stored by session, numbered sessions and parsed payloads."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from agentlake import fixtures as fx
+from agentlake.functions import parsed_payload, payload_value
+from agentlake.operators import assign_turn_index, build_sessions, build_turns
+from agentlake.plans import evaluation
+from agentlake.scratch import stored
+from agentlake.sources import number_sessions, with_session_numbers, write_buckets
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    df.collect()  # the adaptive plan is final then
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_sessions_of_bucketed_tables_need_no_shuffle_by_session(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = write_buckets(assign_turn_index(fx.raw_events(spark, SF_DIR)), "bucket_events", 4, path=str(tmp_path / "events"))
+        turns = write_buckets(build_turns(events), "bucket_turns", 4, path=str(tmp_path / "turns"))
+        sessions = build_sessions(turns, events, nameless=False)
+        assert "Exchange" not in plan_of(sessions)
+        assert "Exchange" in plan_of(build_sessions(*(stored(t) for t in (turns, events)), nameless=False))
+        plain = build_sessions(build_turns(assign_turn_index(fx.raw_events(spark, SF_DIR))), assign_turn_index(fx.raw_events(spark, SF_DIR)))
+        assert sorted(map(str, sessions.collect())) == sorted(map(str, plain.collect()))
+        assert len(re.findall(r"part-", " ".join(events.inputFiles()))) <= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_buckets_are_replaced_and_checked(spark, tmp_path):
+    df = spark.range(100).selectExpr("CAST(id % 7 AS STRING) AS session_id", "id")
+    for part in (df, df.where("id < 50")):
+        assert write_buckets(part, "bucket_again", 3, path=str(tmp_path / "again")).count() == part.count()
+    with pytest.raises(ValueError):
+        write_buckets(df, "bucket_none", 0)
+
+
+def test_rows_without_session_are_kept_or_left_out(spark):
+    events = spark.createDataFrame([("d", "a", s, 1, s and "t", k, "error") for k, s in enumerate(["x", None, "x"])],
+                                   "dt STRING, app_id STRING, session_id STRING, turn_index BIGINT, error_type STRING, event_id BIGINT, event_type STRING")
+    events = events.withColumn("ts", F.timestamp_seconds("event_id"))
+    for c in ("input_tokens", "output_tokens", "cache_tokens", "ttft_ms"):
+        events = events.withColumn(c, F.lit(1).cast("bigint"))
+    turns = build_turns(events)
+    assert sorted(str(r.session_id) for r in build_sessions(turns, events).collect()) == ["None", "x"]
+    assert [(r.session_id, r.first_error_type) for r in build_sessions(turns, events, nameless=False).collect()] == [("x", "t")]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 50])
+def test_numbers_are_dense_and_in_order(spark, partitions):
+    names = [f"s{(k * 37) % 501:03d}" for k in range(2000)]
+    events = spark.createDataFrame([(n,) for n in names] + [(None,)], "session_id STRING").repartition(5)
+    numbers = {r.session_id: r.session_number for r in number_sessions(events, partitions).collect()}
+    assert numbers == {n: k + 1 for k, n in enumerate(sorted(set(names)))}
+    assert number_sessions(events.limit(0), partitions).collect() == []
+
+
+def test_sessions_counted_by_bitmaps(spark):
+    rows = [(f"s{k}", f"tool{k % 3}") for k in range(70_000)] + [("s1", "tool0")] * 50 + [(None, "tool0"), (None, "alone"), ("s1", None)]
+    events = spark.createDataFrame(rows, "session_id STRING, tool_name STRING").repartition(6).withColumn("session_number", F.lit(9))
+    numbered = stored(with_session_numbers(events))
+    assert numbered.count() == len(rows) and numbered.columns == ["session_id", "tool_name", "session_number"]
+    by_maps, plain = evaluation.tool_usage(numbered), evaluation.tool_usage(events.drop("session_number"))
+    assert [tuple(r) for r in by_maps.collect()] == [tuple(r) for r in plain.collect()]
+    shuffles = re.findall(r"hashpartitioning\([^)]*\)", plan_of(by_maps))
+    assert shuffles and not any("session" in s for s in shuffles)
+
+
+def test_payloads_as_variant(spark):
+    texts = ['{"content":{"args":{"agent":"a"}}}', '{"content":{"args":{"agent":null}}}', '{"content":{"args":{"agent":5}}}', "{}", "no json", None,
+             '{"content":{"args":{"agent":{"x":[1,"é"]}}}}', '{"content":{"args":[]}}', '{"content":{"args":{"agent":true}}}']
+    events = spark.createDataFrame([("app", "s", "delegate", t) for t in texts], "app_id STRING, session_id STRING, event_type STRING, payload STRING")
+    parsed = stored(parsed_payload(events))
+    assert parsed.schema["payload"].dataType.simpleString() == "variant"
+    read = lambda df: sorted(str(r[0]) for r in df.select(payload_value(df, "$.content.args.agent")).collect())
+    assert read(parsed) == read(events)
+    assert sorted(map(tuple, evaluation.agent_delegation(parsed).collect())) == sorted(map(tuple, evaluation.agent_delegation(events).collect()))
+    assert "get_json_object" not in plan_of(evaluation.agent_delegation(parsed))
