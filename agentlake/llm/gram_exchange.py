@@ -110,9 +110,14 @@ def plan_layout(docs: DataFrame, group_bytes: int = GROUP_BYTES, bucket_bytes: i
         parts = tuple(max(1, math.ceil(sizes.get(k + 1, 0) / group_bytes)) for k in range(len(bounds) - 1))
         layout = Layout(bounds, parts, buckets, bits, without_id)
         group = layout.group(F.col("doc_id"), F.col("hash"))
+        grouped = named.withColumn("grp", group)
+        large = grouped.groupBy("grp").agg(size.alias("bytes"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        large = [r.grp for r in large.where((F.col("bytes") > 2 * group_bytes) & (F.col("low") < F.col("high"))).collect()]
+        if not large:
+            return layout
         cuts = F.percentile_approx("doc_id", [k / 8 for k in range(1, 8)], F.lit(1000))
-        large = named.groupBy(group.alias("grp")).agg(size.alias("bytes"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), cuts.alias("cuts"))
-        more = {c for r in large.where((F.col("bytes") > 2 * group_bytes) & (F.col("low") < F.col("high"))).collect() for c in (*r.cuts, r.low + 1, r.high) if r.low < c <= r.high}
+        found = grouped.where(F.col("grp").isin(large)).groupBy("grp").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), cuts.alias("cuts")).collect()
+        more = {c for r in found for c in (*r.cuts, r.low + 1, r.high) if r.low < c <= r.high}
         if not more - starts:
             return layout
         starts |= more

@@ -13,11 +13,18 @@ It is never formed as a whole; bounds from the sizes of the sets cut it down fir
    matrix times the block of rows that are its candidates.
 
 A column with many documents is not expanded into all pairs. Its rows are first multiplied with one row each round, and
-linked rows become one component; then only rows outside of the column's largest component meet the others.
+linked rows become one component; then only rows outside of the column's largest component meet the others. Where a
+column is still crowded then, its documents share common passages without being alike. For these, columns that stand in
+the same documents are one column with a weight, and documents meet where they share a combination of several such
+columns: linked ones share at least ``k`` among the first of each, for a ``k`` that grows with the number of chance meetings.
 """
 
 from __future__ import annotations
 
+from bisect import insort
+from itertools import batched, combinations
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -184,12 +191,120 @@ def accumulate(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return left.unionByName(right).groupBy("block").applyInArrow(multiply, "a long, b long")
 
 
+#: Rows of a column that are paired with each other; those of larger columns meet by combinations.
+CROWDED_ROWS = 32
+#: Columns in a combination at most.
+MOST_COLUMNS = 10
+
+
+def weighted_columns(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """doc_id, n and columns (frequency, name and weight; rare ones first) of the documents in ``crowded`` (doc_id).
+
+    Columns with the same documents, of these, are one, named by a fingerprint of the documents; its weight is their
+    number. Columns of a single document have no part in any overlap and are left out.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for doc_id, grams in zip(batch.column("doc_id").to_numpy().tolist(), batch.column("grams").to_pylist()):
+                flat = np.frombuffer(grams, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), doc_id)), pa.array(flat)], names=["doc_id", "gram"])
+
+    chosen = rows.join(crowded, "doc_id", "left_semi").select("doc_id", "n", "grams")
+    grams = materialize(chosen.mapInArrow(run, "doc_id long, gram long"), "grams")
+    name = [F.sum(F.xxhash64(F.lit(salt), "doc_id").cast("decimal(38,0)")) for salt in (1, 2)]
+    named = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.xxhash64(*name).alias("name")).where("m > 1")
+    weights = grams.join(named, "gram").groupBy("doc_id", "m", "name").agg(F.count(F.lit(1)).alias("w"))
+    listed = weights.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("m", "name", "w"))).alias("columns"))
+    return chosen.select("doc_id", "n").join(listed, "doc_id")
+
+
+def combination_prefix(weights: list[int], need: int, k: int) -> int | None:
+    """Number of first columns among which any document that shares ``need`` has at least ``k`` in common; None where
+    fewer than ``k`` columns may be enough."""
+    rest, largest = sum(weights), []
+    for j, w in enumerate(weights, 1):
+        rest -= w
+        if k > 1:
+            insort(largest, w)
+            if len(largest) > k - 1:
+                del largest[0]
+        if j >= k and sum(largest) + rest < need:
+            return j
+    return None
+
+
+def combined_pairs(weighted: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (p < q) of documents by combinations of ``k`` columns, and the documents (doc_id) that
+    may link with others over fewer columns, and are not paired here.
+
+    ``k`` grows while the pairs that meet outnumber the combinations of the next ``k``: more documents, of which ever more
+    meet by chance, make it larger, so that pairs and combinations stay in balance.
+    """
+
+    def counts(batches):
+        total = np.zeros((2, MOST_COLUMNS))
+        for batch in batches:
+            for n, columns in zip(batch.column("n").to_pylist(), batch.column("columns").to_pylist()):
+                weights = [c["w"] for c in columns]
+                for k in range(1, MOST_COLUMNS + 1):
+                    j = combination_prefix(weights, -(-percent * n // 100), k)
+                    total[:, k - 1] += (comb(j, k), 0) if j else (0, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(1, MOST_COLUMNS + 1), pa.int32()), pa.array(total[0]), pa.array(total[1])], names=["k", "keys", "rest"])
+
+    kept = materialize(weighted, "weighted")
+    rows = kept.count()
+    sums = kept.mapInArrow(counts, "k int, keys double, rest double").groupBy("k").agg(F.sum("keys").alias("keys"), F.sum("rest").alias("rest")).collect()
+    # few documents may be left to their columns
+    cost = {r.k: r["keys"] for r in sums if 100 * r.rest <= rows}
+
+    def keys_of(k: int) -> DataFrame:
+        def combine(batches):
+            for batch in batches:
+                for doc_id, n, columns in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "columns"))):
+                    j = combination_prefix([c["w"] for c in columns], -(-percent * n // 100), k)
+                    names = np.array([c["name"] for c in columns[:j]], np.int64).view(np.uint64) if j else np.empty(0, np.uint64)
+                    for picked in batched(combinations(range(len(names)), k), 4096) if j else [()]:
+                        places = np.array(picked, np.int64).reshape(-1, k)
+                        value = roll(names[places].ravel(), k)[::k] if len(places) else np.zeros(1, np.uint64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(value.view(np.int64), mask=np.full(len(value), not j)), pa.array(np.full(len(value), doc_id)), pa.array(np.full(len(value), n))], names=["key", "doc_id", "n"])
+
+        return materialize(kept.mapInArrow(combine, "key long, doc_id long, n long"), "keys")
+
+    k = 1
+    while True:
+        keys = keys_of(k)
+        often = materialize(keys.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "often")
+        meeting = often.agg(F.sum(F.col("m").cast("double") * (F.col("m") - 1) / 2)).first()[0] or 0
+        if meeting <= cost.get(k + 1, float("inf")):
+            break
+        k += 1
+    shared = keys.join(often.select("key"), "key")
+    similar = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+    pairs = shared.alias("x").join(shared.alias("y"), "key").where("x.doc_id < y.doc_id").where(similar)
+    return pairs.select(F.col("x.doc_id").alias("p"), F.col("y.doc_id").alias("q")).distinct(), keys.where("key IS NULL").select("doc_id")
+
+
+def _crowded_pairs(placed: DataFrame, rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of columns with more than ``CROWDED_ROWS`` rows, where any is outside of the column's main component,
+    and what is left to pair column by column: rows that must meet all others of their column."""
+    sizes = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CROWDED_ROWS).select("gram")
+    crowded = materialize(placed.join(sizes, "gram"), "crowded")
+    weighted = weighted_columns(rows, crowded.select("doc_id").distinct())
+    pairs, coarse = combined_pairs(weighted, percent)
+    labels = crowded.select("doc_id", "component").distinct()
+    for side in ("p", "q"):
+        pairs = pairs.join(labels.select(F.col("doc_id").alias(side), F.col("component").alias(f"{side}_component")), side)
+    return pairs.where("p_component <> q_component").select("p", "q"), crowded.join(coarse, "doc_id", "left_semi")
+
+
 def find_links(rows: DataFrame, percent: int) -> DataFrame:
     """Components among ``rows``: (node, component) of every document with a link."""
     columns = prefix_columns(rows, percent)
     often = columns.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
     columns = materialize(columns.join(often, "gram"), "columns")
-    spark, links, labels = rows.sparkSession, None, None
+    links = labels = None
     for turn in range(HUB_ROUNDS + 1):
         placed = columns
         if labels is None:
@@ -203,14 +318,15 @@ def find_links(rows: DataFrame, percent: int) -> DataFrame:
         outside = placed if labels is None else placed.where("component <> main")
         if turn < HUB_ROUNDS:
             first = outside.groupBy("gram").agg(F.min(hub).alias("hub")).select("gram", "hub.*")
+            pairs = _column_pairs(first, placed, percent).select(F.col("p").alias("a"), F.col("q").alias("b"))
         else:
-            first = outside.select("gram", "doc_id", "n", "u", "place", "component")
-        pairs = first.alias("x").join(placed.alias("y"), "gram").where("x.component <> y.component AND x.doc_id <> y.doc_id").where(_possible("x", "y", percent))
-        pairs = pairs.select(F.col("x.doc_id").alias("p"), F.col("y.doc_id").alias("q"))
-        if turn == HUB_ROUNDS:
+            wide = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CROWDED_ROWS).select("gram")
+            pairs = _column_pairs(outside.join(wide, "gram", "left_anti"), placed, percent)
+            if wide.limit(1).count():
+                combined, coarse = _crowded_pairs(placed, rows, percent)
+                both = _column_pairs(coarse, placed, percent)
+                pairs = pairs.unionByName(both).unionByName(combined)
             pairs = pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-        else:
-            pairs = pairs.select(F.col("p").alias("a"), F.col("q").alias("b"))
         pairs = materialize(pairs.distinct(), "pairs")
         new = materialize(accumulate(pairs, rows, percent), "links")
         links = new if links is None else links.unionByName(new)
@@ -219,6 +335,13 @@ def find_links(rows: DataFrame, percent: int) -> DataFrame:
     return labels
 
 
+def _column_pairs(some: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(p, q): rows of ``some`` with the rows of their columns in other components that they may link with."""
+    left = some.select("gram", "doc_id", "n", "u", "place", "component")
+    pairs = left.alias("x").join(placed.alias("y"), "gram").where("x.component <> y.component AND x.doc_id <> y.doc_id").where(_possible("x", "y", percent))
+    return pairs.select(F.col("x.doc_id").alias("p"), F.col("y.doc_id").alias("q"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
 

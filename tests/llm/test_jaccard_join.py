@@ -1,7 +1,12 @@
+import functools
+import itertools
 import random
 
+import pytest
+
+from agentlake.llm import gram_exchange, jaccard_join
 from agentlake.llm.components import components
-from agentlake.llm.jaccard_join import near_duplicates
+from agentlake.llm.jaccard_join import combination_prefix, near_duplicates
 from tests.llm.plain import EDGE_TEXTS, docs_of, parity_words, plain_components, random_texts
 
 
@@ -30,6 +35,69 @@ def test_crowded_columns_that_do_not_link(spark):
     assert check(spark, texts) > 40
 
 
+def test_many_groups_and_buckets(spark, monkeypatch):
+    texts = random_texts(250, seed=12, words=80) + EDGE_TEXTS
+    small = functools.partial(gram_exchange.plan_layout, group_bytes=1500, bucket_bytes=2000)
+    layout = small(docs_of(spark, texts))
+    assert layout.groups > 30 and layout.buckets > 30
+    monkeypatch.setattr(gram_exchange, "plan_layout", small)
+    assert check(spark, texts) > 20
+
+
+def passages(n, seed, wordings=4, number=20, size=12):
+    r = random.Random(seed)
+    wording = [[" ".join(f"p{k}v{v}x{j}" for j in range(size)) for v in range(wordings)] for k in range(number)]
+    return [[wording[k][r.randrange(wordings)] for k in range(number)] for _ in range(n)]
+
+
+@pytest.mark.parametrize(("number", "size", "wordings"), [(20, 12, 3), (3, 40, 3), (40, 5, 2)])
+def test_crowded_columns_meet_by_combinations(spark, monkeypatch, number, size, wordings):
+    """Copies with a passage or some words changed, among documents of common passages."""
+    monkeypatch.setattr(jaccard_join, "CROWDED_ROWS", 6)
+    r = random.Random(number)
+    made = passages(180, number, wordings, number, size)
+    for old in made[:60]:
+        new = list(old)
+        for k in r.sample(range(number), r.randint(0, max(1, number // 8))):
+            words = new[k].split()
+            words[r.randrange(size)] = f"n{r.random()}"
+            new[k] = " ".join(words) if r.random() < 0.7 else f"other {r.random()}"
+        made.append(new)
+    check(spark, [" ".join(m) for m in made])
+
+
+def test_common_passages_do_not_list_all_pairs(spark, monkeypatch):
+    pairs, real = [], jaccard_join.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        if name in ("pairs", "keys"):
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    n = 1600
+    rows = near_duplicates(docs_of(spark, [" ".join(m) for m in passages(n, 1)])).collect()
+    assert len({r.component_id for r in rows}) == n and sum(pairs) < 0.35 * n * (n - 1) / 2
+
+
+def test_prefixes_hold_enough_columns():
+    """Whatever shares the needed weight has k columns among the first ones."""
+    r = random.Random(7)
+    for _ in range(300):
+        weights = [r.choice([1, 1, 2, 5]) for _ in range(r.randint(1, 9))]
+        need = r.randint(1, sum(weights))
+        for k in range(1, 5):
+            j = combination_prefix(weights, need, k)
+            shared = [c for size in range(len(weights) + 1) for c in itertools.combinations(range(len(weights)), size) if sum(weights[i] for i in c) >= need]
+            enough = [all(sum(i < m for i in c) >= k for c in shared) for m in range(len(weights) + 1)]
+            assert j is None or enough[j]
+            if k == 1:
+                assert j == enough.index(True)
+            if j is None:
+                assert not enough[-1] or k > 1
+
+
 def test_words_that_polynomials_confuse(spark):
     words = parity_words(1024)
     assert check(spark, words + [" ".join([*"abcdefghijkl", w, *"mnopqrstuvwx"]) for w in words]) == 0
