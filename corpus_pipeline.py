@@ -27,11 +27,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every component of near duplicates; of rows with one id the one whose text
-    comes first. Rows without id stay."""
+    """The document with the smallest id of every component of near duplicates; of equal texts of one id one row, as an id
+    may name several texts. Rows without id stay."""
     named = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(named, "doc_id")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang"))
+    first = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("source", "lang"))
     kept = kept.withColumn("place", first).where("place = 1")
     return kept.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
