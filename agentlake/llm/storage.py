@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +27,31 @@ def shared_folder(spark: SparkSession) -> str:
     return whole.replace("file:/", "file:///", 1).replace("file://///", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
+#: Folders of the calls inside ``cleaned``, innermost last.
+_open: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    folder = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    if _open:
+        _open[-1].append(folder)
+    return folder
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove, at the end, the intermediate folders that operators make inside. They read from these as long as their
+    results are lazy, so write a result before the end. Without this, folders stay for whoever owns the shared folder.
+    For one thread at a time."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.remove(made)
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
