@@ -74,7 +74,46 @@ SELECT r.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(ot
 FROM reached r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
 """
 
+#: The letters beyond a to z are the code points U+00C0 to U+00FF, two bytes each. crc32 goes through the bytes by a table.
+SPELLING = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00c0-\u00ff]{{5,}}')), '{UPPER}', '{LOWER}') AS run FROM documents),
+counted AS (
+  SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+           lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) AS BIGINT) - 64] END))),
+           lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]))) AS h
+  FROM counted, crc),
+results AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, k FROM hashed),
+words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM results WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+places AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+hidden AS (
+  SELECT word, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS key FROM places),
+shorter AS (
+  SELECT DISTINCT p.word AS long, w.word AS short FROM places p JOIN words w ON w.word = substr(p.word, 1, p.i - 1) || substr(p.word, p.i + 1)),
+near AS (
+  SELECT a.word, b.word AS other FROM hidden a JOIN hidden b ON a.key = b.key AND a.word <> b.word
+  UNION ALL SELECT long, short FROM shorter UNION ALL SELECT short, long FROM shorter),
+ranked AS (
+  SELECT near.word, other, n, count(*) OVER (PARTITION BY near.word) AS n_near, row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS turn
+  FROM near JOIN words ON words.word = other),
+formed AS (
+  SELECT w.word, CASE WHEN r.n >= 2 * w.n THEN other END AS form, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 2 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND turn = 1),
+walk(word, root) AS (
+  SELECT word, word FROM formed UNION ALL SELECT walk.word, form FROM walk JOIN formed ON formed.word = root WHERE form IS NOT NULL)
+SELECT f.word, f.form, root, f.n, f.n_near, f.form_n
+FROM walk JOIN formed f ON f.word = walk.word JOIN formed last ON last.word = root WHERE last.form IS NULL
+"""
+
 ORACLES = {
+    "op11_spelling": SPELLING,
     "op3_decontaminate": DECONTAMINATE,
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op6_line_rules": line_rules.ORACLE,

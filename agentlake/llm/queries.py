@@ -111,7 +111,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     model = fit_whitening(vectors)
     rows = whiten(vectors, model, COMPONENTS, keep=["vec_id"])
-    explained = F.array(*(F.lit(e).cast("double") for e in (model.explained(COMPONENTS) if model else [])))
+    explained = F.array(*(F.lit(e).cast("double") for e in (model.explained(COMPONENTS) if model else []))).cast("array<double>")
     return rows.select("vec_id", F.posexplode("whitened").alias("place", "whitened"), "deviation").select(
         "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
         F.col("deviation").try_cast("long").alias("deviation"), "whitened", F.get(explained, F.col("place")).alias("explained"),

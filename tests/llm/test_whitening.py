@@ -113,3 +113,11 @@ def test_query(spark):
         assert own.deviation.tolist() == deviations and np.allclose(own.explained, explained[k], rtol=1e-10)
         w = own.whitened.to_numpy()
         assert np.abs(w * np.sign(w @ made[:, k]) - made[:, k]).max() < 1e-7
+
+
+def test_query_without_usable_vectors(spark, tmp_path):
+    for k, vectors in enumerate(([], [None, [], [None, 1.0]])):
+        folder = str(tmp_path / str(k))
+        spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+        rows = QUERIES["op13_whitening"](spark, folder)
+        assert rows.collect() == [] and dict(rows.dtypes)["explained"] == dict(rows.dtypes)["whitened"] == "double"
