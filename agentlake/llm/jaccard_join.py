@@ -191,10 +191,11 @@ def accumulate(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return left.unionByName(right).groupBy("block").applyInArrow(multiply, "a long, b long")
 
 
-#: Rows of a column that are paired with each other; those of larger columns meet by combinations.
+#: Rows of a column, outside of its main component, that are paired with all others; those of more crowded columns meet
+#: by combinations, if these lead to fewer pairs.
 CROWDED_ROWS = 32
-#: Columns in a combination at most.
-MOST_COLUMNS = 10
+#: Columns in a combination at most, and combinations of a document on average.
+MOST_COLUMNS, COMBINATIONS = 10, 400
 
 
 def weighted_columns(rows: DataFrame, crowded: DataFrame) -> DataFrame:
@@ -234,9 +235,10 @@ def combination_prefix(weights: list[int], need: int, k: int) -> int | None:
     return None
 
 
-def combined_pairs(weighted: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def combined_pairs(weighted: DataFrame, percent: int, fewer_than: float) -> tuple[DataFrame, DataFrame] | None:
     """Distinct candidate pairs (p < q) of documents by combinations of ``k`` columns, and the documents (doc_id) that
-    may link with others over fewer columns, and are not paired here.
+    may link with others over fewer columns, and are not paired here. None where this would not be fewer meetings than
+    ``fewer_than``, or too many combinations.
 
     ``k`` grows while the pairs that meet outnumber the combinations of the next ``k``: more documents, of which ever more
     meet by chance, make it larger, so that pairs and combinations stay in balance.
@@ -256,7 +258,9 @@ def combined_pairs(weighted: DataFrame, percent: int) -> tuple[DataFrame, DataFr
     rows = kept.count()
     sums = kept.mapInArrow(counts, "k int, keys double, rest double").groupBy("k").agg(F.sum("keys").alias("keys"), F.sum("rest").alias("rest")).collect()
     # few documents may be left to their columns
-    cost = {r.k: r["keys"] for r in sums if 100 * r.rest <= rows}
+    cost = {r.k: r["keys"] for r in sums if 100 * r.rest <= rows and r["keys"] <= COMBINATIONS * rows}
+    if cost.get(1, float("inf")) > fewer_than:
+        return None
 
     def keys_of(k: int) -> DataFrame:
         def combine(batches):
@@ -280,23 +284,32 @@ def combined_pairs(weighted: DataFrame, percent: int) -> tuple[DataFrame, DataFr
         if meeting <= cost.get(k + 1, float("inf")):
             break
         k += 1
+    if meeting > fewer_than:
+        return None
     shared = keys.join(often.select("key"), "key")
     similar = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
     pairs = shared.alias("x").join(shared.alias("y"), "key").where("x.doc_id < y.doc_id").where(similar)
     return pairs.select(F.col("x.doc_id").alias("p"), F.col("y.doc_id").alias("q")).distinct(), keys.where("key IS NULL").select("doc_id")
 
 
-def _crowded_pairs(placed: DataFrame, rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of columns with more than ``CROWDED_ROWS`` rows, where any is outside of the column's main component,
-    and what is left to pair column by column: rows that must meet all others of their column."""
-    sizes = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CROWDED_ROWS).select("gram")
-    crowded = materialize(placed.join(sizes, "gram"), "crowded")
-    weighted = weighted_columns(rows, crowded.select("doc_id").distinct())
-    pairs, coarse = combined_pairs(weighted, percent)
-    labels = crowded.select("doc_id", "component").distinct()
+def _last_pairs(placed: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of all columns of which one document is outside of the column's main component."""
+    outside = placed.where("component <> main")
+    sizes = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("component") != F.col("main")).alias("o")).where(F.col("o") > CROWDED_ROWS)
+    meetings = sizes.agg(F.sum(F.col("m").cast("double") * F.col("o"))).first()[0]
+    if not meetings:
+        return _column_pairs(outside, placed, percent)
+    sizes = materialize(sizes.select("gram"), "crowded")
+    crowded = placed.join(sizes, "gram", "left_semi")
+    found = combined_pairs(weighted_columns(rows, crowded.select("doc_id").distinct()), percent, meetings)
+    if found is None:
+        return _column_pairs(outside, placed, percent)
+    pairs, coarse = found
+    labels = materialize(crowded.select("doc_id", "component").distinct(), "labels")
     for side in ("p", "q"):
         pairs = pairs.join(labels.select(F.col("doc_id").alias(side), F.col("component").alias(f"{side}_component")), side)
-    return pairs.where("p_component <> q_component").select("p", "q"), crowded.join(coarse, "doc_id", "left_semi")
+    by_column = outside.join(sizes, "gram", "left_anti").unionByName(crowded.join(coarse, "doc_id", "left_semi"))
+    return _column_pairs(by_column, placed, percent).unionByName(pairs.where("p_component <> q_component").select("p", "q"))
 
 
 def find_links(rows: DataFrame, percent: int) -> DataFrame:
@@ -320,12 +333,7 @@ def find_links(rows: DataFrame, percent: int) -> DataFrame:
             first = outside.groupBy("gram").agg(F.min(hub).alias("hub")).select("gram", "hub.*")
             pairs = _column_pairs(first, placed, percent).select(F.col("p").alias("a"), F.col("q").alias("b"))
         else:
-            wide = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CROWDED_ROWS).select("gram")
-            pairs = _column_pairs(outside.join(wide, "gram", "left_anti"), placed, percent)
-            if wide.limit(1).count():
-                combined, coarse = _crowded_pairs(placed, rows, percent)
-                both = _column_pairs(coarse, placed, percent)
-                pairs = pairs.unionByName(both).unionByName(combined)
+            pairs = _last_pairs(placed, rows, percent)
             pairs = pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
         pairs = materialize(pairs.distinct(), "pairs")
         new = materialize(accumulate(pairs, rows, percent), "links")
