@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.fs
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -233,7 +234,7 @@ def _file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-MANIFEST = "file string, first_id long, docs long, tokens long"
+MANIFEST = "file string, part int, first_id long, docs long, tokens long"
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -242,7 +243,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     Rows are range-partitioned and sorted by doc_id (null first), then the text's hash and the text; ranges hold about
     ``file_bytes`` of text, also where many rows share an id or have none. Each task writes one file, under a name of its own, so that a repeated attempt never touches another's file. The manifest (``folder/manifest``, Parquet) names
-    the files that count and is returned: file, first_id, docs, tokens. Null and empty texts are documents of the end
+    the files that count and is returned: file, part (their order), first_id, docs, tokens. Null and empty texts are documents of the end
     id alone; repeated ids and rows are all written. Other columns are not read. No rows give an empty manifest.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
@@ -270,8 +271,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
             sink.close()
             first = next((d for d in writer.doc_ids if d is not None), None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([first], pa.int64()), pa.array([len(writer.counts)], pa.int64()), pa.array([sum(writer.counts)], pa.int64())],
-                names=["file", "first_id", "docs", "tokens"])
+                [pa.array([name]), pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([first], pa.int64()), pa.array([len(writer.counts)], pa.int64()),
+                 pa.array([sum(writer.counts)], pa.int64())], names=["file", "part", "first_id", "docs", "tokens"])
 
     spark = docs.sparkSession
     ordered.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
@@ -289,17 +290,23 @@ def read_token_files(spark: SparkSession, folder: str, only: Iterable[int] | Non
     there are files; with ``only``, files and frames without such documents are not fetched.
     """
     manifest = token_manifest(spark, folder)
-    order = [F.col("first_id").asc_nulls_first(), "file"]
+    order = ["part"]  # ranges of ids rise with it; several files may begin with the same id
     before = F.sum("tokens").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     # one row per file; bounds of the ids in a file come from its neighbour
     until = F.lead("first_id").over(Window.orderBy(*order))
     files = manifest.select("file", "first_id", F.coalesce(before, F.lit(0)).alias("base"), until.alias("until"))
-    wanted = None if only is None else sorted(set(only))
+    wanted = None if only is None else np.array(sorted(set(only)), np.int64)
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Files between whose bounds any wanted id lies; those without ids before the first have no lower bound."""
+        for batch in batches:
+            first, until = (batch.column(c) for c in ("first_id", "until"))
+            low = np.where(first.is_valid(), np.searchsorted(wanted, first.fill_null(0).to_numpy()), 0)
+            high = np.where(until.is_valid(), np.searchsorted(wanted, until.fill_null(0).to_numpy(), side="right"), len(wanted))
+            yield batch.filter(pa.array(high > low))
+
     if wanted is not None:
-        near = F.lit(False)
-        for d in wanted:
-            near = near | ((F.coalesce(F.col("first_id"), F.lit(d)) <= d) & (F.col("until").isNull() | (F.col("until") >= d)))
-        files = files.where(near)
+        files = files.mapInArrow(holding, files.schema)
     number = max(1, manifest.count())
     files = files.repartition(number, "file").select("file", "base")
 
@@ -311,7 +318,7 @@ def read_token_files(spark: SparkSession, folder: str, only: Iterable[int] | Non
                     tokens = TokenFile(source)
                     chosen = np.arange(len(tokens.counts))
                     if wanted is not None:
-                        chosen = chosen[np.isin(tokens.doc_ids, np.array(wanted, np.int64)) & tokens.present]
+                        chosen = chosen[np.isin(tokens.doc_ids, wanted) & tokens.present]
                     for low in range(0, len(chosen), 256):
                         some = chosen[low : low + 256]
                         yield pa.RecordBatch.from_arrays(

@@ -70,11 +70,24 @@ def test_file_format_and_damage(spark):
 
 def test_files_are_sized_by_their_texts_and_split_ids(spark):
     texts = [f"text {k} " * 20 for k in range(600)]
-    ids = [None if k % 3 == 0 else 7 if k % 3 == 1 else k for k in range(600)]
+    ids = [None if k % 3 == 0 else 7 if k % 3 == 1 else k + 1000 if k > 30 else k - 2 for k in range(600)]
     folder = new_folder(spark, "tokens")
     manifest = write_token_files(docs_of(spark, texts, ids).repartition(4), folder, tokenizer_path(TOKENIZER), END_ID, file_bytes=8000).collect()
     assert 8 <= len(manifest) <= 15 + 2 and max(m.docs for m in manifest) < 130
-    assert {len(r.ids) for r in read_token_files(spark, folder).collect()} and read_token_files(spark, folder).count() == 600
+    rows = sorted((r.start, r.doc_id, r.n_tokens) for r in read_token_files(spark, folder).collect())
+    assert [-1 if d is None else d for _, d, _ in rows] == sorted(-1 if i is None else i for i in ids)
+    assert [s for s, _, _ in rows] == [sum(n for _, _, n in rows[:k]) for k in range(600)]
+    assert sum(m.first_id == 7 for m in manifest) > 2
+    assert read_token_files(spark, folder, only=[7]).count() == 200
+
+
+def test_many_wanted_documents(spark):
+    folder = new_folder(spark, "tokens")
+    write_token_files(docs_of(spark, [f"text {k}" for k in range(6000)], range(0, 60_000, 10)).repartition(3), folder, tokenizer_path(TOKENIZER), END_ID, file_bytes=8000)
+    wanted = list(range(5, 60_000, 7))
+    got = sorted(r.doc_id for r in read_token_files(spark, folder, only=wanted).collect())
+    assert got == [k for k in range(0, 60_000, 10) if k in set(wanted)] and len(got) > 500
+    assert read_token_files(spark, folder, only=[]).collect() == read_token_files(spark, folder, only=[-5, 10**12]).collect() == []
 
 
 def test_empty_table(spark):
