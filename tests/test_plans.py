@@ -14,7 +14,7 @@ from agentlake.operators import (
 from agentlake.plans import evaluation
 from tests.test_oracles import QUERIES, SF_DIR
 
-PYTHON_QUERIES = {"batch_arrow", "batch_arrow_multi", "batch_pandas"}
+PYTHON_QUERIES = {"batch_arrow", "batch_arrow_multi", "batch_pandas", "batch_sessions", "log_tree_ranges"}
 COLUMNS = (
     "dt STRING, app_id STRING, session_id STRING, event_id BIGINT, ts TIMESTAMP, event_type STRING, "
     "turn_index BIGINT, agent_id STRING, request_id STRING, model STRING, provider STRING, "
