@@ -397,22 +397,17 @@ def _written_tree(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark)
     part = F.floor(F.col("event_id") / 5000).cast("string")
     dirs = (F.concat(F.lit("app-"), (F.col("user_id") % 50).cast("string")), F.concat(F.lit("conv-"), part))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", "element"))), lambda x: x["element"])
-    events = _event_elements(spark, sf_dir, dirs).groupBy("app_dir", "conv_dir").agg(ordered.alias("elements"))
-    fx.write_files(events.select(
-        F.concat_ws("/", "app_dir", "conv_dir", F.lit("events.json")).alias("path"),
-        F.concat(F.lit("["), F.array_join("elements", ",\n"), F.lit("]")).alias("text"),
-    ), root)
+    events = _event_elements(spark, sf_dir, dirs)
+    fx.write_arrays(events.withColumn("path", F.concat_ws("/", "app_dir", "conv_dir", F.lit("events.json"))), root, ",\n")
     name = F.when(F.substring_index("app_dir", "-", -1).cast("int") % 7 != 0, F.col("conv_dir")).otherwise("moved")
     records = [
         F.to_json(F.struct(name.alias("conversation_id"), F.concat(F.lit("model-"), F.substring_index("conv_dir", "-", -1), F.lit(f"-{k}")).alias("llm_model")))
         for k in range(2)
     ]
-    apps = events.groupBy("app_dir").agg(F.flatten(F.collect_list(F.array(*records))).alias("records"))
-    fx.write_files(apps.select(
-        F.concat_ws("/", "app_dir", F.lit("conversations.json")).alias("path"),
-        F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("text"),
-    ), root)
+    apps = events.select("app_dir", "conv_dir").distinct().select("app_dir", "conv_dir", F.posexplode(F.array(*records)).alias("k", "element"))
+    fx.write_arrays(apps.select(
+        F.concat_ws("/", "app_dir", F.lit("conversations.json")).alias("path"), F.struct("conv_dir", "k").alias("place"), "element",
+    ), root, ",")
     return root
 
 

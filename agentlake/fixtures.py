@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,22 +135,48 @@ def session_treatments(events: DataFrame) -> DataFrame:
     )
 
 
-def write_files(files: DataFrame, root: str) -> None:
-    """Write each row (``path`` below ``root``, ``text``) as a file of its own, by the executors."""
-    spark = files.sparkSession
+def _qualified(spark: SparkSession, root: str) -> str:
+    """A folder as an URI that Arrow opens."""
     place = spark._jvm.org.apache.hadoop.fs.Path(root)
     base = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
-    base = base.replace("file:/", "file:///", 1) if not base.startswith("file://") else base
-
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        system, folder = fs.FileSystem.from_uri(base)
-        for frame in frames:
-            for path, text in zip(frame["path"], frame["text"]):
+    return base.replace("file:/", "file:///", 1) if not base.startswith("file://") else base
+
+
+def _write_sorted(batches: Iterator[pa.RecordBatch], base: str, separator: str) -> Iterator[pa.RecordBatch]:
+    """Elements that come file by file are written batch by batch; gives the paths of the files."""
+    from pyarrow import fs
+
+    system, folder = fs.FileSystem.from_uri(base)
+    now, out = None, None
+    try:
+        for batch in batches:
+            begun, rows = [], zip(batch.column("path").to_pylist(), batch.column("element").to_pylist())
+            for path, some in groupby(rows, key=itemgetter(0)):
+                text = separator.join(element for _, element in some)
+                if path == now:
+                    out.write((separator + text).encode())
+                    continue
+                if out:
+                    out.write(b"]")
+                    out.close()
                 system.create_dir(f"{folder}/{os.path.dirname(path)}", recursive=True)
-                with system.open_output_stream(f"{folder}/{path}", compression=None) as out:
-                    out.write(text.encode())
-            yield frame[["path"]]
-
-    files.select("path", "text").mapInPandas(write, "path STRING").agg(F.count("*")).collect()
+                out, now = system.open_output_stream(f"{folder}/{path}", compression=None), path
+                out.write(("[" + text).encode())
+                begun.append(path)
+            yield pa.RecordBatch.from_arrays([pa.array(begun, pa.string())], names=["path"])
+        if out:
+            out.write(b"]")
+    finally:
+        if out:
+            out.close()
+
+
+def write_arrays(elements: DataFrame, root: str, separator: str) -> None:
+    """Write JSON array files by the executors: each row is one ``element`` of the file ``path`` below ``root``, in the
+    order of ``place`` and then of the texts.
+
+    A task holds one batch of elements, however many and large its files are.
+    """
+    base = _qualified(elements.sparkSession, root)
+    rows = elements.select("path", "place", "element").repartition("path").sortWithinPartitions("path", "place", "element")
+    rows.select("path", "element").mapInArrow(lambda batches: _write_sorted(batches, base, separator), "path STRING").agg(F.count("*")).collect()

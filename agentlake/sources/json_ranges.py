@@ -27,6 +27,8 @@ RANGE_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
 #: Bytes of elements that leave a task at once.
 BATCH_BYTES = 4 << 20
+#: Ranges whose sums leave a task at once.
+BATCH_RANGES = 256
 
 #: States are sums of these; 0 is outside of strings.
 INSIDE, ESCAPED = 1, 2
@@ -175,8 +177,12 @@ SUMS = "path string, low long, high long, state int, end int, depth long, opened
 STARTS = "path string, low long, high long, state int, depth long, position long, opened boolean"
 
 
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, BATCH_RANGES) for at in range(0, batch.num_rows, BATCH_RANGES))
+
+
 def _summarise_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in _sliced(whole)):
         rows = []
         for path, low, high in zip(*(batch.column(c).to_pylist() for c in ("path", "low", "high"))):
             whole = None

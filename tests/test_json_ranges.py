@@ -128,3 +128,14 @@ def test_a_damaged_large_file_stops_the_load(spark, tmp_path):
 
 def test_schemas_name_known_kinds():
     assert json_ranges._arrow(json_ranges.SUMS).field("levels").type == pa.list_(pa.int64())
+
+
+def test_sums_leave_a_task_in_parts(tmp_path, monkeypatch):
+    """Not those of all ranges of a batch at once."""
+    (tmp_path / "x.json").write_bytes(raw := json.dumps(VALUES * 20).encode())
+    monkeypatch.setattr(json_ranges, "BATCH_RANGES", 3)
+    lows = list(range(0, len(raw), 64))
+    ranges = pa.RecordBatch.from_pydict({"path": [str(tmp_path / "x.json")] * len(lows), "low": lows, "high": [min(at + 64, len(raw)) for at in lows]})
+    parts = list(json_ranges._summarise_ranges(iter([ranges])))
+    assert max(p.num_rows for p in parts) == 3 * len(STATES)
+    assert [r["low"] for p in parts for r in p.to_pylist()] == [at for at in lows for _ in STATES]
