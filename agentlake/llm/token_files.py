@@ -43,8 +43,8 @@ CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 256 << 10
 #: Bytes of text of a file.
 FILE_BYTES = 16 << 20
-#: Distinct words whose ids a worker process keeps (about 200 bytes each).
-CACHED_WORDS = 800_000
+#: Distinct words whose ids a worker process keeps (about 250 bytes each), beside those of one slice of texts.
+CACHED_WORDS = 250_000
 
 
 @lru_cache(maxsize=2)
@@ -86,12 +86,25 @@ class WordEncoder:
         with open(path, "rb") as file:
             settings = json.load(file)
         self.fold = any(x["type"] == "Lowercase" for x in (settings["normalizer"] or {}).get("normalizers", []))
-        self._clear()
-
-    def _clear(self) -> None:
         self.numbers = _Numbers()
         self.lengths = np.array([1], dtype=np.int64)  # entry 0 is the end of a document
         self.ids = np.array([self.end_id], dtype=np.uint32)
+        self.seen = np.zeros(1, dtype=np.int32)
+
+    def _forget(self) -> None:
+        """Keeps the words that came more than once, at most half of what may be kept: the most frequent ones."""
+        words, often = list(self.numbers), self.seen[1:]  # in the order of their numbers
+        kept = np.flatnonzero(often > 1)
+        if len(kept) > CACHED_WORDS // 2:
+            kept = np.sort(kept[np.argsort(-often[kept], kind="stable")[: CACHED_WORDS // 2]])
+        starts, place = np.cumsum(self.lengths) - self.lengths, np.append(0, kept + 1)
+        self.seen, self.lengths = (self.seen[place] + 1) // 2, self.lengths[place]  # what was frequent long ago goes in time
+        ends = np.cumsum(self.lengths)
+        self.ids = self.ids[np.repeat(starts[place] - (ends - self.lengths), self.lengths) + np.arange(ends[-1])]
+        self.numbers = _Numbers()
+        for k in kept.tolist():
+            self.numbers[words[k]]
+        self.numbers.new = []
 
     def _words(self, text: str | None) -> list[bytes]:
         raw = (text or "").encode()
@@ -120,7 +133,7 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
         if len(self.numbers) > CACHED_WORDS:
-            self._clear()
+            self._forget()
         number, orders = self.numbers.__getitem__, []
         for text in texts:
             parts = self._words(text)
@@ -130,6 +143,7 @@ class WordEncoder:
         self._learn(self.numbers.new)
         self.numbers.new = []
         order = np.concatenate(orders)
+        self.seen = np.append(self.seen, np.zeros(len(self.lengths) - len(self.seen), np.int32)) + np.bincount(order, minlength=len(self.lengths)).astype(np.int32)
         lengths = self.lengths[order]
         starts = (np.cumsum(self.lengths) - self.lengths)[order]
         ends = np.cumsum(lengths)

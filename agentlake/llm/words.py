@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _RADIX = 0x9E3779B97F4A7C15 | 1

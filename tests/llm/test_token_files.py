@@ -94,3 +94,17 @@ def test_empty_table(spark):
     folder = new_folder(spark, "tokens")
     assert write_token_files(docs_of(spark, ["a"]).limit(0), folder, tokenizer_path(TOKENIZER), END_ID).collect() == []
     assert read_token_files(spark, folder).collect() == []
+
+
+def test_a_full_cache_keeps_its_frequent_words(monkeypatch):
+    """Where more words come than a worker keeps, ids stay right, the frequent words stay and the others go."""
+    monkeypatch.setattr("agentlake.llm.token_files.CACHED_WORDS", 40)
+    encoder, often = WordEncoder(tokenizer_path(TOKENIZER), END_ID), [f"often{k}" for k in range(12)]
+    for turn in range(30):
+        texts = [" ".join([*often, *(f"rare{turn}x{k}é" for k in range(15))]), None, "  "]
+        ids, counts = encoder.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == plain_ids(texts)
+        assert {w.encode() for w in often} <= set(encoder.numbers) and len(encoder.numbers) <= 40 + 16
+        assert len(encoder.numbers) == len(encoder.lengths) - 1 == len(encoder.seen) - 1
+    encoder._forget()
+    assert set(encoder.numbers) == {w.encode() for w in often}
