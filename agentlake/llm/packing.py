@@ -212,7 +212,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, k
         encoder = word_encoder(tokenizer, end_id)
         for batch in batches:
             for part in slices(batch):
-                ids, counts = encoder.encode(part.column("text").to_pylist())
+                ids, counts = encoder.encode(part.column("text"))
                 data = ids.astype("<u4", copy=False).tobytes()
                 pieces = -(-counts // capacity)
                 row = np.repeat(np.arange(len(counts)), pieces)
@@ -222,7 +222,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, k
                 begin = 4 * ((np.cumsum(counts) - counts)[row] + start)
                 for k in range(0, len(row), OUT_ROWS):
                     cut = slice(k, k + OUT_ROWS)
-                    own = part.take(pa.array(row[cut]))
+                    own = part.select(names).take(pa.array(row[cut]))
                     parts = [data[a : a + n] for a, n in zip(begin[cut].tolist(), (4 * length[cut]).tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [*(own.column(n) for n in names), pa.array(piece[cut].astype(np.int32)), pa.array(start[cut]), pa.array(length[cut]), pa.array(parts, pa.binary())],

@@ -18,13 +18,16 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
@@ -43,8 +46,8 @@ CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 256 << 10
 #: Bytes of text of a file.
 FILE_BYTES = 16 << 20
-#: Distinct words whose ids a worker process keeps (about 250 bytes each), beside those of one slice of texts.
-CACHED_WORDS = 250_000
+#: Distinct words whose ids a worker process keeps (about 200 bytes each), beside those of one slice of texts.
+CACHED_WORDS = 500_000
 
 
 @lru_cache(maxsize=2)
@@ -53,14 +56,41 @@ def word_encoder(path: str, end_id: int) -> WordEncoder:
     return WordEncoder(path, end_id)
 
 
+#: Letters of Latin-1 beside ASCII. Like printable ASCII they don't compose with each other, and fold one by one.
+LATIN = "À-ÖØ-öø-ÿ"
+PLAIN = re.compile(f"[!-~{LATIN}]+")
+#: Patterns by which tokenizers cut words into pieces, and what they come to in words of plain characters.
+PIECES = {
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z{LATIN}]+|[0-9]|[^A-Za-z0-9{LATIN}]+"),
+}
+PLAIN_STEPS = ({"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "})
+
+
+def _piece_pattern(settings: dict) -> re.Pattern | None:
+    """How the tokenizer cuts folded words of plain characters into the pieces that its model encodes one by one; None where
+    it may do more than compose, fold, cut by a known pattern and spell bytes."""
+    normalizer, cutter = settings["normalizer"] or {}, settings["pre_tokenizer"] or {}
+    steps, cuts = normalizer.get("normalizers", [normalizer]), cutter.get("pretokenizers", [])
+    if settings["model"]["type"] != "BPE" or settings["model"].get("dropout") or any(x not in PLAIN_STEPS for x in steps) or len(cuts) != 2:
+        return None
+    split, spell = cuts
+    if (split["type"], split.get("behavior"), split.get("invert")) != ("Split", "Removed", True):
+        return None
+    if (spell["type"], spell.get("add_prefix_space"), spell.get("use_regex")) != ("ByteLevel", False, False):
+        return None
+    return PIECES.get(split["pattern"].get("Regex"))
+
+
 class _Numbers(dict):
-    """Numbers words as they come."""
+    """Numbers words as they come; the empty one, which edges of texts leave, has no place among them."""
 
     def __init__(self) -> None:
         super().__init__()
         self.new: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
+        if not word:
+            return -1
         number = self[word] = len(self) + 1  # 0 is the end of a document
         self.new.append(word)
         return number
@@ -70,7 +100,9 @@ class WordEncoder:
     """Encodes texts word by word with a tokenizer that never joins across ASCII white space and drops it, keeping the
     ids of words seen before. Equal to encoding whole texts for such a tokenizer (word-level pre-tokenizers whose
     pieces and special tokens hold no white space). Words of ASCII alone are folded first if the tokenizer folds, which
-    leaves fewer different words; in others a mark may compose with one case of its letter only."""
+    leaves fewer different words; in others a mark may compose with one case of its letter only. New words of plain
+    characters go to the tokenizer's model piece by piece, if it cuts words in a way known here, all others through the
+    whole tokenizer, which takes twice the time."""
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
@@ -86,6 +118,12 @@ class WordEncoder:
         with open(path, "rb") as file:
             settings = json.load(file)
         self.fold = any(x["type"] == "Lowercase" for x in (settings["normalizer"] or {}).get("normalizers", []))
+        self.cut = _piece_pattern(settings)
+        if self.cut:
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.spelling = {k: spell(chr(k))[0][0] for k in range(128, 256) if PLAIN.match(chr(k))}
         self.numbers = _Numbers()
         self.lengths = np.array([1], dtype=np.int64)  # entry 0 is the end of a document
         self.ids = np.array([self.end_id], dtype=np.uint32)
@@ -102,21 +140,19 @@ class WordEncoder:
         ends = np.cumsum(self.lengths)
         self.ids = self.ids[np.repeat(starts[place] - (ends - self.lengths), self.lengths) + np.arange(ends[-1])]
         self.numbers = _Numbers()
-        for k in kept.tolist():
-            self.numbers[words[k]]
-        self.numbers.new = []
+        self.numbers.update((words[k], n) for n, k in enumerate(kept.tolist(), 1))
 
-    def _words(self, text: str | None) -> list[bytes]:
-        raw = (text or "").encode()
-        folded = raw.lower() if self.fold else raw  # bytes: A-Z only
+    def _forms(self, words: list[bytes]) -> list[bytes]:
+        """The words as they are looked up."""
+        if not self.fold or not words:
+            return words
+        folded = b" ".join(words).lower()  # bytes: A-Z only
         if any(x in folded for x in self.added):
-            return raw.split()
-        if not self.fold or raw.isascii():
-            return folded.split()
-        return [w.lower() if w.isascii() else w for w in raw.split()]
+            return words
+        return [f if f.isascii() else w for f, w in zip(folded.split(b" "), words)]
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each word, and all ids; words go through the tokenizer a few dozen at a time."""
+        """Number of ids of each word, and all ids, by the whole tokenizer; words go through it a few dozen at a time."""
         if self.border is None or any(self.border in w for w in words):
             coded = [c.ids for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
             return np.array([len(c) for c in coded], np.int64), np.array([i for c in coded for i in c], np.uint32)
@@ -125,30 +161,62 @@ class WordEncoder:
         border = flat == self.border_id
         return np.diff(np.flatnonzero(border), prepend=-1) - 1, flat[~border]
 
-    def _learn(self, words: list[bytes]) -> None:
-        for low in range(0, len(words), 8192):
-            lengths, ids = self._ids([w.decode() for w in words[low : low + 8192]])
-            self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
+    def _by_pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, by the model where a word is plain."""
+        text = " ".join(words).encode()
+        if self.cut is None or any(x in text or x in text.lower() for x in self.added):
+            return self._ids(words)
+        model, pieces, plain = self.tokenizer.model.tokenize, self.cut.findall, PLAIN.fullmatch
+        known: dict[str, list[int]] = {}
+
+        def ids(piece: str) -> list[int]:
+            if (found := known.get(piece)) is None:
+                spelt = piece if piece.isascii() else piece.translate(self.spelling)
+                found = known[piece] = [token.id for token in model(spelt)]
+            return found
+
+        coded, others = [], []
+        for k, word in enumerate(words):
+            if plain(word):
+                parts = pieces(word.lower() if self.fold else word)
+                coded.append(ids(parts[0]) if len(parts) == 1 else [i for part in parts for i in ids(part)])
+            else:
+                others.append(k)
+                coded.append([])
+        if others:
+            lengths, flat = self._ids([words[k] for k in others])
+            for k, some in zip(others, np.split(flat, np.cumsum(lengths)[:-1])):
+                coded[k] = some.tolist()
+        return np.fromiter(map(len, coded), np.int64, len(coded)), np.fromiter(chain.from_iterable(coded), np.uint32)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by the end id, and the number of ids of each text."""
+    def _learn(self, words: list[bytes]) -> None:
+        parts = [self._by_pieces([w.decode() for w in words[low : low + 8192]]) for low in range(0, len(words), 8192)]
+        self.lengths = np.concatenate([self.lengths, *(lengths for lengths, _ in parts)])
+        self.ids = np.concatenate([self.ids, *(ids for _, ids in parts)])
+        self.seen = np.append(self.seen, np.zeros(len(words), np.int32))
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by the end id, and the number of ids of each text. Arrow splits the texts and
+        tells their different words, so that Python looks each of these up once a call."""
         if len(self.numbers) > CACHED_WORDS:
             self._forget()
-        number, orders = self.numbers.__getitem__, []
-        for text in texts:
-            parts = self._words(text)
-            parts.append(b"")
-            orders.append(np.fromiter(map(number, parts), np.int64, len(parts)))
-            orders[-1][-1] = 0
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words = self._forms(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        number = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         self._learn(self.numbers.new)
         self.numbers.new = []
-        order = np.concatenate(orders)
-        self.seen = np.append(self.seen, np.zeros(len(self.lengths) - len(self.seen), np.int32)) + np.bincount(order, minlength=len(self.lengths)).astype(np.int32)
-        lengths = self.lengths[order]
+        places, real = coded.indices.to_numpy(), number > 0
+        often = np.bincount(places, minlength=len(words))
+        self.seen += np.bincount(number[real], often[real], len(self.seen)).astype(np.int32)
+        in_text = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.insert(number[places], np.cumsum(in_text), 0)
+        lengths = np.where(order < 0, 0, self.lengths[order])
         starts = (np.cumsum(self.lengths) - self.lengths)[order]
         ends = np.cumsum(lengths)
         ids = self.ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])]
-        last = np.cumsum([len(o) for o in orders]) - 1
+        last = np.cumsum(in_text + 1) - 1
         return ids, np.diff(ends[last], prepend=0)
 
 
@@ -275,7 +343,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                     system.create_dir(base, recursive=True)
                     sink = system.open_output_stream(f"{base}/{name}", compression=None)
                     writer = TokenFileWriter(sink, frame_bytes)
-                ids, counts = encoder.encode(part.column("text").to_pylist())
+                ids, counts = encoder.encode(part.column("text"))
                 at = 0
                 for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
                     writer.add(doc_id, ids[at : at + n])

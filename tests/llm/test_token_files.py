@@ -108,3 +108,33 @@ def test_a_full_cache_keeps_its_frequent_words(monkeypatch):
         assert len(encoder.numbers) == len(encoder.lengths) - 1 == len(encoder.seen) - 1
     encoder._forget()
     assert set(encoder.numbers) == {w.encode() for w in often}
+
+
+def test_new_words_go_to_the_model_by_pieces(monkeypatch):
+    """Plain words skip the whole tokenizer, with the same ids; a word is looked up once a call."""
+    encoder, whole, looked = WordEncoder(tokenizer_path(TOKENIZER), END_ID), [], []
+    through, missing = encoder._ids, type(encoder.numbers).__missing__
+    monkeypatch.setattr(encoder, "_ids", lambda words: whole.extend(words) or through(words))
+    monkeypatch.setattr(type(encoder.numbers), "__missing__", lambda self, word: looked.append(word) or missing(self, word))
+    plain = [chr(k) * n + end for k in [*range(33, 127), *range(192, 256)] if chr(k) not in "×÷" for n in (1, 3) for end in ("", "É,", "'S", "12", "!'re")]
+    odd = ["x́é", "İx", "a\xa0b", "x÷y", "ﬁn", "µm²", "ªº", "\x01a", "日本"]
+    texts = [" ".join(plain), "  " + " \t\n".join(odd) + " ", " ".join(plain + odd), None, "", " \x0b "]
+    ids, counts = encoder.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == plain_ids(texts)
+    assert sorted(whole) == sorted(odd) and len([w for w in looked if w]) == len(encoder.numbers)
+    ids, counts = encoder.encode(["<|endoftext|> Été <|ENDOFTEXT|> b"])
+    assert [ids.tolist()] == plain_ids(["<|endoftext|> Été <|ENDOFTEXT|> b"])
+
+
+def test_other_tokenizers_take_every_word_whole(tmp_path):
+    """Only a tokenizer that cuts and spells in a known way is served by pieces."""
+    import json
+
+    with open(tokenizer_path(TOKENIZER), "rb") as file:
+        settings = json.load(file)
+    assert WordEncoder(tokenizer_path(TOKENIZER), END_ID).cut is not None
+    for k, (part, step) in enumerate([("normalizer", {"type": "StripAccents"}), ("pre_tokenizer", {"type": "Punctuation", "behavior": "Isolated"})]):
+        key = "normalizers" if part == "normalizer" else "pretokenizers"
+        other = settings | {part: settings[part] | {key: [*settings[part][key], step]}}
+        (tmp_path / f"{k}.json").write_text(json.dumps(other))
+        assert WordEncoder(str(tmp_path / f"{k}.json"), END_ID).cut is None
