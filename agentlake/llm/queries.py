@@ -43,9 +43,9 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def token_digests(spark: SparkSession, docs: DataFrame, most_words: int | None = None) -> DataFrame:
     folder = new_folder(spark, "tokens")
-    write_token_files(docs, folder, tokenizer_path(TOKENIZER), END_ID)
+    write_token_files(docs, folder, tokenizer_path(TOKENIZER), END_ID, most_words=most_words)
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

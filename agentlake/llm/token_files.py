@@ -51,9 +51,9 @@ CACHED_WORDS = 500_000
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str, end_id: int) -> WordEncoder:
+def word_encoder(path: str, end_id: int, most_words: int | None = None) -> WordEncoder:
     """The encoder of a worker process; later tasks find the words that earlier ones learned."""
-    return WordEncoder(path, end_id)
+    return WordEncoder(path, end_id, most_words)
 
 
 #: Letters of Latin-1 beside ASCII. Like printable ASCII they don't compose with each other, and fold one by one.
@@ -104,7 +104,8 @@ class WordEncoder:
     characters go to the tokenizer's model piece by piece, if it cuts words in a way known here, all others through the
     whole tokenizer, which takes twice the time."""
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, most_words: int | None = None):
+        self.most_words = most_words or CACHED_WORDS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -133,8 +134,8 @@ class WordEncoder:
         """Keeps the words that came more than once, at most half of what may be kept: the most frequent ones."""
         words, often = list(self.numbers), self.seen[1:]  # in the order of their numbers
         kept = np.flatnonzero(often > 1)
-        if len(kept) > CACHED_WORDS // 2:
-            kept = np.sort(kept[np.argsort(-often[kept], kind="stable")[: CACHED_WORDS // 2]])
+        if len(kept) > self.most_words // 2:
+            kept = np.sort(kept[np.argsort(-often[kept], kind="stable")[: self.most_words // 2]])
         starts, place = np.cumsum(self.lengths) - self.lengths, np.append(0, kept + 1)
         self.seen, self.lengths = (self.seen[place] + 1) // 2, self.lengths[place]  # what was frequent long ago goes in time
         ends = np.cumsum(self.lengths)
@@ -198,7 +199,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text. Arrow splits the texts and
         tells their different words, so that Python looks each of these up once a call."""
-        if len(self.numbers) > CACHED_WORDS:
+        if len(self.numbers) > self.most_words:
             self._forget()
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         split = pc.ascii_split_whitespace(texts)
@@ -319,7 +320,8 @@ def _file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
 MANIFEST = "file string, part int, first_id long, docs long, tokens long"
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES,
+                      most_words: int | None = None) -> DataFrame:
     """Encode ``text`` of all rows, in ascending ``doc_id`` order, into token files under ``folder`` (a URI that all
     executors reach, of a kind that Arrow opens: file, hdfs, s3, gs).
 
@@ -327,6 +329,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     ``file_bytes`` of text, also where many rows share an id or have none. Each task writes one file, under a name of its own, so that a repeated attempt never touches another's file. The manifest (``folder/manifest``, Parquet) names
     the files that count and is returned: file, part (their order), first_id, docs, tokens. Null and empty texts are documents of the end
     id alone; repeated ids and rows are all written. Other columns are not read. No rows give an empty manifest.
+    ``most_words``: words whose ids a worker keeps (``CACHED_WORDS``); fewer take less memory and more time.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     whole = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -335,7 +338,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _file_system(folder)
-        encoder = word_encoder(tokenizer, end_id)
+        encoder = word_encoder(tokenizer, end_id, most_words)
         name, sink, writer = f"tokens-{uuid.uuid4().hex}.zst", None, None
         for batch in batches:
             for part in slices(batch):

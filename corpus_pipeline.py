@@ -56,7 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' places, token counts and checksums, read back from their token files."""
-    return token_digests(spark, docs)
+    return token_digests(spark, docs, most_words=250_000)  # earlier stages leave executors less memory than op2 has
 
 
 STAGES = [

@@ -138,3 +138,11 @@ def test_other_tokenizers_take_every_word_whole(tmp_path):
         other = settings | {part: settings[part] | {key: [*settings[part][key], step]}}
         (tmp_path / f"{k}.json").write_text(json.dumps(other))
         assert WordEncoder(str(tmp_path / f"{k}.json"), END_ID).cut is None
+
+
+def test_a_caller_may_keep_fewer_words():
+    encoder = WordEncoder(tokenizer_path(TOKENIZER), END_ID, 20)
+    for turn in range(4):
+        ids, counts = encoder.encode(texts := [f"both w{turn}x{k}" for k in range(30)])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == plain_ids(texts)
+        assert len(encoder.numbers) <= 10 + 31
